@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import iso_day
 from tidemark.operators.joins import lookup_join
 from tidemark.session import apply_settings
 from tidemark.sources.registry import get_source
@@ -56,16 +55,12 @@ def _instant(seconds: Column) -> Column:
     return F.concat(text, F.lit("+00:00"))
 
 
-def _start_of(day: Column) -> Column:
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
-
-
 def _documents(rows: DataFrame, source: str, day: Column, fetched_at: Column, *pages: Column):
     """One document per row; `logical_date` is already a date, as it is after reading."""
     schema = get_source(source).bronze_schema
     return rows.select(
         F.lit(source).alias("source"),
-        iso_day(_start_of(day)).alias("logical_date"),
+        day.cast("date").alias("logical_date"),
         fetched_at.alias("fetched_at"),
         F.lit(len(pages)).alias("page_count"),
         F.array(*pages).cast(schema["pages"].dataType).alias("pages"),
@@ -333,11 +328,11 @@ _ANNUAL_KEEP = "country_iso3 IS NOT NULL AND country_iso3 <> '' AND year IS NOT
 _CLEAN_SQL = {
     "world_bank": (
         _ANNUAL_KEEP, "country_iso3, indicator_id, year",
-        "country_name DESC, gdp_usd DESC NULLS LAST, logical_date DESC",
+        "logical_date DESC, country_name DESC, gdp_usd DESC NULLS LAST",
     ),
     "world_bank_inflation": (
         _ANNUAL_KEEP, "country_iso3, indicator_id, year",
-        "country_name DESC, inflation_pct DESC NULLS LAST, logical_date DESC",
+        "logical_date DESC, country_name DESC, inflation_pct DESC NULLS LAST",
     ),
     "exchange_rate": ("rate > 0", "base_code, currency, logical_date", "rate DESC"),
     "open_meteo": ("date IS NOT NULL", "latitude, longitude, date", "logical_date DESC"),

@@ -32,10 +32,10 @@ serve = Catalog()
 PAGE = "total:b limit:i offset:i"
 
 
-def _page(name: str, shape: str, feed: str, list_query, where: str, order: str, limit: int,
+def _page(name: str, shape: str, feeds: str, list_query, where: str, order: str, limit: int,
           offset: int, relation: str, ctes: str, **chosen) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        wh = warehouse(spark, sf_dir, feed)
+        wh = warehouse(spark, sf_dir, *feeds.split())
         return list_query(wh, **chosen, limit=limit, offset=offset).report()
 
     body = f"""SELECT *, (SELECT count(*) FROM {relation} WHERE {where}) AS total,
@@ -46,11 +46,13 @@ def _page(name: str, shape: str, feed: str, list_query, where: str, order: str,
 
 
 _page(
-    "list_countries_search", "country_iso3 country_name", "world_bank", serving.list_countries,
+    "list_countries_search", "country_iso3 country_name", "world_bank world_bank_inflation",
+    serving.list_countries,
     "country_iso3 ILIKE '%tion_1%' OR country_name ILIKE '%tion_1%'", "country_iso3", 5, 2,
     "countries",
-    f"WITH {silver_ctes('world_bank')}, countries AS (SELECT DISTINCT country_iso3, country_name "
-    "FROM gdp_silver)",
+    f"WITH {silver_ctes('world_bank', 'world_bank_inflation')}, countries AS ("
+    "SELECT country_iso3, country_name FROM gdp_silver "
+    "UNION SELECT country_iso3, country_name FROM inflation_silver)",
     search="TION_1",
 )
 _page(
@@ -212,11 +214,11 @@ def _top_series_sql(relation: str, measure: str) -> str:
     label = f"avg_{measure}"
     best = (
         f"SELECT country_name FROM {relation} WHERE {_SINGLE} GROUP BY country_name "
-        f"ORDER BY avg({measure}) DESC NULLS LAST, country_name LIMIT 10"
+        f"ORDER BY round(avg({measure}), 6) DESC NULLS LAST, country_name LIMIT 10"
     )
     return _grouped_sql(
         relation, "year, country_name", f"avg({measure}) AS {label}",
-        f"{label} DESC NULLS LAST, year, country_name", 10000,
+        f"round({label}, 6) DESC NULLS LAST, year, country_name", 10000,
         f"{_SINGLE} AND country_name IN ({best})",
     )
 
@@ -230,7 +232,7 @@ CHART_SQL = {
         "country_name avg_gdp_usd:r", "view_gdp",
         _grouped_sql(
             "view_gdp", "country_name", "avg(gdp_usd) AS avg_gdp_usd",
-            "avg_gdp_usd DESC NULLS LAST, country_name", 15, f"year = 2023 AND {_SINGLE}",
+            "round(avg_gdp_usd, 6) DESC NULLS LAST, country_name", 15, f"year = 2023 AND {_SINGLE}",
         ),
     ),
     "gdp_line": (
@@ -244,7 +246,7 @@ CHART_SQL = {
         "country_name avg_inflation_pct:r", "view_inflation",
         _grouped_sql(
             "view_inflation", "country_name", "avg(inflation_pct) AS avg_inflation_pct",
-            "avg_inflation_pct DESC NULLS LAST, country_name", 15, f"year = 2023 AND {_SINGLE}",
+            "round(avg_inflation_pct, 6) DESC NULLS LAST, country_name", 15, f"year = 2023 AND {_SINGLE}",
         ),
     ),
     "inflation_line": (
@@ -258,14 +260,14 @@ CHART_SQL = {
         "currency avg_rate:r", "view_exchange_rate",
         _grouped_sql(
             "view_exchange_rate", "currency", "avg(rate) AS avg_rate",
-            "avg_rate DESC NULLS LAST, currency", 8, _CODES,
+            "round(avg_rate, 6) DESC NULLS LAST, currency", 8, _CODES,
         ),
     ),
     "exchange_line": (
         "date:d currency avg_rate:r", "view_exchange_rate",
         _grouped_sql(
             "view_exchange_rate", "date, currency", "avg(rate) AS avg_rate",
-            "avg_rate DESC NULLS LAST, date, currency", 10000, _CODES,
+            "round(avg_rate, 6) DESC NULLS LAST, date, currency", 10000, _CODES,
         ),
     ),
     "crypto_table": (
@@ -275,14 +277,14 @@ CHART_SQL = {
         "coin_id avg_volatility_7d:r", "view_crypto",
         _grouped_sql(
             "view_crypto", "coin_id", "avg(volatility_7d) AS avg_volatility_7d",
-            "avg_volatility_7d DESC NULLS LAST, coin_id", 8, _COINS,
+            "round(avg_volatility_7d, 6) DESC NULLS LAST, coin_id", 8, _COINS,
         ),
     ),
     "crypto_line": (
         "date:d coin_id avg_price_usd:r", "view_crypto",
         _grouped_sql(
             "view_crypto", "date, coin_id", "avg(price_usd) AS avg_price_usd",
-            "avg_price_usd DESC NULLS LAST, date, coin_id", 10000, _COINS,
+            "round(avg_price_usd, 6) DESC NULLS LAST, date, coin_id", 10000, _COINS,
         ),
     ),
     "weather_table": (
@@ -291,13 +293,13 @@ CHART_SQL = {
     ),
     "weather_bar": (
         None, "view_weather",
-        _grouped_sql("view_weather", "date", _RAIN, '"Avg Precipitation (mm)" DESC NULLS LAST, date', 1000),
+        _grouped_sql("view_weather", "date", _RAIN, 'round("Avg Precipitation (mm)", 6) DESC NULLS LAST, date', 1000),
     ),
     "weather_line": (
         None, "view_weather",
         _grouped_sql(
             "view_weather", "date", f"avg(temp_max_c) AS avg_temp_max_c, {_RAIN}",
-            "avg_temp_max_c DESC NULLS LAST, date", 1000,
+            "round(avg_temp_max_c, 6) DESC NULLS LAST, date", 1000,
         ),
     ),
     "weather_scatter": (

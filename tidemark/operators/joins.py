@@ -48,9 +48,13 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    limit_bytes: int = BROADCAST_BYTES,
+    known_bytes: int | None = None,
 ) -> DataFrame:
-    """Join facts to a dimension that is unique on `on` and stored (its size is measured first)."""
-    if measured_bytes(lookup) <= limit_bytes:
+    """Join facts to a stored dimension that is unique on `on`.
+
+    Its size is measured first, unless the caller did so already.
+    """
+    size = measured_bytes(lookup) if known_bytes is None else known_bytes
+    if size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), list(on), how)
     return salted_join(facts, lookup, on, how)

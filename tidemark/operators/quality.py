@@ -135,7 +135,17 @@ def validate_or_raise(df: DataFrame, suite: Sequence[Expectation], asset: str) -
     return outcome
 
 
-def orphan_rows(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Facts whose (known) key has no dimension member."""
+def orphan_keys(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Known keys without a dimension member, and how many facts carry each (`rows`).
+
+    Facts are counted per key before the join, so a key with most of the facts is joined once.
+    """
     known = reduce(and_, (F.col(c).isNotNull() for c in on))
-    return facts.where(known).join(dimension.select(*on), list(on), "left_anti")
+    counted = facts.where(known).groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(dimension.select(*on), list(on), "left_anti")
+
+
+def count_orphans(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row: `violations`, the number of facts whose known key has no dimension member."""
+    lost = orphan_keys(facts, dimension, on)
+    return lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))

@@ -87,6 +87,8 @@ class Chart:
 
     An aggregated chart is ordered by its first metric, greatest first, before the row limit cuts
     it, as the dashboards do; every order ends with the grouping columns so that it is total.
+    Means are ranked at six decimals: the last bits of a distributed sum depend on its order and
+    must not decide which rows a limit keeps.
     """
 
     dataset: str
@@ -179,6 +181,10 @@ def _metric(dataset: Dataset, metric: Metric | str) -> Metric:
     return dataset.metrics[metric] if isinstance(metric, str) else metric
 
 
+def _ranking(metric: Metric) -> list[Column]:
+    return [F.round(F.col(f"`{metric.label}`"), 6).desc_nulls_last()]
+
+
 def render(chart: Chart, rows: DataFrame) -> DataFrame:
     """Run a chart over the rows of its dataset."""
     dataset = DATASETS[chart.dataset]
@@ -192,17 +198,18 @@ def render(chart: Chart, rows: DataFrame) -> DataFrame:
         best = (
             rows.groupBy(chart.series)
             .agg(metrics[0].expression())
-            .orderBy(*ordering([f"-{metrics[0].label}", chart.series]))
+            .orderBy(*_ranking(metrics[0]), *ordering([chart.series]))
             .limit(chart.series_limit)
         )
         # At most `series_limit` names.
         rows = rows.join(F.broadcast(best.select(chart.series)), chart.series, "left_semi")
     groups = [c for c in (chart.x, chart.series) if c]
-    order = [*(chart.order or (f"-{metrics[0].label}",)), *groups]
+    first = ordering(chart.order) if chart.order else _ranking(metrics[0])
+    rest = ordering([g for g in groups if g not in chart.order])
     return (
         rows.groupBy(*groups)
         .agg(*[m.expression() for m in metrics])
-        .orderBy(*ordering(list(dict.fromkeys(order))))
+        .orderBy(*first, *rest)
         .limit(chart.row_limit)
     )
 

@@ -16,13 +16,24 @@ def candidates(documents: DataFrame, source: Source) -> DataFrame:
     return source.flatten(pages).where(source.usable())
 
 
-def _count_of_day(rows: DataFrame, source: Source) -> DataFrame:
-    """Add how many rows share the day.
+# A later fetch wins; of fetches at the same instant, the one for the later day.
+VERSION = ("fetched_at", "logical_date")
+
+
+def _count_of_day(rows: DataFrame, landed: DataFrame, source: Source) -> DataFrame:
+    """Add how many of `rows`, the newest of `landed` per key, share the day.
 
     A day can hold a third of all rows, so they are counted by a combined aggregate and the count
-    (one row per calendar day) is joined back, instead of a window that gathers the day.
+    (one row per calendar day) is joined back, instead of a window that gathers the day. The day of
+    the newest row is the end of the greatest version, so counting reads and shuffles only the key
+    and the version, not the texts.
     """
-    per_day = rows.groupBy("logical_date").agg(F.count(F.lit(1)).alias(source.rows_of_day))
+    newest = landed.groupBy(*source.key).agg(F.max(F.struct(*VERSION)).alias("version"))
+    per_day = (
+        newest.select("version.logical_date")
+        .groupBy("logical_date")
+        .agg(F.count(F.lit(1)).alias(source.rows_of_day))
+    )
     return rows.join(F.broadcast(per_day), rows.logical_date.eqNullSafe(per_day.logical_date)).drop(
         per_day.logical_date
     )
@@ -33,13 +44,18 @@ def to_silver(documents: DataFrame, source_name: str) -> DataFrame:
 
     `documents` are envelopes with `logical_date` as a date, as `read_bronze` returns them.
     """
+    return newest_with_features(candidates(documents, get_source(source_name)), source_name)
+
+
+def newest_with_features(landed: DataFrame, source_name: str) -> DataFrame:
+    """Silver from candidate rows of any number of fetches."""
     source = get_source(source_name)
-    rows = candidates(documents, source).drop("page_no", "item_no")
-    rows = newest_per_key(rows, source.key, "fetched_at")
+    landed = landed.drop("page_no", "item_no")
+    rows = newest_per_key(landed, source.key, VERSION)
     if source.history:
         rows = rows.withColumns({n: make(source.history) for n, make in source.features.items()})
     if source.rows_of_day:
-        rows = _count_of_day(rows, source)
+        rows = _count_of_day(rows, landed, source)
     return rows.select(*source.silver_schema.fieldNames())
 
 
@@ -58,5 +74,5 @@ def snapshot_silver(documents: DataFrame, source_name: str) -> DataFrame:
     }
     rows = rows.withColumns(derived) if derived else rows
     if source.rows_of_day:
-        rows = _count_of_day(rows, source)
+        rows = _count_of_day(rows, rows.withColumn("fetched_at", F.lit(0)), source)
     return rows.select(*source.silver_schema.fieldNames())

@@ -17,21 +17,19 @@ from tidemark.plans.warehouse import Warehouse
 
 
 def _with_country(wh: Warehouse, fact: str) -> DataFrame:
-    return lookup_join(wh.table(fact), wh.table("dim_country"), ["country_key"])
+    return wh.describe(wh.table(fact), "dim_country", ["country_key"])
 
 
 def _with_day(wh: Warehouse, rows: DataFrame, *more: str) -> DataFrame:
     days = wh.table("dim_date").select("date_key", F.col("full_date").alias("date"), *more)
-    return lookup_join(rows, days, ["date_key"])
+    return lookup_join(rows, days, ["date_key"], known_bytes=wh.dimension_bytes("dim_date"))
 
 
 def _with_pair(wh: Warehouse, rows: DataFrame) -> DataFrame:
     """Currency dimension in both roles: base and quote."""
     for role, name in (("base_currency_key", "base_code"), ("quote_currency_key", "currency")):
-        codes = wh.table("dim_currency").select(
-            F.col("currency_key").alias(role), F.col("currency_code").alias(name)
-        )
-        rows = lookup_join(rows, codes, [role])
+        names = {role: "currency_key", name: "currency_code"}
+        rows = wh.describe(rows, "dim_currency", [role], **names)
     return rows
 
 
@@ -74,7 +72,7 @@ def view_exchange_rate(wh: Warehouse) -> DataFrame:
 
 def view_weather(wh: Warehouse) -> DataFrame:
     history = History(("latitude", "longitude"), "date")
-    rows = lookup_join(wh.table("fact_weather"), wh.table("dim_location"), ["location_key"])
+    rows = wh.describe(wh.table("fact_weather"), "dim_location", ["location_key"])
     return _with_day(wh, rows).select(
         "latitude",
         "longitude",
@@ -90,7 +88,7 @@ def view_weather(wh: Warehouse) -> DataFrame:
 
 def view_crypto(wh: Warehouse) -> DataFrame:
     history = History(("coin_id",), "date")
-    rows = lookup_join(wh.table("fact_crypto"), wh.table("dim_coin"), ["coin_key"])
+    rows = wh.describe(wh.table("fact_crypto"), "dim_coin", ["coin_key"])
     return _with_day(wh, rows).select(
         "coin_id",
         "symbol",
@@ -108,9 +106,7 @@ def view_crypto(wh: Warehouse) -> DataFrame:
 
 def view_news(wh: Warehouse) -> DataFrame:
     """Articles without a known source stay, with a null name."""
-    rows = lookup_join(
-        wh.table("fact_news"), wh.table("dim_news_source"), ["news_source_key"], "left"
-    )
+    rows = wh.describe(wh.table("fact_news"), "dim_news_source", ["news_source_key"], "left")
     return _with_day(wh, rows).select(
         "url",
         "source_name",
@@ -184,7 +180,7 @@ def agg_exchange_rate_monthly(wh: Warehouse) -> DataFrame:
 def agg_crypto_monthly(wh: Warehouse) -> DataFrame:
     return _monthly(
         wh,
-        lookup_join(wh.table("fact_crypto"), wh.table("dim_coin"), ["coin_key"]),
+        wh.describe(wh.table("fact_crypto"), "dim_coin", ["coin_key"]),
         ["coin_id", "symbol", "name"],
         F.avg("price_usd").alias("avg_price_usd"),
         F.avg("volume_usd").alias("avg_volume_usd"),
@@ -195,7 +191,7 @@ def agg_crypto_monthly(wh: Warehouse) -> DataFrame:
 def agg_weather_monthly(wh: Warehouse) -> DataFrame:
     return _monthly(
         wh,
-        lookup_join(wh.table("fact_weather"), wh.table("dim_location"), ["location_key"]),
+        wh.describe(wh.table("fact_weather"), "dim_location", ["location_key"]),
         ["latitude", "longitude"],
         F.avg("temp_max_c").alias("avg_temp_max_c"),
         F.avg("temp_min_c").alias("avg_temp_min_c"),

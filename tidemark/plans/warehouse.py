@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from tidemark.functions import calendar_columns, date_key, month_key
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import lookup_join, measured_bytes
 from tidemark.operators.merge import absent, insert_if_absent, number_members, upsert
-from tidemark.operators.quality import orphan_rows
+from tidemark.operators.quality import count_orphans
 from tidemark.session import scratch_path
 from tidemark.sources import schemas
 from tidemark.sources.registry import get_source
@@ -151,6 +151,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self._measured: dict[tuple[str, str | None], int] = {}
 
     def _schema(self, name: str):
         return schemas.struct(schemas.WAREHOUSE[name])
@@ -186,6 +187,23 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
+    def dimension_bytes(self, name: str) -> int:
+        """Measured size of a dimension, taken once per snapshot."""
+        state = (name, self._dimension(name).current())
+        if state not in self._measured:
+            self._measured[state] = measured_bytes(self.table(name))
+        return self._measured[state]
+
+    def describe(
+        self, rows: DataFrame, name: str, on: Sequence[str], how: str = "inner", **renamed: str
+    ) -> DataFrame:
+        """Join rows to a dimension, some of whose columns are renamed (new=old) first."""
+        table = self.table(name)
+        old = set(renamed.values())
+        kept = [F.col(c) for c in table.columns if c not in old]
+        table = table.select(*kept, *[F.col(o).alias(n) for n, o in renamed.items()])
+        return lookup_join(rows, table, on, how, self.dimension_bytes(name))
+
     # -- dimensions
 
     def load_calendar(self, silver: DataFrame, date_column: str) -> None:
@@ -220,7 +238,8 @@ class Warehouse:
                 F.col(dimension.key).alias(lookup.role),
                 *[F.col(n).alias(s) for n, s in named.items()],
             )
-            rows = lookup_join(rows, table, lookup.silver_columns, lookup.how)
+            size = self.dimension_bytes(lookup.dimension)
+            rows = lookup_join(rows, table, lookup.silver_columns, lookup.how, size)
         if fact.date_column:
             rows = rows.withColumn("date_key", date_key(F.col(fact.date_column).cast("date")))
         for column in fact.grain:
@@ -303,9 +322,9 @@ class Warehouse:
         rows = self.table(fact_name)
         reports = []
 
-        def report(check: str, column: str, broken: DataFrame) -> None:
+        def report(check: str, column: str, violations: DataFrame) -> None:
             reports.append(
-                broken.agg(F.count(F.lit(1)).alias("violations")).select(
+                violations.select(
                     F.lit(fact_name).alias("fact"),
                     F.lit(check).alias("check"),
                     F.lit(column).alias("column"),
@@ -316,11 +335,13 @@ class Warehouse:
         for lookup in fact.lookups:
             dimension = DIMENSIONS[lookup.dimension]
             keys = self.table(lookup.dimension).select(F.col(dimension.key).alias(lookup.role))
-            report("reference", lookup.role, orphan_rows(rows, keys, [lookup.role]))
+            report("reference", lookup.role, count_orphans(rows, keys, [lookup.role]))
         if "date_key" in rows.columns:
-            report("reference", "date_key", orphan_rows(rows, self.table("dim_date"), ["date_key"]))
+            report("reference", "date_key", count_orphans(rows, self.table("dim_date"), ["date_key"]))
         repeated = rows.groupBy(*fact.grain).count().where("count > 1")
-        report("unique", ",".join(fact.grain), repeated)
+        report(
+            "unique", ",".join(fact.grain), repeated.agg(F.count(F.lit(1)).alias("violations"))
+        )
         # All null checks of a fact share one scan.
         required = [*fact.grain, *[c for c in ("date_key",) if c in rows.columns]]
         required = list(dict.fromkeys(required))

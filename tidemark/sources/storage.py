@@ -52,6 +52,11 @@ class Snapshots:
             if exists(self.spark, f"{self.path}/{name}/_SUCCESS")
         ]
 
+    def current(self) -> str | None:
+        """Name of the newest finished snapshot; its content never changes."""
+        finished = self._finished()
+        return finished[-1] if finished else None
+
     def read(self) -> DataFrame:
         finished = self._finished()
         if not finished:
