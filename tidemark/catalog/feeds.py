@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup_join
 from tidemark.session import apply_settings
-from tidemark.sources.registry import get_source
 
 # Stand-ins, so that the fixed names in the chart filters occur in the data.
 COUNTRY_NAMES = {
@@ -57,13 +56,12 @@ def _instant(seconds: Column) -> Column:
 
 def _documents(rows: DataFrame, source: str, day: Column, fetched_at: Column, *pages: Column):
     """One document per row; `logical_date` is already a date, as it is after reading."""
-    schema = get_source(source).bronze_schema
     return rows.select(
         F.lit(source).alias("source"),
         day.cast("date").alias("logical_date"),
         fetched_at.alias("fetched_at"),
         F.lit(len(pages)).alias("page_count"),
-        F.array(*pages).cast(schema["pages"].dataType).alias("pages"),
+        F.array(*pages).alias("pages"),
     )
 
 

@@ -262,11 +262,11 @@ class Warehouse:
         )
 
     def merge_fact(self, rows: DataFrame, fact: Fact) -> None:
-        """Upsert rows (unique on the grain) into the stored fact.
+        """Upsert rows (unique on the grain, cheap to read again) into the stored fact.
 
-        The batch is written once to the shared folder; the partitions it touches are merged there
-        too and then replace the stored ones, so nothing is read from where it is written. Running
-        a failed load again gives the same result.
+        The partitions the batch touches are merged into the shared folder and then replace the
+        stored ones, so nothing is read from where it is written. Running a failed load again
+        gives the same result.
         """
         path = self._fact_path(fact.name)
         rows = self._partitioned(rows, fact)
@@ -274,35 +274,36 @@ class Warehouse:
         if not stored_parts:
             self._write(rows, fact, path)
             return
-        staged_path = scratch_path(self.spark, f"{fact.name}-batch")
-        self._write(rows, fact, staged_path)
-        touched = set(partition_values(self.spark, staged_path, fact.partition))
-        if not touched:
-            return
         stored = self._stored(fact)
-        staged = self.spark.read.schema(stored.schema).parquet(staged_path)
+        rows = rows.select(*stored.columns)
+        affected = rows.select(fact.partition)
         if fact.moves:
-            # Only the key is read here; the answer is at most one value per month.
-            left = stored.select(*fact.grain, fact.partition).join(
-                staged.select(*fact.grain), list(fact.grain), "left_semi"
+            # Where the rows of the batch are now; of the stored fact only the key is read.
+            now = stored.select(*fact.grain, fact.partition).join(
+                rows.select(*fact.grain), list(fact.grain), "left_semi"
             )
-            touched |= {str(r[0]) for r in left.select(fact.partition).distinct().collect()}
+            affected = affected.unionByName(now.select(fact.partition))
+        # At most one value per month or year.
+        touched = {str(r[0]) for r in affected.distinct().collect()}
         replaced = touched & stored_parts
-        if replaced:
-            old = stored.where(F.col(fact.partition).isin(sorted(int(v) for v in replaced)))
-            staged = upsert(old, staged, fact.grain)
+        if not replaced:
+            self._write(rows, fact, path)
+            return
+        old = stored.where(F.col(fact.partition).isin(sorted(int(v) for v in replaced)))
         merged_path = scratch_path(self.spark, f"{fact.name}-merged")
-        self._write(staged, fact, merged_path)
+        self._write(upsert(old, rows, fact.grain), fact, merged_path)
         merged = self.spark.read.schema(stored.schema).parquet(merged_path)
         self._write(merged, fact, path)
         kept = set(partition_values(self.spark, merged_path, fact.partition))
         for value in replaced - kept:
             delete(self.spark, f"{path}/{fact.partition}={value}")
-        delete(self.spark, staged_path)
         delete(self.spark, merged_path)
 
     def load(self, source: str, silver: DataFrame) -> None:
-        """Load one Silver dataset: its dimensions first, then its fact."""
+        """Load one Silver dataset: its dimensions first, then its fact.
+
+        The dataset is read once per step, so it should be stored rather than a long plan.
+        """
         get_source(source)
         fact = FACT_OF_SOURCE[source]
         by_dimension: dict[str, list[Lookup]] = {}
