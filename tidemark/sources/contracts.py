@@ -173,7 +173,8 @@ def split_payloads(
 def require_valid(payloads: DataFrame, source: str, raw: str = "payload") -> DataFrame:
     """Valid pages, or an error naming each kind of breach and how often it occurs."""
     valid, quarantine = split_payloads(payloads, source, raw)
-    kinds = quarantine.groupBy(F.explode("problems").alias("problem")).count().collect()
+    kinds = quarantine.select(F.explode("problems").alias("problem")).groupBy("problem").count()
+    kinds = kinds.collect()
     if kinds:
         detail = ", ".join(f"{r['problem']} ({r['count']})" for r in sorted(kinds))
         raise ContractError(f"{source}: {detail}")
