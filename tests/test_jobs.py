@@ -1,5 +1,5 @@
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
@@ -8,6 +8,9 @@ from tidemark.operators.quality import ValidationFailedError
 from tidemark.plans import forecast, jobs, views
 from tidemark.plans.silver import snapshot_silver
 from tidemark.plans.warehouse import Warehouse
+from tidemark.sources.bronze import read_landed
+from tidemark.sources.contracts import ContractError
+from tidemark.sources.registry import UnknownSourceError
 from tidemark.sources.silver import read_silver, write_silver
 
 
@@ -42,6 +45,34 @@ def test_chain_of_one_source(spark, tmp_path, paths):
     assert forecast.train_register_deploy(wh, registry, "crypto")["promoted"]
 
 
+def test_landing_checks_wraps_and_replaces(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+
+    def pull(*coins):
+        rows = [(i, json.dumps([c])) for i, c in enumerate(coins)]
+        return spark.createDataFrame(rows, "page_no int, payload string")
+
+    jobs.land_payloads(pull(coin("a", 1.0), coin("b", 2.0)), "coingecko", "2026-07-20", path)
+    jobs.land_payloads(pull(coin("a", "3.5")), "coingecko", "2026-07-20", path)
+    (document,) = read_landed(spark, "coingecko", path).collect()
+    assert document["page_count"] == 1
+    assert document["pages"][0]["coins"][0]["current_price"] == 3.5
+    assert datetime.fromisoformat(document["fetched_at"]).tzinfo is not None
+    with pytest.raises(ContractError):
+        jobs.land_payloads(pull({**coin("x", 1.0), "id": None}), "coingecko", "2026-07-21", path)
+    with pytest.raises(UnknownSourceError):
+        jobs.land_payloads(pull(), "nope", "2026-07-21", path)
+
+
+def test_load_since_a_day(spark, silver, paths):
+    rows = [("USD", "UGX", float(d), None, date(2026, 7, d)) for d in (1, 2, 3)]
+    write_silver(silver("exchange_rate", *rows), paths["silver"], ["logical_date"])
+    load = (spark, "exchange_rate", paths["silver"], paths["warehouse"])
+    wh = jobs.load_silver(*load, since=date(2026, 7, 2))
+    assert [r["date"].day for r in views.view_exchange_rate(wh).orderBy("date").collect()] == [2, 3]
+    assert views.view_exchange_rate(jobs.load_silver(*load)).count() == 3
+
+
 def test_gate_stops_the_load(spark, silver, paths):
     day = date(2026, 7, 20)
     bad = silver("exchange_rate", ("USD", "UGX", -1.0, None, day))

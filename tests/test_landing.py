@@ -11,7 +11,10 @@ from tidemark.sources.bronze import (
 from tidemark.sources.contracts import ContractError, check_payloads, require_valid, split_payloads
 from tidemark.sources.registry import UnknownSourceError, get_source
 from tidemark.sources.silver import read_silver, write_silver
-from tidemark.sources.storage import Snapshots, partition_values
+from tidemark.sources import storage
+from tidemark.sources.storage import (
+    Snapshots, partition_values, size_shuffles, stored_bytes, visible_as,
+)
 from tidemark.session import object_store_settings, shared_dir
 from tidemark.streaming.landing import land_candidates, silver_from_candidates
 
@@ -194,6 +197,35 @@ def test_stream_takes_in_only_what_is_new(spark, tmp_path):
     assert silver_from_candidates(spark, "newsapi", str(tmp_path / "none")).count() == 0
 
 
+def test_day_landed_again_replaces_its_streamed_rows(spark, tmp_path):
+    bronze, flat, state = (str(tmp_path / n) for n in ("bronze", "flat", "state"))
+    write_bronze(envelopes(landed_pages(spark, "2026-07-20", [1.0, 2.0, 3.0])), bronze)
+    land_candidates(spark, "coingecko", bronze, flat, state)
+    later = landed_pages(spark, "2026-07-20", [9.0]).withColumn(
+        "fetched_at", F.lit("2026-07-20T09:00:00+00:00"))
+    write_bronze(envelopes(later), bronze)
+    land_candidates(spark, "coingecko", bronze, flat, state)
+    (row,) = silver_from_candidates(spark, "coingecko", flat).collect()
+    assert row["price_usd"] == 9.0
+
+
+def test_frame_is_visible_for_a_block_only(spark):
+    with visible_as(spark.range(3), "batch_rows") as name:
+        assert spark.sql(f"select count(*) from {name}").first()[0] == 3
+    assert not spark.catalog.tableExists("batch_rows")
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"0" * 5000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert stored_bytes(spark, f"{tmp_path}/*/") == 5000
+    assert size_shuffles(spark, str(tmp_path)) == int(before)
+    monkeypatch.setattr(storage, "SHUFFLE_BYTES", 100)
+    assert size_shuffles(spark, f"{tmp_path}/*") == 50
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_object_store_settings_come_from_the_environment():
     assert object_store_settings({}) == {}
     got = object_store_settings({"AWS_ENDPOINT_URL": "http://store:9000", "AWS_ACCESS_KEY_ID": "k"})

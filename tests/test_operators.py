@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import struct_to_map
 from tidemark.operators import joins
-from tidemark.operators.joins import lookup_join, measured_bytes, salted_join
+from tidemark.operators.joins import hot_keys, lookup_join, measured_bytes, split_join
 from tidemark.operators.merge import insert_if_absent, number_members, upsert
 from tidemark.operators.paging import Page, narrow
 from tidemark.operators.regression import LinearModel, error_metrics, least_squares
@@ -76,14 +76,22 @@ def test_split_holdout(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, hot_rows, how):
-    facts = spark.createDataFrame(hot_rows, "k int, v int, x double")
+@pytest.mark.parametrize("share", [0.1, 0.001, 0.9])
+def test_split_join_equals_plain_join(spark, hot_rows, how, share):
+    unknown = [(None, 1, 0.5)] * 500
+    facts = spark.createDataFrame(hot_rows + unknown, "k int, v int, x double")
     lookup = spark.createDataFrame([(k, f"n{k}") for k in range(0, 300, 2)], "k int, name string")
     plain = facts.join(lookup, ["k"], how)
-    assert sorted(map(str, salted_join(facts, lookup, ["k"], how, salts=5).collect())) == sorted(
+    assert sorted(map(str, split_join(facts, lookup, ["k"], how, share).collect())) == sorted(
         map(str, plain.collect()))
 
 
+def test_hot_keys_are_few(spark, hot_rows):
+    facts = spark.createDataFrame(hot_rows, "k int, v int, x double")
+    assert as_set(hot_keys(facts, ["k"], 0.1)) == {(0,)}
+    assert hot_keys(facts, ["k"], 0.9).count() == 0
+
+
 def test_lookup_join_broadcasts_only_what_fits(spark, hot_rows, monkeypatch):
     facts = spark.createDataFrame(hot_rows, "k int, v int, x double")
     lookup = spark.createDataFrame([(k, "n" * 50) for k in range(300)], "k int, name string")
@@ -91,8 +99,8 @@ def test_lookup_join_broadcasts_only_what_fits(spark, hot_rows, monkeypatch):
     small = lookup_join(facts, lookup, ["k"])
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
     large = lookup_join(facts, lookup, ["k"])
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in large._jdf.queryExecution().analyzed().toString()
+    assert "Union" not in small._jdf.queryExecution().analyzed().toString()
+    assert "Union" in large._jdf.queryExecution().analyzed().toString()
     assert small.count() == large.count() == len(hot_rows)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import serving, views
 from tidemark.plans.silver import to_silver
+from tidemark.plans.warehouse import Warehouse
+from tidemark.sources.registry import get_source
 
 D = date(2026, 7, 20)
 
@@ -23,11 +25,13 @@ def body(text):
     return text.split("Initial Plan")[-1]
 
 
-@pytest.fixture
-def loaded(wh, silver):
-    wh.load("coingecko", silver("coingecko", *[
-        (c, c, c, 1.0, 1.0, 1.0, 0.0, None, date(2026, 7, d)) for c in "ab" for d in (1, 2, 3)]))
-    wh.load("exchange_rate", silver("exchange_rate", ("USD", "UGX", 1.0, None, D)))
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("plans") / "warehouse"))
+    wh.create_schema()
+    coins = [(c, c, c, 1.0, 1.0, 1.0, 0.0, None, date(2026, 7, d)) for c in "ab" for d in (1, 2, 3)]
+    for source, rows in (("coingecko", coins), ("exchange_rate", [("USD", "UGX", 1.0, None, D)])):
+        wh.load(source, spark.createDataFrame(rows, get_source(source).silver_schema))
     return wh
 
 

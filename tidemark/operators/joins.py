@@ -1,17 +1,20 @@
-"""Lookups against a dimension: broadcast below a measured size, salted shuffle join above it."""
+"""Lookups against a dimension: broadcast below a measured size, split by hot keys above it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+# A key is hot when it holds at least this share of the rows, so at most 1 / share keys are.
+HOT_SHARE = 0.001
 
-_SALT = "_salt"
+_HOT = "_hot"
 _FIXED_WIDTH = 16
 
 
@@ -24,23 +27,38 @@ def measured_bytes(df: DataFrame) -> int:
     return df.select(width.alias("bytes")).agg(F.sum("bytes")).first()[0] or 0
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    plain = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
+def hot_keys(rows: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Known keys holding at least `share` of the rows, as a local frame of at most 1 / share rows.
+
+    Only the key columns are read, and they are counted before the shuffle.
+    """
+    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    least = rows.select(*on).count() * share
+    found = counted.where(F.col("_n") >= least).drop("_n").na.drop().collect()
+    schema = T.StructType([rows.schema[c] for c in on])
+    return rows.sparkSession.createDataFrame(found, schema)
 
 
-def salted_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
+def split_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Equi-join that spreads every fact key over `salts` tasks.
+    """Equi-join (inner or left) to a large lookup that is unique on `on`.
 
-    The salt is a hash of the row itself, so a repeated task sends each row to the same place.
+    Facts with a hot key meet the few lookup rows they need by broadcast and are not shuffled;
+    unknown keys, which match nothing, go the same way; the rest is joined by shuffle.
     """
-    spread = facts.withColumn(
-        _SALT, F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int")
-    )
-    copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, _SALT], how).drop(_SALT)
+    hot = hot_keys(facts, on, share).withColumn(_HOT, F.lit(True))
+    flagged = facts.join(F.broadcast(hot), list(on), "left")
+    unknown = reduce(or_, (F.col(c).isNull() for c in on))
+    apart = F.col(_HOT).isNotNull() | unknown
+    few = lookup.join(F.broadcast(hot.drop(_HOT)), list(on), "left_semi")
+    spared = flagged.where(apart).drop(_HOT).join(F.broadcast(few), list(on), how)
+    shuffled = flagged.where(~apart).drop(_HOT).join(lookup, list(on), how)
+    return spared.unionByName(shuffled)
 
 
 def lookup_join(
@@ -57,4 +75,4 @@ def lookup_join(
     size = measured_bytes(lookup) if known_bytes is None else known_bytes
     if size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), list(on), how)
-    return salted_join(facts, lookup, on, how)
+    return split_join(facts, lookup, on, how)

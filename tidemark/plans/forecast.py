@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import upsert
 from tidemark.operators.regression import LinearModel, error_metrics, least_squares
 from tidemark.operators.series import last_per_entity, split_holdout
@@ -158,7 +159,7 @@ def promotion_decisions(candidates: DataFrame, champions: DataFrame) -> DataFram
     A candidate is promoted when its model has no champion or it is strictly better.
     """
     better = F.col("champion_mae").isNull() | (F.col("mae") < F.col("champion_mae"))
-    return candidates.join(champions, "model", "left").withColumn("promote", better)
+    return lookup_join(candidates, champions, ["model"], "left").withColumn("promote", better)
 
 
 def registry_listing(versions: DataFrame, aliases: DataFrame, runs: DataFrame) -> DataFrame:

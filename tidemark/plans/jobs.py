@@ -5,17 +5,30 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.quality import Outcome, ValidationFailedError, validate, validate_or_raise
 from tidemark.plans.forecast import Registry, train_register_deploy
 from tidemark.plans.silver import to_silver
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import build_session
-from tidemark.sources.bronze import read_bronze
+from tidemark.sources.bronze import envelopes, read_bronze, stamp, write_bronze
+from tidemark.sources.contracts import require_valid
 from tidemark.sources.registry import SOURCE_NAMES, get_source
 from tidemark.sources.silver import read_silver, write_silver
+from tidemark.sources.storage import size_shuffles
+
+
+def land_payloads(payloads: DataFrame, source: str, logical_date: str, path: str) -> None:
+    """Land one pull: raw texts (page_no, payload) checked, wrapped and written for their day.
+
+    A payload that breaks its contract stops the landing. Landing a day again replaces it.
+    """
+    pages = require_valid(payloads, source)
+    write_bronze(envelopes(stamp(pages, source, logical_date)), path)
 
 
 def run_silver(
@@ -25,6 +38,7 @@ def run_silver(
 
     All documents are read, so history features are complete and the dataset is replaced as a whole.
     """
+    size_shuffles(spark, bronze_path)
     documents = read_bronze(spark, source, bronze_path, multi_line)
     columns = get_source(source).partition_cols
     write_silver(to_silver(documents, source), silver_path, columns, full_refresh=True)
@@ -35,15 +49,28 @@ def validate_silver(spark: SparkSession, source: str, path: str) -> Outcome:
 
 
 def load_silver(
-    spark: SparkSession, source: str, path: str, warehouse_root: str, gate: bool = True
+    spark: SparkSession,
+    source: str,
+    path: str,
+    warehouse_root: str,
+    gate: bool = True,
+    since: date | int | None = None,
 ) -> Warehouse:
-    """Load a Silver dataset into the warehouse; with the gate only when its suite passes."""
+    """Load a Silver dataset into the warehouse; with the gate only when its suite passes.
+
+    With `since` only Silver partitions from that day (or year) on are read and loaded; features
+    are complete all the same, since Silver computed them over the whole history.
+    """
     spec = get_source(source)
+    size_shuffles(spark, path)
     if gate:
         validate_or_raise(spark.read.parquet(path), spec.suite, source)
+    rows = read_silver(spark, source, path)
+    if since is not None:
+        rows = rows.where(F.col(spec.partition_cols[0]) >= F.lit(since))
     wh = Warehouse(spark, warehouse_root)
     wh.create_schema()
-    wh.load(source, read_silver(spark, source, path))
+    wh.load(source, rows)
     return wh
 
 

@@ -45,6 +45,20 @@ def write_bronze(documents: DataFrame, path: str) -> None:
     )
 
 
+def stamp(pages: DataFrame, source: str, logical_date: str) -> DataFrame:
+    """Give the pages of one pull (page_no, page) their source, day and fetch instant (UTC)."""
+    get_source(source)
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()),
+                        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return pages.select(
+        F.lit(source).alias("source"),
+        F.lit(f"{logical_date[:10]}T00:00:00+00:00").alias("logical_date"),
+        F.concat(now, F.lit("+00:00")).alias("fetched_at"),
+        "page_no",
+        "page",
+    )
+
+
 def _with_day(documents: DataFrame) -> DataFrame:
     return documents.withColumn("logical_date", iso_day(F.col("logical_date")))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -29,12 +32,45 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path or glob."""
+    fs, target = _fs(spark, path)
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(target) or [])
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first-level Hive partitions under `path`."""
     prefix = f"{column}="
     return [n[len(prefix):] for n in subfolders(spark, path) if n.startswith(prefix)]
 
 
+# Input per shuffle task, and the most tasks one shuffle is split into.
+SHUFFLE_BYTES, MOST_PARTITIONS = 128 * 1024 * 1024, 100_000
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Raise the number of shuffle partitions to what the stored input asks for.
+
+    A fixed number is wrong for either a day or the whole history. It is never lowered: adaptive
+    execution merges partitions that turn out small, but it cannot make large ones fit.
+    """
+    needed = -(-sum(stored_bytes(spark, p) for p in paths) // SHUFFLE_BYTES)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chosen = max(current, min(needed, MOST_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
+    return chosen
+
+
+@contextmanager
+def visible_as(df: DataFrame, name: str) -> Iterator[str]:
+    """Make a frame readable from SQL under `name` for the length of a block."""
+    df.createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 class Snapshots:
     """A small table kept as numbered, complete snapshots; readers see the newest finished one.
 

@@ -19,7 +19,12 @@ BATCH = "batch"
 
 
 def land_candidates(
-    spark: SparkSession, source: str, bronze_path: str, flat_path: str, checkpoint: str
+    spark: SparkSession,
+    source: str,
+    bronze_path: str,
+    flat_path: str,
+    checkpoint: str,
+    files_per_batch: int = 10_000,
 ) -> None:
     """Flatten the documents that are new under `bronze_path` and return when all are done.
 
@@ -35,6 +40,7 @@ def land_candidates(
     arriving = (
         spark.readStream.schema(spec.bronze_schema)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .json(bronze_path)
         .where(F.col("source") == source)
     )
@@ -48,9 +54,15 @@ def land_candidates(
 
 
 def silver_from_candidates(spark: SparkSession, source: str, flat_path: str) -> DataFrame:
-    """Silver over everything landed so far."""
+    """Silver over everything landed so far.
+
+    Landing a day again replaces its document, so only the rows of each day's latest fetch count.
+    """
     batches = partition_values(spark, flat_path, BATCH)
     if not batches:
         return spark.createDataFrame([], get_source(source).silver_schema)
     rows = spark.read.parquet(flat_path).drop(BATCH)
+    # One row per calendar day.
+    latest = rows.groupBy("logical_date").agg(F.max("fetched_at").alias("fetched_at"))
+    rows = rows.join(F.broadcast(latest), ["logical_date", "fetched_at"], "left_semi")
     return newest_with_features(rows, source)
