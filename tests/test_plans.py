@@ -59,9 +59,24 @@ def test_view_is_one_shuffle(loaded, name):
     assert "NestedLoop" not in text and "SinglePartition" not in text
 
 
-def test_entity_filter_reaches_the_dimension_scan(loaded):
+def test_entity_filter_reaches_both_scans(loaded):
     text = plan(serving.list_crypto(loaded, coin_id="a").matches)
     assert "EqualTo(coin_id,a)" in text
+    assert re.search(r"EqualTo\(coin_key,\d+\)", text)
+
+
+def test_upper_bound_prunes_partitions_below_the_window(loaded):
+    text = plan(serving.list_crypto(loaded, date_to=date(2026, 7, 2)).matches)
+    assert re.search(r"PartitionFilters: \[[^\]]*month_key#\d+ <= 202607", text)
+    assert "LessThanOrEqual(date_key,20260702)" in text
+    assert serving.list_crypto(loaded, date_to=date(2026, 6, 30)).total() == 0
+    assert [r["date"].day for r in serving.list_crypto(loaded, coin_id="a", date_to=date(2026, 7, 2))
+            .items.collect()] == [2, 1]
+
+
+def test_unknown_entity_reads_nothing(loaded):
+    assert serving.list_crypto(loaded, coin_id="zzz").total() == 0
+    assert serving.latest_crypto_row(loaded, "zzz").first() is None
 
 
 def test_date_filter_stays_above_the_window(loaded):

@@ -10,15 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.feeds import silver_ctes, table
 from tidemark.catalog.lake import registry, staged_silver, warehouse
 from tidemark.catalog.shape import Catalog
-from tidemark.catalog.star import (
-    FACT_SHAPES,
-    VIEW_SHAPES,
-    VIEW_SOURCE,
-    _fact_sql,
-    natural_fact,
-    view,
-    view_ctes,
-)
+from tidemark.catalog.star import VIEW_SHAPES, VIEW_SOURCE, view, view_ctes
 from tidemark.operators.regression import error_metrics, least_squares
 from tidemark.plans import charts, forecast, serving
 from tidemark.plans.jobs import load_snapshots

@@ -231,7 +231,7 @@ def _fact_query(fact: str, source: str):
     return lambda spark, sf_dir: natural_fact(warehouse(spark, sf_dir, source), fact)
 
 
-def _fact_sql(source: str) -> str:
+def fact_sql(source: str) -> str:
     column = FACT_OF_SOURCE[source].date_column
     key = f", CAST(strftime({column}, '%Y%m%d') AS INTEGER) AS date_key" if column else ""
     return f"SELECT *{key} FROM {SHORT[source]}_silver"
@@ -239,7 +239,7 @@ def _fact_sql(source: str) -> str:
 
 for _name, (_fact, _source, _shape) in FACT_SHAPES.items():
     star.add(
-        _name, _shape, _fact_query(_fact, _source), _fact_sql(_source),
+        _name, _shape, _fact_query(_fact, _source), fact_sql(_source),
         f"WITH {silver_ctes(_source)}",
     )
 
@@ -256,7 +256,7 @@ def idempotent_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 star.add(
-    "idempotent_reload", FACT_SHAPES["fact_crypto"][2], idempotent_reload, _fact_sql("coingecko"),
+    "idempotent_reload", FACT_SHAPES["fact_crypto"][2], idempotent_reload, fact_sql("coingecko"),
     f"WITH {silver_ctes('coingecko')}",
 )
 
@@ -273,7 +273,7 @@ def moved_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 star.add(
-    "fact_news_moved_reload", FACT_SHAPES["fact_news_left_join"][2], moved_news, _fact_sql("newsapi"),
+    "fact_news_moved_reload", FACT_SHAPES["fact_news_left_join"][2], moved_news, fact_sql("newsapi"),
     f"WITH {silver_ctes('newsapi')}",
 )
 
@@ -288,28 +288,51 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _integrity_sql() -> str:
-    rows = []
+    """The same rules counted on Silver, where keys are still natural."""
+    parts = []
+
+    def rule(fact: str, check: str, column: str, count: str) -> None:
+        parts.append(
+            f"""SELECT '{fact}' AS fact, '{check}' AS "check", '{column}' AS "column",
+                (SELECT count(*) FROM {count}) AS violations"""
+        )
+
     for name, fact in FACTS.items():
+        rows = f"{SHORT[fact.source]}_silver"
+        natural = {lookup.role: list(lookup.silver_columns) for lookup in fact.lookups}
         dated = ["date_key"] if fact.date_column else []
-        references = [lookup.role for lookup in fact.lookups] + dated
-        required = list(dict.fromkeys([*fact.grain, *dated]))
-        rows += [(name, "reference", c) for c in references]
-        rows += [(name, "unique", ",".join(fact.grain))]
-        rows += [(name, "not_null", c) for c in required]
-    listed = ", ".join(f"('{f}', '{k}', '{c}', 0)" for f, k, c in rows)
-    return f'SELECT * FROM (VALUES {listed}) AS rules(fact, "check", "column", violations)'
+        if fact.date_column:
+            natural["date_key"] = [fact.date_column]
+        for role in natural:
+            listed = ", ".join(natural[role])
+            known = " AND ".join(f"{c} IS NOT NULL" for c in natural[role])
+            rule(
+                name, "reference", role,
+                f"""(SELECT {listed} FROM {rows} WHERE {known}
+                    EXCEPT SELECT DISTINCT {listed} FROM {rows}) AS lost""",
+            )
+        grain = ", ".join(c for role in fact.grain for c in natural.get(role, [role]))
+        repeated = f"(SELECT {grain} FROM {rows} GROUP BY {grain} HAVING count(*) > 1) AS repeated"
+        rule(name, "unique", ",".join(fact.grain), repeated)
+        for role in dict.fromkeys([*fact.grain, *dated]):
+            unknown = " OR ".join(f"{c} IS NULL" for c in natural.get(role, [role]))
+            rule(name, "not_null", role, f"{rows} WHERE {unknown}")
+    return " UNION ALL ".join(parts)
 
 
-star.add("integrity_report", "fact check column violations:b", integrity_report, _integrity_sql())
+star.add(
+    "integrity_report", "fact check column violations:b", integrity_report, _integrity_sql(),
+    f"WITH {silver_ctes(*ALL_SOURCES)}",
+)
 
 # -- views
 
-_ANNUAL_WINDOW = "PARTITION BY country_iso3, indicator_id ORDER BY year"
+ANNUAL_WINDOW = "PARTITION BY country_iso3, indicator_id ORDER BY year"
 
 
 def _annual_view_sql(name: str, measure: str, mean: str) -> str:
-    return f"""SELECT *, lag({measure}) OVER ({_ANNUAL_WINDOW}) AS lag1_{measure},
-        avg({measure}) OVER ({_ANNUAL_WINDOW} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {mean}
+    return f"""SELECT *, lag({measure}) OVER ({ANNUAL_WINDOW}) AS lag1_{measure},
+        avg({measure}) OVER ({ANNUAL_WINDOW} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {mean}
         FROM {name}_silver"""
 
 

@@ -41,7 +41,7 @@ class Forecast:
     """What to predict for a domain and from which two features."""
 
     domain: str
-    view: Callable[[Warehouse], DataFrame]
+    view: Callable[..., DataFrame]
     entity: tuple[str, ...]
     time: str
     target: str
@@ -312,9 +312,7 @@ def predict(wh: Warehouse, registry: Registry, domain: str, **entity: str) -> di
     if missing:
         raise MissingParameterError(f"{domain} needs {', '.join(missing)}")
     folded = {p: entity[p].upper() if spec.upper else entity[p].lower() for p in spec.parameters}
-    view = spec.view(wh)
-    for column, value in zip(spec.entity, folded.values(), strict=True):
-        view = view.where(F.col(column) == value)
+    view = spec.view(wh, entity=dict(zip(spec.entity, folded.values(), strict=True)))
     row = score_latest(view, spec, registry.champion_model(domain)).first()
     answer = {"domain": domain, "entity": folded, "status": "no_data"}
     if row is not None:

@@ -47,10 +47,13 @@ def list_countries(
     return Page(narrow(rows, (search, matches)), ("country_iso3",), limit, offset)
 
 
-def _annual_page(view: DataFrame, country, indicator_id, year_min, year_max, limit, offset) -> Page:
+def _annual_page(
+    wh: Warehouse, view, country, indicator_id, year_min, year_max, limit, offset
+) -> Page:
+    code = _upper(country)
     rows = narrow(
-        view,
-        (_upper(country), _equals("country_iso3")),
+        view(wh, entity={"country_iso3": code}, until=year_max),
+        (code, _equals("country_iso3")),
         (indicator_id, _equals("indicator_id")),
         (year_min, _from("year")),
         (year_max, _to("year")),
@@ -68,8 +71,8 @@ def list_gdp(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
-    view = views.view_gdp(wh)
-    return _annual_page(view, country, indicator_id, year_min, year_max, limit, offset)
+    view = views.view_gdp
+    return _annual_page(wh, view, country, indicator_id, year_min, year_max, limit, offset)
 
 
 def list_inflation(
@@ -82,8 +85,8 @@ def list_inflation(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
-    view = views.view_inflation(wh)
-    return _annual_page(view, country, indicator_id, year_min, year_max, limit, offset)
+    view = views.view_inflation
+    return _annual_page(wh, view, country, indicator_id, year_min, year_max, limit, offset)
 
 
 def list_exchange_rates(
@@ -96,10 +99,11 @@ def list_exchange_rates(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
+    pair = {"base_code": _upper(base), "currency": _upper(quote)}
     rows = narrow(
-        views.view_exchange_rate(wh),
-        (_upper(base), _equals("base_code")),
-        (_upper(quote), _equals("currency")),
+        views.view_exchange_rate(wh, entity=pair, until=date_to),
+        (pair["base_code"], _equals("base_code")),
+        (pair["currency"], _equals("currency")),
         (date_from, _from("date")),
         (date_to, _to("date")),
     )
@@ -116,8 +120,9 @@ def list_weather(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
+    place = {"latitude": latitude, "longitude": longitude}
     rows = narrow(
-        views.view_weather(wh),
+        views.view_weather(wh, entity=place, until=date_to),
         (latitude, _equals("latitude")),
         (longitude, _equals("longitude")),
         (date_from, _from("date")),
@@ -135,9 +140,10 @@ def list_crypto(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
+    coin = _lower(coin_id)
     rows = narrow(
-        views.view_crypto(wh),
-        (_lower(coin_id), _equals("coin_id")),
+        views.view_crypto(wh, entity={"coin_id": coin}, until=date_to),
+        (coin, _equals("coin_id")),
         (date_from, _from("date")),
         (date_to, _to("date")),
     )
@@ -154,8 +160,9 @@ def list_news(
     limit: int = DEFAULT_LIMIT,
     offset: int = 0,
 ) -> Page:
+    view = views.view_news(wh, entity={"source_name": source}, since=date_from, until=date_to)
     rows = narrow(
-        views.view_news(wh),
+        view,
         (source, _equals("source_name")),
         (date_from, _from("date")),
         (date_to, _to("date")),
@@ -169,22 +176,21 @@ def _newest(rows: DataFrame, *order: str) -> DataFrame:
 
 
 def latest_gdp_row(wh: Warehouse, country: str) -> DataFrame:
-    rows = views.view_gdp(wh).where(F.col("country_iso3") == country.upper())
-    return _newest(rows, "-year", "indicator_id")
+    return _newest(views.view_gdp(wh, entity={"country_iso3": country.upper()}), "-year", "indicator_id")
 
 
 def latest_inflation_row(wh: Warehouse, country: str) -> DataFrame:
-    rows = views.view_inflation(wh).where(F.col("country_iso3") == country.upper())
-    return _newest(rows, "-year", "indicator_id")
+    view = views.view_inflation(wh, entity={"country_iso3": country.upper()})
+    return _newest(view, "-year", "indicator_id")
 
 
 def latest_exchange_rate_row(wh: Warehouse, base: str, quote: str) -> DataFrame:
-    pair = (F.col("base_code") == base.upper()) & (F.col("currency") == quote.upper())
-    return _newest(views.view_exchange_rate(wh).where(pair), "-date")
+    pair = {"base_code": base.upper(), "currency": quote.upper()}
+    return _newest(views.view_exchange_rate(wh, entity=pair), "-date")
 
 
 def latest_crypto_row(wh: Warehouse, coin_id: str) -> DataFrame:
-    return _newest(views.view_crypto(wh).where(F.col("coin_id") == coin_id.lower()), "-date")
+    return _newest(views.view_crypto(wh, entity={"coin_id": coin_id.lower()}), "-date")
 
 
 def latest_rows(view: DataFrame, entity: Sequence[str], time: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 Windows are partitioned by the natural key of the entity, so a filter on that key reaches below the
 window. A fact has one row per entity and point in time, which bounds each window by the calendar.
+
+Views take `entity` and `until`, as `Warehouse.slice` does. Both narrow the stored rows before the
+window and are exact: an entity's features use its own rows only, and frames reach back, never ahead.
+A lower bound would cut history and is therefore offered only where there is no window.
 """
 
 from __future__ import annotations
@@ -16,8 +20,8 @@ from tidemark.operators.series import History
 from tidemark.plans.warehouse import Warehouse
 
 
-def _with_country(wh: Warehouse, fact: str) -> DataFrame:
-    return wh.describe(wh.table(fact), "dim_country", ["country_key"])
+def _with_country(wh: Warehouse, fact: str, **within) -> DataFrame:
+    return wh.describe(wh.slice(fact, **within), "dim_country", ["country_key"])
 
 
 def _with_day(wh: Warehouse, rows: DataFrame, *more: str) -> DataFrame:
@@ -33,9 +37,11 @@ def _with_pair(wh: Warehouse, rows: DataFrame) -> DataFrame:
     return rows
 
 
-def _annual_view(wh: Warehouse, fact: str, measure: str, derived: str, mean_name: str) -> DataFrame:
+def _annual_view(
+    wh: Warehouse, fact: str, measure: str, derived: str, mean_name: str, **within
+) -> DataFrame:
     history = History(("country_iso3", "indicator_id"), "year")
-    return _with_country(wh, fact).select(
+    return _with_country(wh, fact, **within).select(
         "country_iso3",
         "country_name",
         "indicator_id",
@@ -47,19 +53,21 @@ def _annual_view(wh: Warehouse, fact: str, measure: str, derived: str, mean_name
     )
 
 
-def view_gdp(wh: Warehouse) -> DataFrame:
-    return _annual_view(wh, "fact_gdp", "gdp_usd", "gdp_growth_rate", "gdp_3yr_avg_usd")
+def view_gdp(wh: Warehouse, **within) -> DataFrame:
+    return _annual_view(
+        wh, "fact_gdp", "gdp_usd", "gdp_growth_rate", "gdp_3yr_avg_usd", **within
+    )
 
 
-def view_inflation(wh: Warehouse) -> DataFrame:
+def view_inflation(wh: Warehouse, **within) -> DataFrame:
     return _annual_view(
-        wh, "fact_inflation", "inflation_pct", "inflation_trend", "inflation_3yr_avg_pct"
+        wh, "fact_inflation", "inflation_pct", "inflation_trend", "inflation_3yr_avg_pct", **within
     )
 
 
-def view_exchange_rate(wh: Warehouse) -> DataFrame:
+def view_exchange_rate(wh: Warehouse, **within) -> DataFrame:
     history = History(("base_code", "currency"), "date")
-    return _with_day(wh, _with_pair(wh, wh.table("fact_exchange_rate"))).select(
+    return _with_day(wh, _with_pair(wh, wh.slice("fact_exchange_rate", **within))).select(
         "base_code",
         "currency",
         "date",
@@ -70,9 +78,9 @@ def view_exchange_rate(wh: Warehouse) -> DataFrame:
     )
 
 
-def view_weather(wh: Warehouse) -> DataFrame:
+def view_weather(wh: Warehouse, **within) -> DataFrame:
     history = History(("latitude", "longitude"), "date")
-    rows = wh.describe(wh.table("fact_weather"), "dim_location", ["location_key"])
+    rows = wh.describe(wh.slice("fact_weather", **within), "dim_location", ["location_key"])
     return _with_day(wh, rows).select(
         "latitude",
         "longitude",
@@ -86,9 +94,9 @@ def view_weather(wh: Warehouse) -> DataFrame:
     )
 
 
-def view_crypto(wh: Warehouse) -> DataFrame:
+def view_crypto(wh: Warehouse, **within) -> DataFrame:
     history = History(("coin_id",), "date")
-    rows = wh.describe(wh.table("fact_crypto"), "dim_coin", ["coin_key"])
+    rows = wh.describe(wh.slice("fact_crypto", **within), "dim_coin", ["coin_key"])
     return _with_day(wh, rows).select(
         "coin_id",
         "symbol",
@@ -104,9 +112,9 @@ def view_crypto(wh: Warehouse) -> DataFrame:
     )
 
 
-def view_news(wh: Warehouse) -> DataFrame:
+def view_news(wh: Warehouse, **within) -> DataFrame:
     """Articles without a known source stay, with a null name."""
-    rows = wh.describe(wh.table("fact_news"), "dim_news_source", ["news_source_key"], "left")
+    rows = wh.describe(wh.slice("fact_news", **within), "dim_news_source", ["news_source_key"], "left")
     return _with_day(wh, rows).select(
         "url",
         "source_name",
@@ -199,7 +207,7 @@ def agg_weather_monthly(wh: Warehouse) -> DataFrame:
     )
 
 
-VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
+VIEWS: dict[str, Callable[..., DataFrame]] = {
     f.__name__: f
     for f in (
         view_gdp,

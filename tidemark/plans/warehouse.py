@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -187,6 +189,44 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
+    def key_of(self, name: str, natural: Mapping[str, Any]) -> int | None:
+        """Key of one dimension member, None when there is no such member."""
+        members = self.table(name)
+        for column, value in natural.items():
+            members = members.where(F.col(column) == F.lit(value))
+        found = members.select(DIMENSIONS[name].key).first()
+        return found[0] if found else None
+
+    def slice(
+        self,
+        name: str,
+        entity: Mapping[str, Any] | None = None,
+        since: date | int | None = None,
+        until: date | int | None = None,
+    ) -> DataFrame:
+        """Rows of a fact for some entity and span of days (or years), filtered in the file scan.
+
+        `entity` names Silver columns; each set of them that identifies a dimension member is turned
+        into its key, which the stored rows are sorted by. The span prunes partitions.
+        """
+        fact, rows, entity = FACTS[name], self._stored(FACTS[name]), entity or {}
+        for lookup in fact.lookups:
+            given = [entity.get(c) for c in lookup.silver_columns]
+            if any(value in (None, "") for value in given):
+                continue
+            natural = dict(zip(DIMENSIONS[lookup.dimension].natural, given, strict=True))
+            key = self.key_of(lookup.dimension, natural)
+            rows = rows.where(F.lit(False) if key is None else F.col(lookup.role) == key)
+        time = "date_key" if fact.date_column else "year"
+        for bound, keeps in ((since, Column.__ge__), (until, Column.__le__)):
+            if bound is None:
+                continue
+            number = bound if isinstance(bound, int) else int(f"{bound:%Y%m%d}")
+            rows = rows.where(keeps(F.col(time), F.lit(number)))
+            if fact.partition == MONTH:
+                rows = rows.where(keeps(F.col(MONTH), F.lit(number // 100)))
+        return rows.select(*self._schema(name).fieldNames())
+
     def dimension_bytes(self, name: str) -> int:
         """Measured size of a dimension, taken once per snapshot."""
         state = (name, self._dimension(name).current())
@@ -255,6 +295,8 @@ class Warehouse:
     def _write(self, rows: DataFrame, fact: Fact, path: str) -> None:
         (
             rows.hint("rebalance", fact.partition)
+            # Keys of an entity lie together in a file, so a scan for one skips most row groups.
+            .sortWithinPartitions(fact.partition, *fact.grain)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(fact.partition)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import iso_day, iso_instant
+from tidemark.functions import iso_instant
 from tidemark.operators.quality import Expectation, between, not_null, same_columns, unique
 from tidemark.operators.series import History
 from tidemark.sources import schemas
