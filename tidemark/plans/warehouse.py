@@ -18,7 +18,7 @@ from tidemark.operators.quality import count_orphans
 from tidemark.session import scratch_path
 from tidemark.sources import schemas
 from tidemark.sources.registry import get_source
-from tidemark.sources.storage import Snapshots, delete, partition_values, subfolders
+from tidemark.sources.storage import Snapshots, delete, make_folder, partition_values
 
 MONTH = "month_key"
 
@@ -165,12 +165,9 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def create_schema(self) -> None:
-        """Make every table readable; tables that exist stay as they are."""
+        """Make a folder for every table; one without data reads as empty, others stay as they are."""
         for name in schemas.WAREHOUSE:
-            if name in FACTS:
-                continue  # A fact without partitions reads as empty.
-            if not subfolders(self.spark, f"{self.root}/{name}"):
-                self._dimension(name).replace(self.spark.createDataFrame([], self._schema(name)))
+            make_folder(self.spark, f"{self.root}/{name}")
 
     def table(self, name: str) -> DataFrame:
         """A table with its declared columns; empty when nothing was loaded yet."""

@@ -24,6 +24,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under `path`; empty when it does not exist."""
     fs, target = _fs(spark, path)
