@@ -14,12 +14,12 @@ from tidemark.operators.quality import Outcome, ValidationFailedError, validate,
 from tidemark.plans.forecast import Registry, train_register_deploy
 from tidemark.plans.silver import to_silver
 from tidemark.plans.warehouse import Warehouse
-from tidemark.session import build_session
+from tidemark.session import build_session, scratch_root
 from tidemark.sources.bronze import envelopes, read_bronze, stamp, write_bronze
 from tidemark.sources.contracts import require_valid
 from tidemark.sources.registry import SOURCE_NAMES, get_source
 from tidemark.sources.silver import read_silver, write_silver
-from tidemark.sources.storage import size_shuffles
+from tidemark.sources.storage import delete, size_shuffles
 
 
 def land_payloads(payloads: DataFrame, source: str, logical_date: str, path: str) -> None:
@@ -130,6 +130,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     command("train", "domain", "warehouse", "registry", sources=False)
     args = parser.parse_args(argv)
+    started_here = SparkSession.getActiveSession() is None
     spark = build_session(f"tidemark-{args.command}")
     try:
         if args.command == "silver":
@@ -151,6 +152,10 @@ def main(argv: list[str] | None = None) -> int:
     except ValidationFailedError as error:
         print(error, file=sys.stderr)
         return 1
+    finally:
+        if started_here:
+            delete(spark, scratch_root(spark))
+            spark.stop()
     return 0
 
 

@@ -77,7 +77,11 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its scratch tables; of no use once it ends."""
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing else writes there."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tidemark/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

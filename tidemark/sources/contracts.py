@@ -42,6 +42,8 @@ DEFAULTS = {"world_bank": ANNUAL_DEFAULTS, "world_bank_inflation": ANNUAL_DEFAUL
 
 NOT_JSON = "payload: not a JSON document of the expected shape"
 
+BROKEN = "_broken"
+
 Check = tuple[str, Callable[[Column], Column]]
 
 
@@ -124,37 +126,40 @@ def _typed(value: Column, dtype: T.DataType, path: str, defaults: dict) -> Colum
     return F.coalesce(value, F.lit(defaults[path])) if path in defaults else value
 
 
-def _parse(raw: Column, source: str, shape: T.StructType) -> Column:
-    """Raw text to a text-only page; the bare lists some feeds answer with become a struct."""
+def _as_object(raw: Column, source: str) -> Column:
+    """Raw text as the text of one object; the bare lists some feeds answer with get field names."""
     if source in ("world_bank", "world_bank_inflation"):
         parts = F.from_json(raw, "array<string>")
-        meta, records = (f.dataType for f in shape.fields)
-        listed = F.struct(
-            F.from_json(F.get(parts, F.lit(0)), meta).alias("meta"),
-            F.coalesce(F.from_json(F.get(parts, F.lit(1)), records), F.array().cast(records))
-            .alias("records"),
+        records = F.coalesce(F.get(parts, F.lit(1)), F.lit("[]"))
+        pair = F.concat(
+            F.lit('{"meta":'), F.get(parts, F.lit(0)), F.lit(',"records":'), records, F.lit("}")
         )
-        is_list = raw.rlike(r"^\s*\[") & (F.size(parts) == 2)
-        return F.when(is_list, listed).otherwise(F.from_json(raw, shape))
+        return F.when(raw.rlike(r"^\s*\[") & (F.size(parts) == 2), pair).otherwise(raw)
     if source == "coingecko":
-        coins = shape.fields[0].dataType
-        listed = F.struct(F.from_json(raw, coins).alias("coins"))
-        return F.when(raw.rlike(r"^\s*\["), listed).otherwise(F.from_json(raw, shape))
-    return F.from_json(raw, shape)
+        listed = F.concat(F.lit('{"coins":'), raw, F.lit("}"))
+        return F.when(raw.rlike(r"^\s*\["), listed).otherwise(raw)
+    return raw
 
 
 def check_payloads(payloads: DataFrame, source: str, raw: str = "payload") -> DataFrame:
     """Add `page` (typed, modelled fields only) and `problems` (empty for a valid payload)."""
     get_source(source)
     dtype = schemas.struct(schemas.PAGES[source])
-    parsed = payloads.withColumn("_text", _parse(F.col(raw), source, _as_text(dtype)))
+    # The parser leaves the text of a payload it cannot read in the extra field.
+    shape = T.StructType([*_as_text(dtype).fields, T.StructField(BROKEN, T.StringType())])
+    text = _as_object(F.col(raw), source)
+    parsed = payloads.withColumn(
+        "_text", F.from_json(text, shape, {"columnNameOfCorruptRecord": BROKEN})
+    )
     value = F.col("_text")
     labels = [
         F.when(F.coalesce(wrong(value), F.lit(False)), F.lit(label))
         for label, wrong in _checks(dtype, "", frozenset(REQUIRED[source]))
     ]
-    broken = F.try_parse_json(F.col(raw)).isNull() | value.isNull()
-    problems = F.when(broken, F.array(F.lit(NOT_JSON))).otherwise(F.array_compact(F.array(*labels)))
+    unreadable = value.isNull() | value[BROKEN].isNotNull()
+    problems = F.when(unreadable, F.array(F.lit(NOT_JSON))).otherwise(
+        F.array_compact(F.array(*labels))
+    )
     return parsed.withColumns(
         {"page": _typed(value, dtype, "", DEFAULTS.get(source, {})), "problems": problems}
     ).drop("_text")
