@@ -41,8 +41,10 @@ def test_chain_of_one_source(spark, tmp_path, paths):
     assert got["bitcoin", 17] == 1.0 and got["ethereum", 17] == 3214.0 and len(got) == 16
     outcome = jobs.validate_silver(spark, "coingecko", paths["silver"])
     assert outcome.success and outcome.total == 8
-    registry = forecast.Registry(spark, paths["registry"])
-    assert forecast.train_register_deploy(wh, registry, "crypto")["promoted"]
+    train = ["train", "--domain", "crypto", "--warehouse", paths["warehouse"]]
+    assert jobs.main([*train, "--registry", paths["registry"]]) == 0
+    (listed,) = forecast.Registry(spark, paths["registry"]).listing().collect()
+    assert (listed["name"], listed["champion_version"]) == ("crypto_forecast", 1)
 
 
 def test_landing_checks_wraps_and_replaces(spark, tmp_path):

@@ -139,6 +139,20 @@ def test_tables_ascend_by_time_and_page(wh, name):
     assert charts.raw_table_page(wh, name, 0, size=3).collect() == whole[:3]
 
 
+def test_new_filter_starts_at_the_first_page(wh):
+    page = serving.list_gdp(wh, limit=3, offset=6)
+    assert page.total() == 20
+    first = page.narrowed(("KEN", lambda v: F.col("country_iso3") == v))
+    assert (first.offset, first.limit, first.total()) == (0, 3, 4)
+
+
+def test_dataset_roles(wh):
+    roles = charts.DATASETS["crypto"].roles(wh)
+    assert roles["time"] == ["date"] and roles["group"] == ["coin_id", "symbol", "name"]
+    assert "price_7d_avg_usd" in roles["measure"]
+    assert charts.DATASETS["gdp"].roles(wh)["time"] == []
+
+
 def test_filter_values_and_explore(wh):
     assert [r[0] for r in charts.filter_values(wh, "crypto", "coin_id").collect()] == [
         "bitcoin", "ethereum", "obscure"]

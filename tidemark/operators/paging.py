@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,10 @@ class Page:
     def items(self) -> DataFrame:
         return self.matches.orderBy(*ordering(self.order)).offset(self.offset).limit(self.limit)
 
+    def narrowed(self, *choices: tuple[Any, Callable[[Any], Column]]) -> Page:
+        """The first page after further filters were set."""
+        return replace(self, matches=narrow(self.matches, *choices), offset=0)
+
     def total(self) -> int:
         return self.matches.count()
 

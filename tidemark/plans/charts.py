@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidemark.operators.paging import narrow, ordering
 from tidemark.plans import views
@@ -28,10 +29,18 @@ class Metric:
 class Dataset:
     """A view offered to charts, with its time column and its saved metrics."""
 
-    view: Callable[[Warehouse], DataFrame]
+    view: Callable[..., DataFrame]
     time: str | None
     metrics: dict[str, Metric]
 
+    def roles(self, wh: Warehouse) -> dict[str, list[str]]:
+        """Columns by what a chart may do with them: order in time, average, or group and filter."""
+        fields = self.view(wh).schema.fields
+        measures = [f.name for f in fields if isinstance(f.dataType, DoubleType)]
+        time = [self.time] if self.time else []
+        others = [f.name for f in fields if f.name not in measures and f.name not in time]
+        return {"time": time, "measure": measures, "group": others}
+
 
 def _dataset(view, time: str | None, column: str) -> Dataset:
     label = f"avg_{column}"
