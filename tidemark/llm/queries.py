@@ -12,6 +12,7 @@ from tidemark.llm.common import tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
 from tidemark.llm.mixing import mixed
+from tidemark.llm.pseudonyms import pseudonymised
 from tidemark.llm.urls import judge_urls, url_host
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,12 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+@query("op6_pii_pseudonyms")
+def pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pseudonymised(tables(spark, sf_dir, "documents").select("doc_id", "text"), key="tidemark")
+    return rows.select("doc_id", "text", F.size("found").alias("n_found"), "found")
+
+
 #: host, path, verdict: the rules of the query, fixed values
 URL_RULES = [
     ("net", "/", "block"),
