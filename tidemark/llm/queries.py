@@ -12,6 +12,7 @@ from tidemark.llm.common import tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
 from tidemark.llm.mixing import mixed
+from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
 from tidemark.llm.urls import judge_urls, url_host
 
@@ -72,6 +73,12 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules, listed.select("url"))
 
 
+@query("op10_substring_dedup", sql.PASSAGES)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeated_passages(tables(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "cut.n_words", "cut.n_removed", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -98,3 +98,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
 """
+
+PASSAGES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, {WORDS}), []) AS w FROM documents
+),
+p AS (
+  SELECT rid, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+),
+hit AS (SELECT rid, i FROM p JOIN (SELECT h, min(doc_id) AS first FROM p GROUP BY h) USING (h) WHERE doc_id > first),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 50)) AS k FROM hit),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+kept AS (
+  SELECT words.rid, count(*) AS n, string_agg(word, ' ' ORDER BY words.k) AS said
+  FROM words ANTI JOIN gone USING (rid, k) GROUP BY words.rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(said, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
