@@ -11,6 +11,7 @@ from tidemark.llm import sql
 from tidemark.llm.common import tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
+from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.mixing import mixed
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
@@ -64,6 +65,12 @@ URL_RULES = [
 LISTED_SITES = ("ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x")
 
 
+@query("op8_ngram_jaccard", sql.JACCARD)
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_groups(docs, size=3, similarity=(9, 10))
+
+
 @query("op9_url_filter", sql.URLS)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tables(spark, sf_dir, "pages").select("page_id", "url")

@@ -118,3 +118,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
   sha256(coalesce(said, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all({FOLD.format("text")}, {WORDS}), []) AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g
+  FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT doc_id, b FROM reach JOIN both_ways ON other = a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY ALL
+"""

@@ -43,12 +43,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def pieces(bounds: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Runs of texts with about `limit` bytes at most, or a single longer text."""
+def pieces(bounds: np.ndarray, limit: int = PIECE, most: int = 2**20) -> Iterator[tuple[int, int]]:
+    """Runs of at most `most` texts with about `limit` bytes at most, or a single longer text."""
     low, count = 0, len(bounds) - 1
     while low < count:
         high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + limit, "right")) - 1)
-        yield low, min(high, count)
+        high = min(high, count, low + most)
+        yield low, high
         low = high
 
 
