@@ -15,6 +15,7 @@ from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.mixing import mixed
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
+from tidemark.llm.toxicity import toxicity, train
 from tidemark.llm.urls import judge_urls, url_host
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,24 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+TOXIC_AT = 0.7
+
+
+def held_out(doc_id, folds: int, which: int):
+    """Whether crc32 of the id, as text, falls in the fold that isn't learnt from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == which, F.lit(False))
+
+
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = tables(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = train(docs, labels.where(~held_out(F.col("doc_id"), 3, 1)))
+    scored = docs.withColumn("score", toxicity(docs, model))
+    predicted = (F.col("score") >= TOXIC_AT).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", predicted)
+
+
 @query("op4_benchmark_decontamination", sql.DECONTAMINATION)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
