@@ -15,6 +15,7 @@ from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.mixing import mixed
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
+from tidemark.llm.scoring import language_scores
 from tidemark.llm.toxicity import toxicity, train
 from tidemark.llm.urls import judge_urls, url_host
 
@@ -40,6 +41,15 @@ def held_out(doc_id, folds: int, which: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == which, F.lit(False))
 
 
+@query("op2_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(F.col("doc_id"), 7, 2)
+    scored = language_scores(tables(spark, sf_dir, "documents").select("doc_id", "text"), ~out)
+    return scored.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op3_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
