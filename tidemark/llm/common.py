@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
+from tidemark.sources.storage import delete
 
 # A side is broadcast only if it is known to have at most so many rows; its rows are narrow.
 BROADCAST_ROWS = 400_000
@@ -29,6 +30,25 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one call, removed when it ends. What a result still reads is `staged`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+    def staged(self, frame: DataFrame, label: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, label))
+        frame.write.parquet(self.paths[-1])
+        return self.spark.read.schema(frame.schema).parquet(self.paths[-1])
+
+
 def narrow_side(frame: DataFrame, rows: int | None = None) -> DataFrame:
     """A join side of narrow rows: broadcast when it is counted to be small, else left to a shuffle."""
     rows = frame.count() if rows is None else rows

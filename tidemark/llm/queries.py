@@ -13,11 +13,13 @@ from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
 from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.mixing import mixed
+from tidemark.llm.ordering import write_training_order
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
 from tidemark.llm.scoring import language_scores
 from tidemark.llm.toxicity import toxicity, train
 from tidemark.llm.urls import judge_urls, url_host
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +43,15 @@ def held_out(doc_id, folds: int, which: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == which, F.lit(False))
 
 
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
+@query("op1_token_order")
+def token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return write_training_order(docs, scratch_path(spark, "token-order"), RANKS, per_shard=2048)
+
+
 @query("op2_lm_scoring")
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 7, 2)
@@ -80,7 +91,7 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pii_pseudonyms")
 def pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pseudonymised(tables(spark, sf_dir, "documents").select("doc_id", "text"), key="tidemark")
-    return rows.select("doc_id", "text", F.size("found").alias("n_found"), "found")
+    return rows.select("doc_id", "text", F.size("found").alias("n_found"), F.to_json("found").alias("found"))
 
 
 #: host, path, verdict: the rules of the query, fixed values

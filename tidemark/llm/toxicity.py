@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import Scratch
 
 #: At most so many labelled rows of each class are learnt from (those of the smallest id hashes).
 SAMPLE_ROWS = 16_384
@@ -156,6 +156,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     Rows without a class, without a text or unknown to `docs` are not learnt from; with only one class
     the score is its share.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return _trained(docs, labels, rows, scratch)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) -> Model:
     known = labels.where("doc_id is not null and toxic is not null").select(
         "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")
     ).dropDuplicates(["doc_id"])
@@ -164,10 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     picked = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1)]
     chosen = picked[0].unionByName(picked[1])
     sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-    sample = staged(sample.withColumn("half", F.pmod(F.xxhash64(F.lit(4), F.col("doc_id")), F.lit(2))), "toxicity-sample")
+    sample = scratch.staged(sample.withColumn("half", F.pmod(F.xxhash64(F.lit(4), F.col("doc_id")), F.lit(2))), "toxicity-sample")
 
     first = sample.where("half = 0")
-    counts = staged(_unit_counts(first), "toxicity-units")
+    counts = scratch.staged(_unit_counts(first), "toxicity-units")
     n = {r["toxic"]: r["count"] for r in first.groupBy("toxic").count().collect()}
     n_toxic, n_plain = max(1, n.get(1, 0)), max(1, n.get(0, 0))
     least = max(3, n_toxic // 200)
