@@ -261,7 +261,9 @@ def read_slots(spark: SparkSession, path: str, first: int, count: int) -> DataFr
     about = spark.read.json(f"{path}/about").first()
     stride, per_shard, length = about["stride"], about["per_shard"], about["length"]
     last = min(first + count, about["sequences"])
-    wanted = F.col("shard").between(first // per_shard, max(first, last - 1) // per_shard)
+    if last <= first:
+        return spark.createDataFrame([], "slot long, tokens array<int>")
+    wanted = F.col("shard").between(first // per_shard, (last - 1) // per_shard)
     files = spark.read.format("binaryFile").load(f"{path}/shards").where(wanted).select("shard", "content")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

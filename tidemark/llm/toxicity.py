@@ -195,7 +195,7 @@ def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) ->
             )
 
     measured = sample.where("half = 1").select("text", "toxic").mapInArrow(measure, "x array<double>, toxic int").collect()
-    x = np.array([r["x"] for r in measured]).reshape(len(measured), -1)
+    x = np.array([r["x"] for r in measured])
     y = np.array([r["toxic"] for r in measured], float)
     if len(set(y)) < 2:
         total = sum(sizes.values())
