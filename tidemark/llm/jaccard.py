@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BROADCAST_ROWS, partitions, staged
+from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import Words, deal, mix64, pieces, runs_hash, text_bytes, unpack
 
@@ -223,7 +223,7 @@ def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
             ids, marks = _longs(batch, "id")[rows], marks[rows]
             heads, edges = _stars(keys, ids, marks)
             heads = np.sort(heads)
-            packed = list(deal(keys[heads], buckets, ids[heads], marks[heads].astype(np.uint32)))
+            packed = list(deal(keys[heads], buckets, keys[heads], ids[heads], marks[heads].astype(np.uint32)))
             yield _edge_batch(packed, edges)
 
     return run
@@ -298,7 +298,7 @@ def _second_round(size: int, fold: bool, limit: Limit, buckets: int):
             columns = [_longs(batch, n)[rows] for n in ("id", "mark", "part_id", "part_mark")]
             width = np.dtype(f"V{4 * DIMENSIONS}")
             point = np.ascontiguousarray(points[rows]).view(width).ravel() if len(rows) else np.zeros(0, width)
-            yield _edge_batch(list(deal(keys, buckets, *columns, point)), np.zeros((0, 4), np.int64))
+            yield _edge_batch(list(deal(keys, buckets, keys, *columns, point)), np.zeros((0, 4), np.int64))
 
     return run
 
@@ -377,8 +377,8 @@ def _node(prefix: str = ""):
 class JaccardJoin:
     """One run of the join over the rows (id, text) of a table."""
 
-    def __init__(self, rows: DataFrame, size: int, limit: Limit, fold: bool):
-        self.rows, self.size, self.limit, self.fold = rows, size, limit, fold
+    def __init__(self, rows: DataFrame, size: int, limit: Limit, fold: bool, scratch: Scratch):
+        self.rows, self.size, self.limit, self.fold, self.scratch = rows, size, limit, fold, scratch
         self.spark = rows.sparkSession
         self.buckets = BUCKETS_PER_PARTITION * partitions(self.spark)
 
@@ -389,10 +389,10 @@ class JaccardJoin:
 
     def verified(self, edges: DataFrame) -> DataFrame:
         """Those of the edges (id, mark, other_id, other_mark) whose sets are similar, as (u, v)."""
-        pairs = staged(edges.select(_node().alias("u"), _node("other_").alias("v")).distinct(), "jaccard-pairs")
-        nodes = staged(pairs.select("u.*").unionByName(pairs.select("v.*")).distinct(), "jaccard-nodes")
+        pairs = self.scratch.staged(edges.select(_node().alias("u"), _node("other_").alias("v")).distinct(), "jaccard-pairs")
+        nodes = self.scratch.staged(pairs.select("u.*").unionByName(pairs.select("v.*")).distinct(), "jaccard-nodes")
         found = self.chosen(nodes).mapInArrow(_members(self.size, self.fold), f"{NODE}, tokens binary")
-        sets = staged(found.dropDuplicates(["id", "mark"]).select(_node().alias("u"), "tokens"), "jaccard-sets")
+        sets = self.scratch.staged(found.dropDuplicates(["id", "mark"]).select(_node().alias("u"), "tokens"), "jaccard-sets")
         others = sets.select(F.col("u").alias("v"), F.col("tokens").alias("other_tokens"))
         both = pairs.join(others, "v").join(sets, "u").select("u", "v", "tokens", "other_tokens")
         return both.mapInArrow(_linked(self.limit), f"u struct<{NODE}>, v struct<{NODE}>")
@@ -405,42 +405,47 @@ def _labels(docs: DataFrame, size: int, similarity: tuple[int, int], fold: bool)
     """id, key (of the text), n_shingles and label (the least node of its component; null if the set is
     empty) for every row."""
     limit = Limit(*similarity)
+    with Scratch(docs.sparkSession) as scratch:
+        return staged(_labelled(docs, size, limit, fold, scratch), "jaccard-labels")
+
+
+def _labelled(docs: DataFrame, size: int, limit: Limit, fold: bool, scratch: Scratch) -> DataFrame:
     key = F.xxhash64("text").alias("key")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), key, "text")
-    join = JaccardJoin(rows, size, limit, fold)
-    sets = staged(
+    join = JaccardJoin(rows, size, limit, fold, scratch)
+    sets = scratch.staged(
         rows.mapInArrow(_sets(size, fold), "id long, key long, n_shingles long, one long, two long"), "jaccard-sizes"
     )
     alike, mark = ["one", "two", "n_shingles"], F.shiftrightunsigned("one", 32).alias("mark")
-    groups = staged(sets.where("n_shingles > 0").groupBy(*alike).agg(F.min("id").alias("first")), "jaccard-groups")
+    groups = scratch.staged(sets.where("n_shingles > 0").groupBy(*alike).agg(F.min("id").alias("first")), "jaccard-groups")
 
     # One row of each distinct set goes on; copies are told by id and mark.
     copies = sets.join(groups, alike).where("id > first").groupBy("id").agg(F.collect_set(mark).alias("spare"))
-    copies = staged(copies, "jaccard-copies")
+    copies = scratch.staged(copies, "jaccard-copies")
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     first = rows.join(side, "id", "left").select("id", "spare", "text")
     edge = "id long, mark long, other_id long, other_mark long"
     starred = join.dealt(first.mapInArrow(_first_round(size, fold, limit, join.buckets), EDGES))
-    edges = staged(starred.mapInArrow(_meet, edge).distinct(), "jaccard-stars")
-    links = staged(join.verified(edges), "jaccard-links")
-    found = components(links)
+    edges = scratch.staged(starred.mapInArrow(_meet, edge).distinct(), "jaccard-stars")
+    links = scratch.staged(join.verified(edges), "jaccard-links")
+    found = components(links, scratch)
 
     # Nodes that share keys, directly or through others, but are not in one component yet.
-    around = components(edges.select(_node().alias("u"), _node("other_").alias("v")))
+    around = components(edges.select(_node().alias("u"), _node("other_").alias("v")), scratch)
     around = around.unionByName(around.select(F.col("least").alias("node"), "least").distinct())
     parts = around.withColumnRenamed("least", "around").join(found, "node", "left")
-    parts = staged(parts.select("node", "around", F.coalesce("least", "node").alias("part")), "jaccard-parts")
+    parts = scratch.staged(parts.select("node", "around", F.coalesce("least", "node").alias("part")), "jaccard-parts")
     split = parts.groupBy("around").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b")
-    pending = staged(
+    pending = scratch.staged(
         parts.join(split, "around").select("node.*", F.col("part.id").alias("part_id"), F.col("part.mark").alias("part_mark")),
         "jaccard-pending",
     )
     if pending.limit(1).count():
         again = join.chosen(pending, "part_id", "part_mark")
         dealt = join.dealt(again.mapInArrow(_second_round(size, fold, limit, join.buckets), EDGES))
-        more = staged(join.verified(dealt.mapInArrow(_search(limit), edge)), "jaccard-links")
+        more = scratch.staged(join.verified(dealt.mapInArrow(_search(limit), edge)), "jaccard-links")
         if more.limit(1).count():
-            found = components(links.unionByName(more))
+            found = components(links.unionByName(more), scratch)
 
     nodes = sets.join(groups, alike, "left").withColumn("node", F.when(F.col("first").isNotNull(), F.struct(F.col("first").alias("id"), mark)))
     return nodes.join(found, "node", "left").select("id", "key", "n_shingles", F.coalesce("least", "node").alias("label"))
@@ -485,7 +490,7 @@ def without_near_duplicates(
     """The rows of `docs` with one row of each component of `jaccard_groups`: that of the smallest
     doc_id (null last, then by a hash of the text). Rows with an empty set all stay. Every column is
     passed through."""
-    labels = staged(_labels(docs, size, similarity, fold), "jaccard-labels").where("label is not null")
+    labels = _labels(docs, size, similarity, fold).where("label is not null")
     own = F.struct("id", "key")
     stay = labels.groupBy("label").agg(F.min(own).alias("stay"))
     judged = staged(

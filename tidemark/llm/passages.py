@@ -9,12 +9,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import BROADCAST_ROWS, partitions, staged
-from tidemark.llm.words import Words, deal, mix64, pieces, runs_hash, text_bytes, unpack
+from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
+from tidemark.llm.words import Words, deal, pieces, runs_hash, text_bytes, unpack
 
 WINDOW = 50
 BUCKETS_PER_PARTITION = 4
@@ -65,44 +66,35 @@ def _spread(fresh: np.ndarray, total: int) -> np.ndarray:
     return np.cumsum(mark) - 1
 
 
-def merge_ranges(starts: np.ndarray, stops: np.ndarray) -> list[int]:
-    """start, stop, start, stop, ... of the union of ranges."""
-    order = np.argsort(starts, kind="stable")
-    starts, reach = starts[order], np.maximum.accumulate(stops[order])
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]])
-    ends = np.r_[cut[1:] - 1, len(starts) - 1]
-    return np.stack([starts[cut], reach[ends]], 1).ravel().tolist()
-
-
 class _Rows:
-    """Collects output rows: packed rows for a bucket, or places of one document."""
+    """Output rows: packed questions for the bucket of their hash, and packed places for the bucket of
+    their document. What a batch says about all its documents takes a row per bucket, not per document."""
 
-    schema = "bucket int, doc_id long, mark long, payload binary"
+    schema = "bucket int, asks boolean, payload binary"
 
-    def __init__(self):
-        self.rows: list[tuple[int, int | None, int | None, bytes]] = []
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.rows: list[tuple[int, bool, bytes]] = []
 
-    def deal(self, buckets: int, keys: np.ndarray, *columns: np.ndarray) -> None:
-        self.rows += [(b, None, None, payload) for b, payload in deal(keys, buckets, *columns)]
+    def ask(self, keys: np.ndarray, *columns: np.ndarray) -> None:
+        self.rows += [(b, True, payload) for b, payload in deal(keys, self.buckets, keys, *columns)]
 
-    def places(self, buckets: int, ids: np.ndarray, marks: np.ndarray, places: np.ndarray) -> None:
-        order, fresh = _groups(ids, marks, places)
-        for part in np.split(order, fresh[1:]) if len(order) else []:
-            i = part[0]
-            bucket = int(mix64(ids[i : i + 1].astype(np.uint64))[0] % np.uint64(buckets))
-            self.rows.append((bucket, int(ids[i]), int(marks[i]), places[part].astype(np.int32).tobytes()))
+    def tell(self, ids: np.ndarray, marks: np.ndarray, places: np.ndarray) -> None:
+        order = np.lexsort([places, marks, ids])
+        columns = ids[order], marks[order].astype(np.uint32), places[order].astype(np.int32)
+        self.rows += [(b, False, payload) for b, payload in deal(columns[0].astype(np.uint64), self.buckets, *columns)]
 
     def batch(self) -> pa.RecordBatch:
-        columns = list(zip(*self.rows, strict=True)) or [[], [], [], []]
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
-        names = ("bucket", "doc_id", "mark", "payload")
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
+        columns = list(zip(*self.rows, strict=True)) or [[], [], []]
+        kinds = (pa.int32(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "asks", "payload"]
+        )
 
 
 ANCHOR = ("u8", "i8", "i4")  # hash, doc_id, place; a place of -1 asks nothing
 SPAN = ("u8", "u4", "i8", "u4", "i4")  # two hashes, doc_id, mark, place
+PLACE = ("i8", "u4", "i4")  # doc_id, mark, place
 
 
 def _anchors(buckets: int, window: int):
@@ -136,11 +128,11 @@ def _anchors(buckets: int, window: int):
             last = np.r_[fresh[1:] - 1, len(order) - 1]
             many = doc[fresh] != doc[last]
             shared = many[_spread(fresh, len(order))]
-            rows = _Rows()
-            rows.places(buckets, doc[shared], np.zeros(int(shared.sum()), np.int64), place[shared])
+            rows = _Rows(buckets)
+            rows.tell(doc[shared], np.zeros(int(shared.sum()), np.int64), place[shared])
             ends = np.r_[fresh[many], last[many]]
-            rows.deal(
-                buckets, np.r_[hashes[~shared], hashes[ends]], np.r_[doc[~shared], doc[ends]],
+            rows.ask(
+                np.r_[hashes[~shared], hashes[ends]], np.r_[doc[~shared], doc[ends]],
                 np.r_[place[~shared], np.full(len(ends), -1, np.int32)],
             )
             yield rows.batch()
@@ -148,24 +140,57 @@ def _anchors(buckets: int, window: int):
     return run
 
 
+def _by_bucket(batches: Iterator[pa.RecordBatch], waiting: dict[int, list[bytes]], asks: bool) -> Iterator[pa.RecordBatch]:
+    """Collects the packed rows of a partition by bucket; yields what is of the other kind."""
+    for batch in batches:
+        for bucket, kind, payload in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if kind == asks:
+                waiting[bucket].append(payload)
+        if asks:
+            yield batch.filter(pc.invert(batch.column("asks")))
+
+
+def _unpacked(parts: list[bytes], kinds: tuple[str, ...]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*[unpack(p, *kinds) for p in parts], strict=True)]
+
+
 def _answered(kinds: tuple[str, ...], answer, buckets: int):
-    """Runs over the dealt rows of a partition, bucket by bucket; answers pass through."""
+    """Answers the questions of a partition, bucket by bucket; places pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list[bytes]] = defaultdict(list)
-        for batch in batches:
-            rows = _Rows()
-            for row in batch.to_pylist():
-                if row["doc_id"] is None:
-                    waiting[row["bucket"]].append(row["payload"])
-                else:
-                    rows.rows.append((row["bucket"], row["doc_id"], row["mark"], row["payload"]))
-            yield rows.batch()
+        yield from _by_bucket(batches, waiting, True)
+        rows = _Rows(buckets)
+        found = [answer(*_unpacked(waiting.pop(bucket), kinds)) for bucket in list(waiting)]
+        if found:
+            rows.tell(*(np.concatenate(c) for c in zip(*found, strict=True)))
+        yield rows.batch()
+
+    return run
+
+
+def _ranges(before: int, after: int):
+    """doc_id, mark and the union of [place - before, place + after) of every document of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[bytes]] = defaultdict(list)
+        yield from _by_bucket(batches, waiting, False)
         for bucket in list(waiting):
-            parts = [unpack(p, *kinds) for p in waiting.pop(bucket)]
-            rows = _Rows()
-            rows.places(buckets, *answer(*[np.concatenate(c) for c in zip(*parts, strict=True)]))
-            yield rows.batch()
+            ids, marks, places = _unpacked(waiting.pop(bucket), PLACE)
+            order = np.lexsort([places, marks, ids])
+            ids, marks, places = ids[order], marks[order], places[order].astype(np.int64)
+            starts, stops = np.maximum(places - before, 0), places + after
+            fresh = np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])]
+            cut = np.flatnonzero(fresh | np.r_[True, starts[1:] > stops[:-1]])
+            ends = np.r_[cut[1:] - 1, len(places) - 1]
+            first = np.flatnonzero(fresh[cut])
+            pairs = np.stack([starts[cut], stops[ends]], 1).ravel().astype(np.int32)
+            offsets = np.r_[2 * first, len(pairs)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[cut][first]), pa.array(marks[cut][first].astype(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(pairs))],
+                names=["doc_id", "mark", "ranges"],
+            )
 
     return run
 
@@ -224,32 +249,20 @@ def _windows(buckets: int, window: int):
             least = np.zeros(0, np.int64) if not len(order) else doc[order][fresh][_spread(fresh, len(order))]
             later = doc[order] > least
             out, asks = order[later], order[~later]
-            rows = _Rows()
-            rows.places(buckets, doc[out], mark[out], at[out])
-            rows.deal(buckets, one[asks], two[asks], doc[asks], mark[asks].astype(np.uint32), at[asks])
+            rows = _Rows(buckets)
+            rows.tell(doc[out], mark[out], at[out])
+            rows.ask(one[asks], two[asks], doc[asks], mark[asks].astype(np.uint32), at[asks])
             yield rows.batch()
 
     return run
 
 
-def _union(before: int, after: int):
-    """Merges the places of a document into ranges [place - before, place + after)."""
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def merge(lists: pd.Series) -> pd.Series:
-        out = []
-        for parts in lists:
-            at = np.frombuffer(b"".join(bytes(p) for p in parts), np.int32).astype(np.int64)
-            out.append(merge_ranges(np.maximum(at - before, 0), at + after))
-        return pd.Series(out)
-
-    return merge
-
-
-def _dealt(rows: DataFrame, mapper, kinds: tuple[str, ...], answer, buckets: int) -> DataFrame:
-    asked = rows.mapInArrow(mapper, _Rows.schema)
-    spread = asked.repartition(partitions(rows.sparkSession), "bucket")
-    return spread.mapInArrow(_answered(kinds, answer, buckets), _Rows.schema)
+def _dealt(rows: DataFrame, mapper, kinds: tuple[str, ...], answer, reach: tuple[int, int], buckets: int) -> DataFrame:
+    """Ask by hash, answer, and gather by document: (doc_id, mark, ranges)."""
+    wide = partitions(rows.sparkSession)
+    asked = rows.mapInArrow(mapper, _Rows.schema).repartition(wide, "bucket")
+    told = asked.mapInArrow(_answered(kinds, answer, buckets), _Rows.schema).repartition(wide, "bucket")
+    return told.mapInArrow(_ranges(*reach), "doc_id long, mark long, ranges array<int>")
 
 
 def _by_document(docs: DataFrame, ranges: DataFrame, column: str, on: list[str], how: str) -> DataFrame:
@@ -286,6 +299,33 @@ def _kept(window: int):
     return cut
 
 
+def _removed(docs: DataFrame, mark: Column, window: int, scratch: Scratch) -> DataFrame:
+    """doc_id, mark, ranges and whether all of the text is a copy, for the rows that lose something."""
+    buckets = BUCKETS_PER_PARTITION * partitions(docs.sparkSession)
+    period, _, _ = cover_for(window)
+    rows = docs.where("doc_id is not null and text is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), mark, F.unhex(F.md5("text")).alias("hash"), "text"
+    )
+    ids = scratch.staged(rows.select("doc_id", "mark", "hash"), "passages-ids")
+    groups = ids.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = scratch.staged(
+        ids.join(groups, "hash").where("doc_id > first").select("doc_id", "hash").distinct(), "passages-copies"
+    )
+    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    originals = rows.join(few, ["doc_id", "hash"], "left_anti").select("doc_id", "mark", "text")
+
+    candidates = scratch.staged(
+        _dealt(originals, _anchors(buckets, window), ANCHOR, _shared_anchors, (period - 1, 1), buckets).drop("mark"),
+        "passages-candidates",
+    )
+    around = _by_document(originals, candidates, "ranges", ["doc_id"], "inner")
+    windows = _dealt(around, _windows(buckets, window), SPAN, _later, (0, window), buckets)
+    whole = copies.join(ids, ["doc_id", "hash"]).select("doc_id", "mark").distinct()
+    return windows.withColumn("copy", F.lit(False)).unionByName(
+        whole.select("doc_id", "mark", F.array().cast("array<int>").alias("ranges"), F.lit(True).alias("copy"))
+    )
+
+
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every row of `docs` with a struct column `cut`: n_words, n_removed, kept (the words that stay,
     joined by one space).
@@ -309,36 +349,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     if "cut" in docs.columns:
         raise ValueError("the documents have a column cut already")
-    buckets = BUCKETS_PER_PARTITION * partitions(docs.sparkSession)
-    period, _, _ = cover_for(window)
     mark = F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("mark")
-    rows = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), mark, F.unhex(F.md5("text")).alias("hash"), "text"
-    )
-    ids = staged(rows.select("doc_id", "mark", "hash"), "passages-ids")
-    groups = ids.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = staged(
-        ids.join(groups, "hash").where("doc_id > first").select("doc_id", "hash").distinct(), "passages-copies"
-    )
-    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    originals = rows.join(few, ["doc_id", "hash"], "left_anti").select("doc_id", "mark", "text")
-
-    anchors = _dealt(originals, _anchors(buckets, window), ANCHOR, _shared_anchors, buckets)
-    near = _union(period - 1, 1)
-    candidates = staged(
-        anchors.groupBy("doc_id").agg(F.collect_list("payload").alias("lists")).select("doc_id", near("lists").alias("ranges")),
-        "passages-candidates",
-    )
-    around = _by_document(originals, candidates, "ranges", ["doc_id"], "inner")
-    windows = _dealt(around, _windows(buckets, window), SPAN, _later, buckets)
-    whole = _union(0, window)
-    removed = staged(
-        windows.groupBy("doc_id", "mark").agg(F.collect_list("payload").alias("lists"))
-        .select("doc_id", "mark", whole("lists").alias("ranges"), F.lit(False).alias("copy"))
-        .unionByName(copies.join(ids, ["doc_id", "hash"]).select("doc_id", "mark").distinct()
-                     .withColumn("ranges", F.array().cast("array<int>")).withColumn("copy", F.lit(True))),
-        "passages-removed",
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        removed = staged(_removed(docs, mark, window, scratch), "passages-removed")
     removed = removed.toDF("__id", "__mark", "__ranges", "__copy")
     marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__mark", mark)
     joined = _by_document(marked, removed, "__ranges", ["__id", "__mark"], "left")

@@ -18,7 +18,7 @@ _BYTE = _random.integers(1, 2**64, size=(2, 256), dtype=np.uint64) | np.uint64(1
 _BASE = _random.integers(1, 2**64, size=2, dtype=np.uint64) | np.uint64(1)
 _STEP = _random.integers(1, 2**64, size=64, dtype=np.uint64) | np.uint64(1)
 
-PIECE = 4 << 20  # bytes handled at a time
+PIECE = 2 << 20  # bytes handled at a time
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -137,11 +137,13 @@ def unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def deal(keys: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed rows) for each bucket that a key falls in."""
-    bucket = (mix64(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    """(bucket, packed columns) for each bucket that a key falls in; rows keep their order."""
+    if not len(keys):
+        return
+    bucket = ((mix64(keys) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, int)
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     for begin, end in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True):
         rows = order[begin:end]
-        yield int(bucket[begin]), pack(*[c[rows] for c in (keys, *columns)])
+        yield int(bucket[begin]), pack(*[c[rows] for c in columns])
