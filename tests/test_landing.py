@@ -66,7 +66,7 @@ def test_envelope_keeps_page_order_and_splits_long_days(spark):
     assert whole["page_count"] == 7
     assert [p["coins"][0]["current_price"] for p in whole["pages"]] == [float(i) for i in range(7)]
     parts = envelopes(pages, per_envelope=3).collect()
-    assert sorted(p["page_count"] for p in parts) == [1, 3, 3]
+    assert sorted((p["page_count"], len(p["pages"])) for p in parts) == [(7, 1), (7, 3), (7, 3)]
 
 
 def test_landing_a_day_again_replaces_it(spark, tmp_path):
@@ -86,8 +86,8 @@ def test_landing_a_day_again_replaces_it(spark, tmp_path):
     ("world_bank", [annual_page(pages=1)], (1, 1, True)),
     ("coingecko", [{"coins": [coin(f"c{i}", 1.0) for i in range(100)]}], (1, 2, False)),
     ("coingecko", [{"coins": [coin("a", 1.0)]}], (1, 1, True)),
-    ("coingecko", [{"coins": [coin(f"c{i}", 1.0) for i in range(100)]}] * 3, (3, 3, True)),
-    ("newsapi", [news_page(article("u", "t"), total=900)], (1, 1, True)),
+    ("coingecko", [{"coins": [coin(f"c{i}", 1.0) for i in range(100)]}] * 3, (3, 4, False)),
+    ("newsapi", [news_page(article("u", "t"), total=900)], (1, 9, False)),
     ("exchange_rate", [rates_page("USD", UGX=1.0)], (1, 1, True)),
 ])
 def test_completeness(documents, source, pages, expected):
@@ -95,6 +95,30 @@ def test_completeness(documents, source, pages, expected):
     assert (row["pages_landed"], row["pages_expected"], row["complete"]) == expected
 
 
+def test_completeness_of_a_pull_that_was_told_where_to_stop(documents):
+    full = {"coins": [coin(f"c{i}", 1.0) for i in range(100)]}
+    docs = documents("coingecko", ("2026-07-20", 1, full, full))
+    (row,) = completeness(docs, "coingecko", max_pages=2).collect()
+    assert (row["pages_expected"], row["complete"]) == (2, True)
+
+
+def test_files_of_many_documents_and_of_other_sources(spark, tmp_path):
+    """Documents over several lines, one per line, and several to a file; the other feed stays out."""
+    first = [document("coingecko", f"2026-07-{d}", 1, {"coins": [coin(f"c{d}", 1.0)]}) for d in (11, 12, 13)]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(d) for d in first))
+    (tmp_path / "b.json").write_text("\n".join(json.dumps(d, indent=1) for d in first[:2]) + "\n")
+    (tmp_path / "c.json").write_text(json.dumps(document("exchange_rate", "2026-07-11", 1, rates_page("A", B=1.0))))
+    found = read_bronze(spark, "coingecko", str(tmp_path))
+    assert sorted(str(r["logical_date"]) for r in found.collect()) == sorted(["2026-07-11", "2026-07-12"] * 2 + ["2026-07-13"])
+
+
+def test_landed_pages_beyond_an_envelope_all_arrive(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    write_bronze(envelopes(landed_pages(spark, "2026-07-20", [1.0] * 1200)), path)
+    for read in (read_bronze, read_landed):
+        assert to_silver(read(spark, "coingecko", path), "coingecko").count() == 1200
+
+
 def payloads(spark, *texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, payload string")
 
@@ -191,7 +215,7 @@ def test_stream_takes_in_only_what_is_new(spark, tmp_path):
     write_bronze(envelopes(landed_pages(spark, "2026-07-20", [3.0])), bronze)
     land_candidates(spark, "coingecko", bronze, flat, state)
     assert spark.read.parquet(flat).count() == 3
-    streamed = silver_from_candidates(spark, "coingecko", flat)
+    streamed = silver_from_candidates(spark, "coingecko", flat, bronze)
     batch = to_silver(read_landed(spark, "coingecko", bronze), "coingecko")
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
     assert silver_from_candidates(spark, "newsapi", str(tmp_path / "none")).count() == 0
@@ -205,7 +229,7 @@ def test_day_landed_again_replaces_its_streamed_rows(spark, tmp_path):
         "fetched_at", F.lit("2026-07-20T09:00:00+00:00"))
     write_bronze(envelopes(later), bronze)
     land_candidates(spark, "coingecko", bronze, flat, state)
-    (row,) = silver_from_candidates(spark, "coingecko", flat).collect()
+    (row,) = silver_from_candidates(spark, "coingecko", flat, bronze).collect()
     assert row["price_usd"] == 9.0
 
 

@@ -34,6 +34,8 @@ PLACES = {
     4: (30.0444, 31.2357),
 }
 YEARS_ANNUAL, YEARS_RATES = 22, 23
+# Articles of this source come without a title.
+UNTITLED = "src13"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -215,7 +217,7 @@ def news_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.nullif(F.col("source"), F.lit("src0")).alias("name"),
         ).alias("source"),
         F.col("lang").alias("author"),
-        F.when(F.col("n_chars") >= 50, F.col("text")).alias("title"),
+        F.when(F.col("source") != UNTITLED, F.col("text")).alias("title"),
         F.concat_ws(" ", "lang", F.col("n_chars").cast("string")).alias("description"),
         F.concat(F.lit("https://news.example/"), F.md5("text")).alias("url"),
         F.date_format(second, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
@@ -309,9 +311,9 @@ RAW_SQL = {
             CAST(ts AS DATE) AS logical_date, ts AS fetched
         FROM events
     """,
-    "newsapi": """
+    "newsapi": f"""
         SELECT nullif(source, 'src0') AS source_name, lang AS author,
-            CASE WHEN n_chars >= 50 THEN text END AS title,
+            CASE WHEN source <> '{UNTITLED}' THEN text END AS title,
             lang || ' ' || n_chars AS description,
             'https://news.example/' || md5(text) AS url,
             CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS TIMESTAMP)
@@ -323,7 +325,7 @@ RAW_SQL = {
 
 _ANNUAL_KEEP = "country_iso3 IS NOT NULL AND country_iso3 <> '' AND year IS NOT NULL"
 # (condition of a usable row, key, further tie-breakers)
-_CLEAN_SQL = {
+CLEAN_SQL = {
     "world_bank": (
         _ANNUAL_KEEP, "country_iso3, indicator_id, year",
         "logical_date DESC, country_name DESC, gdp_usd DESC NULLS LAST",
@@ -352,7 +354,7 @@ _RAIN_MEAN = (
     f"avg(precipitation_mm) OVER ({_PLACE_WINDOW} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
 )
 _ANNUAL_WINDOW = "PARTITION BY country_iso3, indicator_id ORDER BY year"
-_FEATURE_SQL = {
+FEATURE_SQL = {
     "world_bank": f"{_ratio('gdp_usd', _ANNUAL_WINDOW)} AS gdp_growth_rate",
     "world_bank_inflation": (
         f"inflation_pct - lag(inflation_pct) OVER ({_ANNUAL_WINDOW}) AS inflation_trend"
@@ -378,14 +380,20 @@ SHORT = {
 }
 
 
-def silver_ctes(*sources: str) -> str:
-    """CTEs `<short>_raw`, `<short>_newest` and `<short>_silver` for each source, without WITH."""
+def silver_ctes(*sources: str, pulled_on: str | None = None) -> str:
+    """CTEs `<short>_raw`, `<short>_newest` and `<short>_silver` for each source, without WITH.
+
+    With `pulled_on` all rows are of one pull on that day.
+    """
     parts = []
     for source in sources:
         name = SHORT[source]
-        keep, key, ties = _CLEAN_SQL[source]
+        keep, key, ties = CLEAN_SQL[source]
+        raw = RAW_SQL[source]
+        if pulled_on:
+            raw = f"SELECT * REPLACE (DATE '{pulled_on}' AS logical_date, 0 AS fetched) FROM ({raw})"
         parts.append(
-            f"""{name}_raw AS ({RAW_SQL[source]}),
+            f"""{name}_raw AS ({raw}),
             {name}_newest AS (
                 SELECT * FROM (
                     SELECT *, row_number() OVER (
@@ -393,6 +401,6 @@ def silver_ctes(*sources: str) -> str:
                     FROM {name}_raw WHERE {keep}
                 ) AS ranked WHERE place = 1
             ),
-            {name}_silver AS (SELECT *, {_FEATURE_SQL[source]} FROM {name}_newest)"""
+            {name}_silver AS (SELECT *, {FEATURE_SQL[source]} FROM {name}_newest)"""
         )
     return ", ".join(parts)

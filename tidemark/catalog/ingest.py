@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.feeds import DOCUMENTS, RAW_SQL, SHORT, coin, silver_ctes, table
+from tidemark.catalog.feeds import (
+    CLEAN_SQL, DOCUMENTS, FEATURE_SQL, RAW_SQL, SHORT, coin, silver_ctes, table,
+)
 from tidemark.catalog.lake import silver
 from tidemark.catalog.shape import Catalog
 from tidemark.functions import struct_to_map
+from tidemark.operators.merge import number_members
 from tidemark.operators.quality import count_orphans, evaluate
 from tidemark.operators.series import first_per_key, newest_per_key
-from tidemark.plans.silver import candidates
+from tidemark.plans.jobs import land_payloads, run_silver
+from tidemark.plans.silver import candidates, snapshot_silver
 from tidemark.session import scratch_path
-from tidemark.sources.bronze import completeness, envelopes, read_landed, write_bronze
+from tidemark.sources.bronze import completeness, envelopes, numbered_pages, read_landed, write_bronze
 from tidemark.sources.contracts import check_payloads
 from tidemark.sources.registry import get_source
 from tidemark.sources.silver import read_silver, write_silver
+from tidemark.sources.storage import delete
 from tidemark.streaming.landing import land_candidates, silver_from_candidates
 
 ingest = Catalog()
@@ -73,8 +78,7 @@ def _with_date(documents: DataFrame) -> DataFrame:
 
 def envelope_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _with_date(envelopes(_coin_pages(spark, sf_dir)))
-    pages = documents.select("logical_date", "fetched_at", F.posexplode("pages").alias("page_no", "page"))
-    return get_source("coingecko").flatten(pages)
+    return get_source("coingecko").flatten(numbered_pages(documents))
 
 
 FLAT_COINS = (
@@ -89,7 +93,8 @@ ingest.add(
 
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _with_date(envelopes(_coin_pages(spark, sf_dir)))
-    return documents.groupBy("logical_date").agg(F.sum("page_count").alias("pages"))
+    pull = documents.groupBy("logical_date", "fetched_at").agg(F.max("page_count").alias("pages"))
+    return pull.groupBy("logical_date").agg(F.sum("pages").alias("pages"))
 
 
 ingest.add(
@@ -255,26 +260,121 @@ ingest.add(
 
 
 def streamed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land half a month, take it in, land everything, take in what is new, build Silver."""
+    """Two pulls of every day, taken in one after the other; Silver as of all documents at once."""
     bronze, flat, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("in", "flat", "state"))
-    pages = _coin_pages(spark, sf_dir)
-    first = F.col("logical_date") < "2024-01-16"
-    write_bronze(envelopes(pages.where(first)), bronze)
-    land_candidates(spark, "coingecko", bronze, flat, checkpoint)
-    write_bronze(envelopes(pages.where(~first)), bronze)
-    land_candidates(spark, "coingecko", bronze, flat, checkpoint)
-    return silver_from_candidates(spark, "coingecko", flat)
+    documents = DOCUMENTS["coingecko"](spark, sf_dir)
+    morning = F.substring("fetched_at", 12, 2) < "12"
+    for part, pull in (("am", morning), ("pm", ~morning)):
+        documents.where(pull).write.json(f"{bronze}/{part}")
+        land_candidates(spark, "coingecko", bronze, flat, checkpoint)
+    return silver_from_candidates(spark, "coingecko", flat, bronze)
 
 
-# A day's pages share one fetch instant here, so equal versions are settled by the columns.
 ingest.add(
     "silver_from_stream", SILVER_SHAPES["coingecko"], streamed_silver,
-    """SELECT *, stddev_samp(price_change_pct_24h) OVER (PARTITION BY coin_id
-        ORDER BY logical_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS volatility_7d
-    FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, logical_date ORDER BY symbol DESC,
-            name DESC, price_usd DESC, market_cap_usd DESC, volume_usd DESC) AS place
-        FROM crypto_raw WHERE price_usd IS NOT NULL) AS ranked WHERE place = 1""",
-    f"WITH crypto_raw AS ({RAW_SQL['coingecko']})",
+    "SELECT * FROM crypto_silver", f"WITH {silver_ctes('coingecko')}",
+)
+
+# -- jobs
+
+PULLED_ON = "2026-07-20"
+
+
+def _payloads(items: DataFrame, per_page: int, around: str) -> DataFrame:
+    """JSON objects (item) as the raw texts of one pull, `per_page` to a page, numbered from zero."""
+    numbered = number_members(items.groupBy("item").count(), ["item"], "n")
+    page_no = F.floor((F.col("n") - 1) / per_page).alias("page_no")
+    # At most `per_page` objects come together.
+    pages = numbered.groupBy(page_no).agg(F.concat_ws(",", F.collect_list("item")).alias("listed"))
+    return pages.select("page_no", F.format_string(around, "listed").alias("payload"))
+
+
+def _run_landed(spark: SparkSession, source: str, **payloads: DataFrame) -> DataFrame:
+    """Land one pull of each feed under one root and make Silver of `source`."""
+    bronze, out = scratch_path(spark, "job-bronze"), scratch_path(spark, "job-silver")
+    for feed, texts in payloads.items():
+        land_payloads(texts, feed, PULLED_ON, bronze)
+    run_silver(spark, source, bronze, out)
+    delete(spark, bronze)
+    return read_silver(spark, source, out)
+
+
+def job_land_run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pull of far more pages than an envelope holds, landed and made Silver of."""
+    coins = DOCUMENTS["coingecko"](spark, sf_dir).select(F.to_json(F.col("pages")[0]["coins"][0]).alias("item"))
+    return _run_landed(spark, "coingecko", coingecko=_payloads(coins, 4, "[%s]"))
+
+
+ingest.add(
+    "job_land_run_silver", SILVER_SHAPES["coingecko"], job_land_run_silver,
+    "SELECT * FROM crypto_silver", f"WITH {silver_ctes('coingecko', pulled_on=PULLED_ON)}",
+)
+
+
+def _annual_items(spark: SparkSession, sf_dir: str, source: str, measure: str) -> DataFrame:
+    """The newest value of every country and year as records of a payload."""
+    named = F.struct(F.col("country_iso3").alias("id"), F.col("country_name").alias("value"))
+    record = F.struct(
+        F.struct(F.col("indicator_id").alias("id"), F.lit("").alias("value")).alias("indicator"),
+        named.alias("country"), F.col("country_iso3").alias("countryiso3code"),
+        F.col("year").cast("string").alias("date"), F.col(measure).alias("value"),
+    )
+    return silver(spark, sf_dir, source).select(F.to_json(record).alias("item"))
+
+
+def job_feeds_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two annual feeds of the same schema under one root: each job reads its own."""
+    around = '[{"page":1,"pages":1,"per_page":50,"total":1},[%s]]'
+    return _run_landed(
+        spark, "world_bank",
+        world_bank=_payloads(_annual_items(spark, sf_dir, "world_bank", "gdp_usd"), 20, around),
+        world_bank_inflation=_payloads(
+            _annual_items(spark, sf_dir, "world_bank_inflation", "inflation_pct"), 20, around
+        ),
+    )
+
+
+ingest.add(
+    "job_feeds_side_by_side", SILVER_SHAPES["world_bank"], job_feeds_side_by_side,
+    f"SELECT * REPLACE (DATE '{PULLED_ON}' AS logical_date) FROM gdp_silver",
+    f"WITH {silver_ctes('world_bank')}",
+)
+
+
+def snapshot(source: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = DOCUMENTS[source](spark, sf_dir)
+        # One pull: its pages are numbered by the instants that the feeds give their rows.
+        return snapshot_silver(
+            documents.withColumn("logical_date", F.lit(PULLED_ON).cast("date"))
+            .withColumn("page_numbers", F.array(F.unix_timestamp(F.to_timestamp("fetched_at")))),
+            source,
+        )
+
+    return query
+
+
+def snapshot_sql(source: str, derived: str) -> str:
+    keep, key, _ = CLEAN_SQL[source]
+    return (
+        f"SELECT *, {derived} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY page) AS place "
+        f"FROM raw WHERE {keep}) AS ranked WHERE place = 1"
+    )
+
+
+def one_pull(source: str) -> str:
+    raw = RAW_SQL[source]
+    return f"WITH raw AS (SELECT * REPLACE (DATE '{PULLED_ON}' AS logical_date), fetched AS page FROM ({raw}))"
+
+
+ingest.add(
+    "snapshot_gdp", SILVER_SHAPES["world_bank"], snapshot("world_bank"),
+    f"SELECT *, {FEATURE_SQL['world_bank']} FROM ({snapshot_sql('world_bank', '0 AS one')}) AS firsts",
+    one_pull("world_bank"),
+)
+ingest.add(
+    "snapshot_rates", SILVER_SHAPES["exchange_rate"], snapshot("exchange_rate"),
+    snapshot_sql("exchange_rate", "CAST(NULL AS DOUBLE) AS exchange_momentum"), one_pull("exchange_rate"),
 )
 
 # -- one row per key
@@ -425,10 +525,7 @@ def _unreduced(source: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = get_source(source)
         documents = DOCUMENTS[source](spark, sf_dir)
-        pages = documents.select(
-            "logical_date", "fetched_at", F.posexplode("pages").alias("page_no", "page")
-        )
-        return evaluate(spec.flatten(pages), spec.suite, source)
+        return evaluate(spec.flatten(numbered_pages(documents)), spec.suite, source)
 
     return query
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.feeds import silver_ctes, table
+from tidemark.catalog.ingest import one_pull, snapshot, snapshot_sql
 from tidemark.catalog.lake import registry, staged_silver, warehouse
 from tidemark.catalog.shape import Catalog
 from tidemark.catalog.star import VIEW_SHAPES, VIEW_SOURCE, view, view_ctes
@@ -16,6 +17,7 @@ from tidemark.plans import charts, forecast, serving
 from tidemark.plans.jobs import load_snapshots
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import scratch_path
+from tidemark.sources.storage import delete
 
 serve = Catalog()
 
@@ -188,17 +190,20 @@ _COINS = f"coin_id IN ({', '.join(repr(c) for c in charts.MAJOR_COINS)})"
 _CODES = f"currency IN ({', '.join(repr(c) for c in charts.MAJOR_CURRENCIES)})"
 
 
-def _raw_sql(relation: str, columns: str, time: str, limit: int = 1000, where: str = "true") -> str:
+def _raw_sql(relation: str, columns: str, time: str, where: str = "true") -> str:
     names = [c.partition(":")[0] for c in columns.split()]
     order = [time, *[c for c in names if c != time]]
     ordered = ", ".join(f"{c} ASC NULLS LAST" for c in order)
-    return f"SELECT {', '.join(names)} FROM {relation} WHERE {where} ORDER BY {ordered} LIMIT {limit}"
+    return f"SELECT {', '.join(names)} FROM {relation} WHERE {where} ORDER BY {ordered}"
 
 
-def _grouped_sql(relation: str, groups: str, metrics: str, order: str, limit: int, where: str = "true"):
+def _grouped_sql(
+    relation: str, groups: str, metrics: str, order: str, limit: int | None = None, where: str = "true"
+):
+    cut = "" if limit is None else f" LIMIT {limit}"
     return (
         f"SELECT {groups}, {metrics} FROM {relation} WHERE {where} GROUP BY {groups} "
-        f"ORDER BY {order} LIMIT {limit}"
+        f"ORDER BY {order}{cut}"
     )
 
 
@@ -210,7 +215,7 @@ def _top_series_sql(relation: str, measure: str) -> str:
     )
     return _grouped_sql(
         relation, "year, country_name", f"avg({measure}) AS {label}",
-        f"round({label}, 6) DESC NULLS LAST, year, country_name", 10000,
+        "year, country_name", None,
         f"{_SINGLE} AND country_name IN ({best})",
     )
 
@@ -259,7 +264,7 @@ CHART_SQL = {
         "date:d currency avg_rate:r", "view_exchange_rate",
         _grouped_sql(
             "view_exchange_rate", "date, currency", "avg(rate) AS avg_rate",
-            "round(avg_rate, 6) DESC NULLS LAST, date, currency", 10000, _CODES,
+            "date, currency", None, _CODES,
         ),
     ),
     "crypto_table": (
@@ -276,7 +281,7 @@ CHART_SQL = {
         "date:d coin_id avg_price_usd:r", "view_crypto",
         _grouped_sql(
             "view_crypto", "date, coin_id", "avg(price_usd) AS avg_price_usd",
-            "round(avg_price_usd, 6) DESC NULLS LAST, date, coin_id", 10000, _COINS,
+            "date, coin_id", None, _COINS,
         ),
     ),
     "weather_table": (
@@ -285,13 +290,13 @@ CHART_SQL = {
     ),
     "weather_bar": (
         None, "view_weather",
-        _grouped_sql("view_weather", "date", _RAIN, 'round("Avg Precipitation (mm)", 6) DESC NULLS LAST, date', 1000),
+        _grouped_sql("view_weather", "date", _RAIN, "date"),
     ),
     "weather_line": (
         None, "view_weather",
         _grouped_sql(
             "view_weather", "date", f"avg(temp_max_c) AS avg_temp_max_c, {_RAIN}",
-            "round(avg_temp_max_c, 6) DESC NULLS LAST, date", 1000,
+            "date",
         ),
     ),
     "weather_scatter": (
@@ -300,7 +305,7 @@ CHART_SQL = {
             "view_weather", "date",
             "avg(longitude) AS avg_longitude, avg(latitude) AS avg_latitude, "
             "avg(temp_max_c) AS avg_temp_max_c",
-            "date", 100,
+            "date",
         ),
     ),
 }
@@ -346,7 +351,7 @@ def table_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TABLE_COLUMNS = CHART_SQL["crypto_table"][0]
 serve.add(
     "chart_table_page", _TABLE_COLUMNS, table_page,
-    _raw_sql("view_crypto", _TABLE_COLUMNS, "date", 10) + " OFFSET 30", view_ctes("view_crypto"),
+    _raw_sql("view_crypto", _TABLE_COLUMNS, "date") + " LIMIT 10 OFFSET 30", view_ctes("view_crypto"),
 )
 
 
@@ -568,28 +573,32 @@ serve.add(
 
 
 def snapshot_load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two feeds loaded, one that cannot be: the others load all the same."""
-    wh = Warehouse(spark, scratch_path(spark, "warehouse-snapshot"))
+    """Single pulls of two feeds loaded and one that says nothing but fails: the others load all the same."""
+    root = scratch_path(spark, "warehouse-snapshot")
+    wh = Warehouse(spark, root)
     wh.create_schema()
 
     def broken() -> DataFrame:
-        raise RuntimeError("feed is down")
+        raise RuntimeError
 
-    return load_snapshots(
+    status = load_snapshots(
         wh,
         {
-            "coingecko": lambda: staged_silver(spark, sf_dir, "coingecko"),
+            "exchange_rate": lambda: snapshot("exchange_rate")(spark, sf_dir),
             "newsapi": broken,
-            "open_meteo": lambda: staged_silver(spark, sf_dir, "open_meteo"),
+            "world_bank": lambda: snapshot("world_bank")(spark, sf_dir),
         },
     )
+    delete(spark, root)
+    return status
 
 
+_PULLED = ("exchange_rate", "world_bank")
 serve.add(
     "snapshot_load_status", "source rows:b error", snapshot_load_status,
-    """SELECT 'coingecko' AS source, count(*) AS rows, CAST(NULL AS VARCHAR) AS error
-        FROM crypto_silver
-    UNION ALL SELECT 'newsapi', NULL, 'feed is down'
-    UNION ALL SELECT 'open_meteo', count(*), NULL FROM weather_silver""",
-    f"WITH {silver_ctes('coingecko', 'open_meteo')}",
+    " UNION ALL ".join(
+        f"SELECT '{s}' AS source, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM "
+        f"({one_pull(s)} {snapshot_sql(s, '0 AS one')}) AS loaded" for s in _PULLED
+    )
+    + " UNION ALL SELECT 'newsapi', NULL, 'RuntimeError()'",
 )

@@ -94,14 +94,14 @@ def equals(column: str, value) -> Callable[[], Column]:
 class Chart:
     """Raw rows when `columns` is set, otherwise metrics per `x` and `series`.
 
-    An aggregated chart is ordered by its first metric, greatest first, before the row limit cuts
-    it, as the dashboards do; every order ends with the grouping columns so that it is total.
-    Means are ranked at six decimals: the last bits of a distributed sum depend on its order and
-    must not decide which rows a limit keeps.
+    A chart with a row limit shows its best: it is ordered by its first metric, greatest first. Tables
+    and series are whole unless the caller of `chart` asks for a limit, and ordered along `x`. Every
+    order ends with the grouping columns so that it is total. Means are ranked at six decimals: the
+    last bits of a distributed sum depend on its order and must not decide which rows a limit keeps.
     """
 
     dataset: str
-    row_limit: int
+    row_limit: int | None = None
     columns: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     x: str | None = None
@@ -123,27 +123,27 @@ COUNTRY_YEAR = (equals("year", 2023), single_countries)
 AVG_RAIN = _mean_label("precipitation_mm", "Avg Precipitation (mm)")
 CHARTS = {
     "gdp_table": Chart(
-        "gdp", 1000, order=("year",),
+        "gdp", order=("year",),
         columns=("country_iso3", "country_name", "year", "gdp_usd", "gdp_growth_rate"),
     ),
     "gdp_bar": Chart("gdp", 15, x="country_name", metrics=("avg_gdp_usd",), filters=COUNTRY_YEAR),
     "gdp_line": Chart(
-        "gdp", 10000, x="year", series="country_name", metrics=("avg_gdp_usd",),
+        "gdp", x="year", series="country_name", metrics=("avg_gdp_usd",),
         filters=(single_countries,), series_limit=10,
     ),
     "inflation_table": Chart(
-        "inflation", 1000, order=("year",),
+        "inflation", order=("year",),
         columns=("country_iso3", "country_name", "year", "inflation_pct", "inflation_trend"),
     ),
     "inflation_bar": Chart(
         "inflation", 15, x="country_name", metrics=("avg_inflation_pct",), filters=COUNTRY_YEAR
     ),
     "inflation_line": Chart(
-        "inflation", 10000, x="year", series="country_name", metrics=("avg_inflation_pct",),
+        "inflation", x="year", series="country_name", metrics=("avg_inflation_pct",),
         filters=(single_countries,), series_limit=10,
     ),
     "exchange_table": Chart(
-        "exchange_rate", 1000, order=("date",),
+        "exchange_rate", order=("date",),
         columns=("date", "base_code", "currency", "rate", "rate_7d_avg"),
     ),
     "exchange_bar": Chart(
@@ -151,11 +151,11 @@ CHARTS = {
         filters=(one_of("currency", MAJOR_CURRENCIES),),
     ),
     "exchange_line": Chart(
-        "exchange_rate", 10000, x="date", series="currency", metrics=("avg_rate",),
+        "exchange_rate", x="date", series="currency", metrics=("avg_rate",),
         filters=(one_of("currency", MAJOR_CURRENCIES),),
     ),
     "crypto_table": Chart(
-        "crypto", 1000, order=("date",),
+        "crypto", order=("date",),
         columns=("date", "coin_id", "symbol", "price_usd", "volatility_7d"),
     ),
     "crypto_bar": Chart(
@@ -163,20 +163,20 @@ CHARTS = {
         filters=(one_of("coin_id", MAJOR_COINS),),
     ),
     "crypto_line": Chart(
-        "crypto", 10000, x="date", series="coin_id", metrics=("avg_price_usd",),
+        "crypto", x="date", series="coin_id", metrics=("avg_price_usd",),
         filters=(one_of("coin_id", MAJOR_COINS),),
     ),
     "weather_table": Chart(
-        "weather", 1000, order=("date",),
+        "weather", order=("date",),
         columns=(
             "date", "latitude", "longitude", "temp_max_c", "precipitation_mm",
             "rainfall_anomaly_mm",
         ),
     ),
-    "weather_bar": Chart("weather", 1000, x="date", metrics=(AVG_RAIN,)),
-    "weather_line": Chart("weather", 1000, x="date", metrics=("avg_temp_max_c", AVG_RAIN)),
+    "weather_bar": Chart("weather", x="date", metrics=(AVG_RAIN,)),
+    "weather_line": Chart("weather", x="date", metrics=("avg_temp_max_c", AVG_RAIN)),
     "weather_scatter": Chart(
-        "weather", 100, x="date", order=("date",),
+        "weather", x="date",
         metrics=(
             _mean_label("longitude", "avg_longitude"),
             _mean_label("latitude", "avg_latitude"),
@@ -201,7 +201,8 @@ def render(chart: Chart, rows: DataFrame) -> DataFrame:
         rows = rows.where(condition())
     if chart.columns:
         order = [*chart.order, *[c for c in chart.columns if c not in chart.order]]
-        return rows.select(*chart.columns).orderBy(*ordering(order)).limit(chart.row_limit)
+        shown = rows.select(*chart.columns).orderBy(*ordering(order))
+        return shown if chart.row_limit is None else shown.limit(chart.row_limit)
     metrics = [_metric(dataset, m) for m in chart.metrics]
     if chart.series_limit:
         best = (
@@ -213,22 +214,22 @@ def render(chart: Chart, rows: DataFrame) -> DataFrame:
         # At most `series_limit` names.
         rows = rows.join(F.broadcast(best.select(chart.series)), chart.series, "left_semi")
     groups = [c for c in (chart.x, chart.series) if c]
-    first = ordering(chart.order) if chart.order else _ranking(metrics[0])
-    rest = ordering([g for g in groups if g not in chart.order])
-    return (
-        rows.groupBy(*groups)
-        .agg(*[m.expression() for m in metrics])
-        .orderBy(*first, *rest)
-        .limit(chart.row_limit)
-    )
+    shown = rows.groupBy(*groups).agg(*[m.expression() for m in metrics])
+    if chart.row_limit is None:
+        return shown.orderBy(*ordering(groups))
+    return shown.orderBy(*_ranking(metrics[0]), *ordering(groups)).limit(chart.row_limit)
 
 
-def chart(wh: Warehouse, name: str, **clicked) -> DataFrame:
-    """A registered chart, optionally narrowed by clicked values (column=value)."""
+def chart(wh: Warehouse, name: str, limit: int | None = None, **clicked) -> DataFrame:
+    """A registered chart, optionally narrowed by clicked values (column=value).
+
+    `limit` cuts a table or series to its first rows; charts that show their best N keep that N.
+    """
     spec = CHARTS[name]
     for column, value in clicked.items():
         spec = spec.filtered_by(column, value)
-    return render(spec, DATASETS[spec.dataset].view(wh))
+    shown = render(spec, DATASETS[spec.dataset].view(wh))
+    return shown if limit is None else shown.limit(limit)
 
 
 def raw_table_page(wh: Warehouse, name: str, page: int, size: int = 10) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.operators.quality import Outcome, ValidationFailedError, validate,
 from tidemark.plans.forecast import Registry, train_register_deploy
 from tidemark.plans.silver import to_silver
 from tidemark.plans.warehouse import Warehouse
-from tidemark.session import build_session, scratch_root
+from tidemark.session import build_session, scratch_path, scratch_root
 from tidemark.sources.bronze import envelopes, read_bronze, stamp, write_bronze
 from tidemark.sources.contracts import require_valid
 from tidemark.sources.registry import SOURCE_NAMES, get_source
@@ -97,11 +97,16 @@ def load_snapshots(
     statuses = []
     for source, pull in pulls.items():
         try:
-            silver = pull()
-            wh.load(source, silver)
-            statuses.append((source, silver.count(), None))
+            path = scratch_path(wh.spark, f"snapshot-{source}")
+            try:
+                pull().write.parquet(path)
+                silver = wh.spark.read.parquet(path)
+                wh.load(source, silver)
+                statuses.append((source, silver.count(), None))
+            finally:
+                delete(wh.spark, path)
         except Exception as error:  # noqa: BLE001 - one feed must not stop the others
-            statuses.append((source, None, str(error).splitlines()[0]))
+            statuses.append((source, None, repr(error)))
     return wh.spark.createDataFrame(statuses, "source string, rows bigint, error string")
 
 

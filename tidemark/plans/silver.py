@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import first_per_key, newest_per_key
-from tidemark.sources.registry import Source, get_source
+from tidemark.sources.bronze import numbered_pages
+from tidemark.sources.registry import DOCUMENT, Source, get_source
 
 
 def candidates(documents: DataFrame, source: Source) -> DataFrame:
     """Flat, usable rows of all documents, every fetch included."""
-    numbered = F.posexplode("pages").alias("page_no", "page")
-    pages = documents.select("logical_date", "fetched_at", numbered)
-    return source.flatten(pages).where(source.usable())
+    return source.flatten(numbered_pages(documents)).where(source.usable())
 
 
 # A later fetch wins; of fetches at the same instant, the one for the later day.
@@ -50,7 +49,7 @@ def to_silver(documents: DataFrame, source_name: str) -> DataFrame:
 def newest_with_features(landed: DataFrame, source_name: str) -> DataFrame:
     """Silver from candidate rows of any number of fetches."""
     source = get_source(source_name)
-    landed = landed.drop("page_no", "item_no")
+    landed = landed.drop("page_no", "item_no", DOCUMENT)
     rows = newest_per_key(landed, source.key, VERSION)
     if source.history:
         rows = rows.withColumns({n: make(source.history) for n, make in source.features.items()})
@@ -60,13 +59,13 @@ def newest_with_features(landed: DataFrame, source_name: str) -> DataFrame:
 
 
 def snapshot_silver(documents: DataFrame, source_name: str) -> DataFrame:
-    """Silver rows of the first page of a single pull; of equal keys the first in the payload wins.
+    """Silver rows of all pages of a single pull; of equal keys the first in the pull wins.
 
     One pull of rates or coins has no history, so what is derived from it stays unknown.
     """
     source = get_source(source_name)
-    rows = candidates(documents, source).where(F.col("page_no") == 0)
-    rows = first_per_key(rows, source.key, ["item_no"])
+    rows = candidates(documents, source)
+    rows = first_per_key(rows.drop(DOCUMENT), source.key, ["page_no", "item_no"])
     dated = source.history is not None and source.history.time == "logical_date"
     derived = {
         name: F.lit(None).cast("double") if dated else make(source.history)

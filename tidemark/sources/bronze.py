@@ -2,44 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import iso_day
-from tidemark.sources.registry import get_source
+from tidemark.sources.registry import DOCUMENT, get_source
 
-# An envelope is one row. Beyond this many pages a day is split over several envelopes, which the
-# Silver transforms read the same way, so that no task ever holds an unbounded day.
+# An envelope is one row and one file. Beyond this many pages a pull is split over several envelopes,
+# which say what the numbers of their pages are, so that no task ever holds an unbounded pull.
 PAGES_PER_ENVELOPE = 500
 
 
 def envelopes(pages: DataFrame, per_envelope: int = PAGES_PER_ENVELOPE) -> DataFrame:
     """Wrap rows of (source, logical_date, fetched_at, page_no, page) into envelopes.
 
-    `page_no` counts from zero within a source and day.
+    `page_no` counts within a pull: a source, day and fetch. `page_count` is that of the whole pull, in
+    each of its envelopes; `page_numbers` has the numbers of the pages inside.
     """
+    pull = ["source", "logical_date", "fetched_at"]
     part = F.floor(F.col("page_no") / per_envelope).alias("part")
-    return (
-        pages.groupBy("source", "logical_date", "fetched_at", part)
-        .agg(F.sort_array(F.collect_list(F.struct("page_no", "page"))).alias("numbered"))
-        .select(
-            "source",
-            "logical_date",
-            "fetched_at",
-            F.size("numbered").alias("page_count"),
-            F.col("numbered.page").alias("pages"),
-        )
+    # One row per envelope from here on: counting a pull gathers no pages.
+    parts = pages.groupBy(*pull, part).agg(
+        F.sort_array(F.collect_list(F.struct("page_no", "page"))).alias("numbered")
+    )
+    count = F.sum(F.size("numbered")).over(Window.partitionBy(*pull))
+    return parts.select(
+        *pull,
+        count.cast("int").alias("page_count"),
+        F.col("numbered.page").alias("pages"),
+        F.transform("numbered.page_no", lambda n: n.cast("long")).alias("page_numbers"),
     )
 
 
+def numbered_pages(documents: DataFrame) -> DataFrame:
+    """One row per page: logical_date, fetched_at, page_no, page (and `document`, if known).
+
+    Pages are numbered as in their pull; documents that don't say count from zero.
+    """
+    others = [c for c in ("logical_date", "fetched_at", DOCUMENT) if c in documents.columns]
+    place = F.posexplode("pages").alias("place", "page")
+    if "page_numbers" not in documents.columns:
+        rows = documents.select(*others, F.lit(None).cast("array<bigint>").alias("page_numbers"), place)
+    else:
+        rows = documents.select(*others, "page_numbers", place)
+    number = F.coalesce(F.get("page_numbers", F.col("place")), F.col("place").cast("long"))
+    return rows.withColumn("page_no", number).select(*others, "page_no", "page")
+
+
 def write_bronze(documents: DataFrame, path: str) -> None:
-    """Land envelopes as JSON lines; a rerun of a source and day replaces it."""
+    """Land envelopes, each as a JSON document of its own; a rerun of a source and day replaces it."""
     day = F.substring("logical_date", 1, 10).alias("day")
     (
         documents.select("*", F.col("source").alias("feed"), day)
         .hint("rebalance", "feed", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", 1)
         .partitionBy("feed", "day")
         .json(path)
     )
@@ -63,15 +81,32 @@ def _with_day(documents: DataFrame) -> DataFrame:
     return documents.withColumn("logical_date", iso_day(F.col("logical_date")))
 
 
+# Where one JSON document ends and the next begins: inside a document two objects are always parted
+# by a comma, and a text can't hold a line end as it is.
+NEXT_DOCUMENT = r"(?<=\})\s*\n\s*(?=\{)"
+
+
 def read_bronze(
     spark: SparkSession, source: str, path: str | list[str], multi_line: bool = True
 ) -> DataFrame:
-    """Read landed documents of one source by path or glob; `logical_date` becomes a date.
+    """Read the documents of one source by path or glob; `logical_date` becomes a date.
+
+    A file may hold a document over many lines or any number of documents one after another, and
+    files of other sources are left out. Only for large files of one document per line set
+    `multi_line` to False: these are split over tasks.
 
     The schema is explicit: nothing is inferred, unmodelled payload fields are never read.
     """
     schema = get_source(source).bronze_schema
-    return _with_day(spark.read.schema(schema).option("multiLine", multi_line).json(path))
+    if multi_line:
+        texts = spark.read.text(path, wholetext=True)
+        if "feed" in texts.columns:
+            texts = texts.where(F.col("feed") == source)
+        document = F.explode(F.split("value", NEXT_DOCUMENT)).alias("document")
+        documents = texts.select(document).select(F.from_json("document", schema).alias("d")).select("d.*")
+    else:
+        documents = spark.read.schema(schema).json(path)
+    return _with_day(documents.where(F.col("source") == source))
 
 
 def read_landed(
@@ -85,19 +120,20 @@ def read_landed(
     return _with_day(landed.drop("feed", "day"))
 
 
-def completeness(documents: DataFrame, source: str) -> DataFrame:
+def completeness(documents: DataFrame, source: str, max_pages: int | None = None) -> DataFrame:
     """Per source, day and fetch: pages landed, pages expected, and whether the fetch is complete.
 
-    Works across split envelopes; the expected number comes from the payload itself.
+    Works across split envelopes. The expected number comes from the payload itself; `max_pages` is
+    for pulls that were told to stop there.
     """
     spec = get_source(source)
     page: Column = F.explode("pages").alias("page")
+    expected = spec.pages_expected.cast("long")
+    if max_pages is not None:
+        expected = F.least(expected, F.lit(max_pages).cast("long"))
     return (
         documents.select("source", "logical_date", "fetched_at", page)
         .groupBy("source", "logical_date", "fetched_at")
-        .agg(
-            F.count(F.lit(1)).alias("pages_landed"),
-            spec.pages_expected.cast("long").alias("pages_expected"),
-        )
+        .agg(F.count(F.lit(1)).alias("pages_landed"), expected.alias("pages_expected"))
         .withColumn("complete", F.col("pages_landed") >= F.col("pages_expected"))
     )

@@ -53,24 +53,35 @@ class Source:
         return (same_columns(*self.silver_schema.fieldNames()), *self.expectations)
 
 
-# Carried along by every `flatten`: when the row was fetched and where in the payload it stood.
+# Carried along by every `flatten`: when the row was fetched and where in the payload it stood, and the
+# file of the document where the pages have it.
 PLACE = ("logical_date", "fetched_at", "page_no", "item_no")
+DOCUMENT = "document"
+
+
+def _carried(pages: DataFrame) -> list[str]:
+    return ["logical_date", "fetched_at", "page_no", *[c for c in pages.columns if c == DOCUMENT]]
+
+
+def _place(rows: DataFrame) -> list[str]:
+    return [*PLACE, *[c for c in rows.columns if c == DOCUMENT]]
 
 
 def _items(pages: DataFrame, array: str) -> DataFrame:
     items = F.posexplode(f"page.{array}").alias("item_no", "item")
-    return pages.select("logical_date", "fetched_at", "page_no", items)
+    return pages.select(*_carried(pages), items)
 
 
 def _annual(measure: str) -> Callable[[DataFrame], DataFrame]:
     def flatten(pages: DataFrame) -> DataFrame:
-        return _items(pages, "records").select(
+        items = _items(pages, "records")
+        return items.select(
             F.col("item.countryiso3code").alias("country_iso3"),
             F.col("item.country.value").alias("country_name"),
             F.col("item.indicator.id").alias("indicator_id"),
             F.col("item.date").try_cast("int").alias("year"),
             F.col("item.value").alias(measure),
-            *PLACE,
+            *_place(items),
         )
 
     return flatten
@@ -83,13 +94,13 @@ def _annual_usable() -> Column:
 
 def _rates(pages: DataFrame) -> DataFrame:
     quotes = F.posexplode("page.rates").alias("item_no", "currency", "rate")
-    quoted = pages.select("logical_date", "fetched_at", "page_no", "page.base_code", quotes)
-    return quoted.select("base_code", "currency", "rate", *PLACE)
+    quoted = pages.select(*_carried(pages), "page.base_code", quotes)
+    return quoted.select("base_code", "currency", "rate", *_place(quoted))
 
 
 def _weather_days(pages: DataFrame) -> DataFrame:
     days = F.posexplode("page.daily.time").alias("item_no", "day")
-    placed = pages.select("logical_date", "fetched_at", "page_no", "page", days)
+    placed = pages.select(*_carried(pages), "page", days)
 
     def reading(name: str) -> Column:
         return F.get(F.col(f"page.daily.{name}"), F.col("item_no"))
@@ -101,12 +112,13 @@ def _weather_days(pages: DataFrame) -> DataFrame:
         reading("temperature_2m_max").alias("temp_max_c"),
         reading("temperature_2m_min").alias("temp_min_c"),
         reading("precipitation_sum").alias("precipitation_mm"),
-        *PLACE,
+        *_place(placed),
     )
 
 
 def _coins(pages: DataFrame) -> DataFrame:
-    return _items(pages, "coins").select(
+    items = _items(pages, "coins")
+    return items.select(
         F.col("item.id").alias("coin_id"),
         F.col("item.symbol").alias("symbol"),
         F.col("item.name").alias("name"),
@@ -114,19 +126,20 @@ def _coins(pages: DataFrame) -> DataFrame:
         F.col("item.market_cap").alias("market_cap_usd"),
         F.col("item.total_volume").alias("volume_usd"),
         F.col("item.price_change_percentage_24h").alias("price_change_pct_24h"),
-        *PLACE,
+        *_place(items),
     )
 
 
 def _articles(pages: DataFrame) -> DataFrame:
-    return _items(pages, "articles").select(
+    items = _items(pages, "articles")
+    return items.select(
         F.col("item.source.name").alias("source_name"),
         F.col("item.author").alias("author"),
         F.col("item.title").alias("title"),
         F.col("item.description").alias("description"),
         F.col("item.url").alias("url"),
         iso_instant(F.col("item.publishedAt")).alias("published_at"),
-        *PLACE,
+        *_place(items),
     )
 
 
@@ -151,9 +164,8 @@ ANNUAL_CHECKS = (
     unique(*ANNUAL_KEY),
     between("year", 1960, 2100),
 )
-# Page sizes and page caps of the paged feeds.
-COINS_PER_PAGE, COIN_PAGES = 100, 3
-ARTICLES_PER_PAGE, ARTICLE_PAGES = 100, 1
+# Page sizes of the paged feeds.
+COINS_PER_PAGE, ARTICLES_PER_PAGE = 100, 100
 
 
 def _annual_pages() -> Column:
@@ -161,14 +173,13 @@ def _annual_pages() -> Column:
 
 
 def _coin_pages() -> Column:
-    """As long as every page is full another one is due, up to the cap."""
-    full = F.sum(F.when(F.size("page.coins") == COINS_PER_PAGE, 1).otherwise(0))
-    return F.least(full + 1, F.lit(COIN_PAGES))
+    """As long as every page is full another one is due."""
+    return F.sum(F.when(F.size("page.coins") == COINS_PER_PAGE, 1).otherwise(0)) + 1
 
 
 def _article_pages() -> Column:
     needed = F.ceil(F.max("page.totalResults") / ARTICLES_PER_PAGE)
-    return F.greatest(F.lit(1), F.least(F.coalesce(needed, F.lit(1)), F.lit(ARTICLE_PAGES)))
+    return F.greatest(F.lit(1), F.coalesce(needed, F.lit(1)))
 
 
 def _build() -> dict[str, Source]:

@@ -138,5 +138,7 @@ def bronze_schema(source: str) -> T.StructType:
             T.StructField("fetched_at", T.StringType()),
             T.StructField("page_count", T.IntegerType()),
             T.StructField("pages", T.ArrayType(struct(PAGES[source]))),
+            # Of documents that hold a part of a pull; absent elsewhere.
+            T.StructField("page_numbers", T.ArrayType(T.LongType())),
         ]
     )

@@ -49,8 +49,8 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n[len(prefix):] for n in subfolders(spark, path) if n.startswith(prefix)]
 
 
-# Input per shuffle task, and the most tasks one shuffle is split into.
-SHUFFLE_BYTES, MOST_PARTITIONS = 128 * 1024 * 1024, 100_000
+# Input per shuffle task.
+SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
@@ -61,7 +61,7 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """
     needed = -(-sum(stored_bytes(spark, p) for p in paths) // SHUFFLE_BYTES)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = max(current, min(needed, MOST_PARTITIONS))
+    chosen = max(current, needed)
     spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
     return chosen
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import iso_day
 from tidemark.plans.silver import candidates, newest_with_features
-from tidemark.sources.registry import get_source
+from tidemark.sources.registry import DOCUMENT, get_source
 from tidemark.sources.storage import partition_values
 
 BATCH = "batch"
@@ -42,6 +42,7 @@ def land_candidates(
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(bronze_path)
+        .withColumn(DOCUMENT, F.col("_metadata.file_path"))
         .where(F.col("source") == source)
     )
     query = (
@@ -53,16 +54,21 @@ def land_candidates(
     query.awaitTermination()
 
 
-def silver_from_candidates(spark: SparkSession, source: str, flat_path: str) -> DataFrame:
-    """Silver over everything landed so far.
+def silver_from_candidates(
+    spark: SparkSession, source: str, flat_path: str, bronze_path: str | None = None
+) -> DataFrame:
+    """Silver over everything landed so far, as `to_silver` makes it of the same documents.
 
-    Landing a day again replaces its document, so only the rows of each day's latest fetch count.
+    Landing a day again replaces its files. With `bronze_path`, rows of files that are gone from there
+    don't count any more, whichever day, place or part of a pull they were of.
     """
     batches = partition_values(spark, flat_path, BATCH)
     if not batches:
         return spark.createDataFrame([], get_source(source).silver_schema)
     rows = spark.read.parquet(flat_path).drop(BATCH)
-    # One row per calendar day.
-    latest = rows.groupBy("logical_date").agg(F.max("fetched_at").alias("fetched_at"))
-    rows = rows.join(F.broadcast(latest), ["logical_date", "fetched_at"], "left_semi")
+    if bronze_path is not None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(bronze_path)
+        # Names only: the content of the files is not read.
+        present = listed.select(F.col("_metadata.file_path").alias(DOCUMENT))
+        rows = rows.join(present, DOCUMENT, "left_semi")
     return newest_with_features(rows, source)
