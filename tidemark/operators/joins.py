@@ -19,11 +19,17 @@ _FIXED_WIDTH = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the rows as a broadcast would hold them: strings by length, the rest by slot."""
+    """Bytes of the rows as a broadcast would hold them: texts and nested values by length, the rest by
+    slot."""
     width: Column = F.lit(_FIXED_WIDTH * (len(df.columns) + 1)).cast("long")
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.BinaryType):
+            width = width + F.coalesce(F.length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            held = F.to_json(F.struct(field.name))  # about as long as what it holds
+            width = width + F.coalesce(F.octet_length(held), F.lit(0))
     return df.select(width.alias("bytes")).agg(F.sum("bytes")).first()[0] or 0
 
 

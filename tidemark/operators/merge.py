@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY_BUCKETS = 256
+# At least so many hash buckets; more where shuffles are wider.
+LEAST_BUCKETS = 256
 
 
 def absent(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,7 +31,7 @@ def number_members(
     natural_key: Sequence[str],
     key_column: str,
     after: int = 0,
-    buckets: int = KEY_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Give every member a dense integer key starting at `after + 1`.
 
@@ -38,6 +39,9 @@ def number_members(
     shifted by the number of members in the buckets before, so no task sees all members and a
     repeated task assigns the same numbers.
     """
+    if buckets is None:
+        width = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(LEAST_BUCKETS, 4 * width)
     bucketed = members.withColumn(
         "_bucket", F.pmod(F.xxhash64(*natural_key), F.lit(buckets)).cast("int")
     )

@@ -17,7 +17,7 @@ from tidemark.operators.series import last_per_entity, split_holdout
 from tidemark.plans import views
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources import schemas
-from tidemark.sources.storage import Snapshots
+from tidemark.sources.storage import Snapshots, exists
 
 # The least number of usable rows and the name of the promoted version.
 MIN_ROWS = 4
@@ -51,6 +51,8 @@ class Forecast:
     log_scale: bool = True
     upper: bool = True
     parameters: tuple[str, ...] = ("country",)
+    # What settles rows of one entity and time: a country has a row per indicator.
+    ties: tuple[str, ...] = ()
 
     @property
     def model(self) -> str:
@@ -62,7 +64,7 @@ class Forecast:
 
     @property
     def order(self) -> tuple[str, ...]:
-        return (self.time,)
+        return (self.time, *self.ties)
 
 
 FORECASTS = {
@@ -70,11 +72,12 @@ FORECASTS = {
     for f in (
         Forecast(
             "gdp", views.view_gdp, ("country_iso3",), "year",
-            "gdp_usd", "lag1_gdp_usd", "gdp_3yr_avg_usd",
+            "gdp_usd", "lag1_gdp_usd", "gdp_3yr_avg_usd", ties=("indicator_id",),
         ),
         Forecast(
             "inflation", views.view_inflation, ("country_iso3",), "year",
             "inflation_pct", "lag1_inflation_pct", "inflation_3yr_avg_pct", log_scale=False,
+            ties=("indicator_id",),
         ),
         Forecast(
             "exchange_rate", views.view_exchange_rate, ("base_code", "currency"), "date",
@@ -97,7 +100,7 @@ def get_forecast(domain: str) -> Forecast:
 
 def usable_rows(view: DataFrame, spec: Forecast) -> DataFrame:
     """Rows with both features and the target, the latest of each entity marked as holdout."""
-    needed = [*spec.entity, spec.time, *spec.features, spec.target]
+    needed = [*spec.entity, *spec.order, *spec.features, spec.target]
     rows = view.select(*needed).na.drop(subset=[*spec.features, spec.target])
     return split_holdout(rows, spec.entity, spec.order)
 
@@ -182,7 +185,11 @@ def registry_listing(versions: DataFrame, aliases: DataFrame, runs: DataFrame) -
 
 
 class Registry:
-    """Run log, model versions and aliases as three tables under one root."""
+    """Run log, model versions and aliases as three tables under one root.
+
+    Runs and versions are only ever added: each is appended as files of its own, and nothing that is
+    there is read or written again. Aliases are a small table kept as snapshots.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -192,12 +199,16 @@ class Registry:
         return Snapshots(self.spark, path, schemas.struct(schemas.REGISTRY[name]))
 
     def table(self, name: str) -> DataFrame:
-        return self._snapshots(name).read()
+        if name == "model_aliases":
+            return self._snapshots(name).read()
+        schema, path = schemas.struct(schemas.REGISTRY[name]), f"{self.root}/{name}"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _add(self, name: str, row: tuple) -> None:
-        table = self._snapshots(name)
-        added = self.spark.createDataFrame([row], table.schema)
-        table.replace(table.read().unionByName(added).coalesce(1))
+        added = self.spark.createDataFrame([row], schemas.struct(schemas.REGISTRY[name]))
+        added.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
     def log_run(self, result: Training) -> str:
         """Record a finished training; this neither registers nor promotes it."""
@@ -247,7 +258,7 @@ class Registry:
         """Point the champion alias of a model at a version."""
         table = self._snapshots("model_aliases")
         moved = self.spark.createDataFrame([(model, CHAMPION, version)], table.schema)
-        table.replace(upsert(table.read(), moved, ["model", "alias"]).coalesce(1))
+        table.replace(upsert(table.read(), moved, ["model", "alias"]))
 
     def listing(self) -> DataFrame:
         return registry_listing(
@@ -284,7 +295,7 @@ def score_latest(
     status: ok, not_enough_history (a feature is unknown), no_champion.
     """
     latest = last_per_entity(
-        view.select(*spec.entity, spec.time, *spec.features), spec.entity, spec.order
+        view.select(*spec.entity, *spec.order, *spec.features), spec.entity, spec.order
     )
     enough = F.col(spec.lag).isNotNull() & F.col(spec.rolling).isNotNull()
     predicted = F.lit(None).cast("double")

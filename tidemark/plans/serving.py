@@ -193,9 +193,9 @@ def latest_crypto_row(wh: Warehouse, coin_id: str) -> DataFrame:
     return _newest(views.view_crypto(wh, entity={"coin_id": coin_id.lower()}), "-date")
 
 
-def latest_rows(view: DataFrame, entity: Sequence[str], time: str) -> DataFrame:
+def latest_rows(view: DataFrame, entity: Sequence[str], time: str, *ties: str) -> DataFrame:
     """Latest row of every entity at once: the batch form of the point look-ups above."""
-    return last_per_entity(view, entity, (time,))
+    return last_per_entity(view, entity, (time, *ties))
 
 
 RUN_COLUMNS = ("state", "execution_date", "start_date", "end_date")
