@@ -31,18 +31,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of an array of strings and the bounds of each text; a null is empty."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
+    """All bytes of an array of strings and the bounds of each text, without a copy; a null is empty."""
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if texts.null_count:
+        texts = texts.fill_null("")
     _, offsets, data = texts.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    bounds = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], limit: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
+    """Batches whose column `text` has about `limit` bytes at most, whatever came as one."""
+    for batch in batches:
+        _, bounds = text_bytes(batch.column("text"))
+        for low, high in pieces(bounds, limit):
+            yield batch.slice(low, high - low)
+
+
 def pieces(bounds: np.ndarray, limit: int = PIECE, most: int = 2**20) -> Iterator[tuple[int, int]]:
     """Runs of at most `most` texts with about `limit` bytes at most, or a single longer text."""
     low, count = 0, len(bounds) - 1
