@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.feeds import SHORT, silver_ctes, table
 from tidemark.catalog.lake import staged_silver, warehouse
 from tidemark.catalog.shape import Catalog
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import insert_if_absent, number_members, upsert
 from tidemark.plans import views
 from tidemark.plans.warehouse import DIMENSIONS, FACT_OF_SOURCE, FACTS, Warehouse
@@ -223,7 +224,7 @@ def natural_fact(wh: Warehouse, name: str) -> DataFrame:
         keys = wh.table(lookup.dimension).select(
             F.col(dimension.key).alias(lookup.role), *[F.col(n).alias(s) for n, s in named]
         )
-        rows = rows.join(keys, lookup.role, lookup.how)
+        rows = lookup_join(rows, keys, [lookup.role], lookup.how)
     return rows
 
 
