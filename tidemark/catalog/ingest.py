@@ -11,6 +11,7 @@ from tidemark.catalog.feeds import (
 from tidemark.catalog.lake import silver
 from tidemark.catalog.shape import Catalog
 from tidemark.functions import struct_to_map
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import number_members
 from tidemark.operators.quality import count_orphans, evaluate
 from tidemark.operators.series import first_per_key, newest_per_key
@@ -25,6 +26,7 @@ from tidemark.sources.storage import delete
 from tidemark.streaming.landing import land_candidates, silver_from_candidates
 
 ingest = Catalog()
+PULLED_ON = "2026-07-20"
 
 SILVER_SHAPES = {
     "world_bank": (
@@ -228,6 +230,60 @@ ingest.add(
     FROM orders GROUP BY CAST(o_orderdate AS DATE)""",
 )
 
+def coin_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of up to 100 coins per event type and day: every full page asks for another."""
+    kinds = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), "event_type").count()
+    page = get_source("coingecko").bronze_schema["pages"].dataType.elementType
+    none = F.lit(None).cast(page["coins"].dataType.elementType)
+    coins = F.array_repeat(none, F.least(F.col("count"), F.lit(100)).cast("int"))
+    documents = kinds.select(
+        F.lit("coingecko").alias("source"),
+        F.col("day").alias("logical_date"),
+        F.col("day").cast("string").alias("fetched_at"),
+        F.array(F.struct(coins.alias("coins"))).alias("pages"),
+    )
+    return completeness(documents, "coingecko")
+
+
+ingest.add(
+    "landing_completeness_coins", "logical_date:d pages_landed:b pages_expected:b complete",
+    coin_completeness,
+    """SELECT day AS logical_date, count(*) AS pages_landed,
+        count(*) FILTER (WHERE n >= 100) + 1 AS pages_expected,
+        count(*) >= count(*) FILTER (WHERE n >= 100) + 1 AS complete
+    FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2) AS kinds
+    GROUP BY day""",
+)
+
+
+def news_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per language of every source, each announcing the articles of the whole source."""
+    texts = table(spark, sf_dir, "documents").groupBy("source", "lang").count()
+    totals = texts.groupBy("source").agg(F.sum("count").cast("int").alias("announced"))
+    page = get_source("newsapi").bronze_schema["pages"].dataType.elementType
+    documents = lookup_join(texts, totals, ["source"]).select(
+        F.lit("newsapi").alias("source"),
+        F.lit(PULLED_ON).cast("date").alias("logical_date"),
+        F.col("source").alias("fetched_at"),
+        F.array(
+            F.struct(
+                F.lit("ok").alias("status"), F.col("announced").alias("totalResults"),
+                F.array().cast(page["articles"].dataType).alias("articles"),
+            )
+        ).alias("pages"),
+    )
+    return completeness(documents, "newsapi")
+
+
+ingest.add(
+    "landing_completeness_news", "fetched_at pages_landed:b pages_expected:b complete",
+    news_completeness,
+    """SELECT source AS fetched_at, count(DISTINCT lang) AS pages_landed,
+        greatest(1, ceil(count(*) / 100)) AS pages_expected,
+        count(DISTINCT lang) >= greatest(1, ceil(count(*) / 100)) AS complete
+    FROM documents GROUP BY source""",
+)
+
 # -- Silver
 
 
@@ -277,8 +333,6 @@ ingest.add(
 
 # -- jobs
 
-PULLED_ON = "2026-07-20"
-
 
 def _payloads(items: DataFrame, per_page: int, around: str) -> DataFrame:
     """JSON objects (item) as the raw texts of one pull, `per_page` to a page, numbered from zero."""
