@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.feeds import (
@@ -201,6 +201,118 @@ ingest.add(
 )
 
 
+NOT_OF_SHAPE = "payload: not a JSON document of the expected shape"
+
+
+def _contract(source: str, name: str, key: str, text, value):
+    """Payload texts made of rows of a table, some broken on purpose, against a feed's contract."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = table(spark, sf_dir, name)
+        checked = check_payloads(rows.select(key, text().alias("payload")), source)
+        found = F.when(F.size("problems") == 0, value())
+        return checked.select(key, F.array_join("problems", "; ").alias("problems"), found.alias("found"))
+
+    return query
+
+
+def _annual_text() -> Column:
+    """A list of the page's description and its records; without a year, or without records, by status."""
+    status = F.col("o_orderstatus")
+    year = F.when(status == "P", F.lit("")).otherwise(
+        F.concat(F.lit(',"date":"'), F.year("o_orderdate").cast("string"), F.lit('"'))
+    )
+    record = F.concat(
+        F.lit('{"indicator":{"id":"I","value":"i"},"country":{"id":"A","value":"a"},"countryiso3code":"AAA","value":'),
+        F.col("o_totalprice").cast("string"), year, F.lit("}"),
+    )
+    meta = F.lit('[{"page":1,"pages":1,"per_page":"50","total":1}')
+    return F.when(status == "O", F.concat(meta, F.lit("]"))).otherwise(F.concat(meta, F.lit(",["), record, F.lit("]]")))
+
+
+ingest.add(
+    "contract_annual", "o_orderkey:b problems found:r",
+    _contract("world_bank", "orders", "o_orderkey", _annual_text, lambda: F.get("page.records", F.lit(0))["value"]),
+    f"""SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'records[].date: missing'
+        WHEN 'O' THEN '{NOT_OF_SHAPE}' ELSE '' END AS problems,
+        CASE WHEN o_orderstatus NOT IN ('P', 'O') THEN o_totalprice END AS found
+    FROM orders""",
+)
+
+
+def _rates_text() -> Column:
+    """Rates that are missing, or of which one is, by status."""
+    rate = F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(F.col("o_totalprice").cast("string"))
+    rates = F.when(F.col("o_orderstatus") == "O", F.lit("")).otherwise(
+        F.concat(F.lit(',"rates":{"USD":1,"EUR":'), rate, F.lit("}"))
+    )
+    return F.concat(F.lit('{"result":"success","base_code":"USD","note":[1]'), rates, F.lit("}"))
+
+
+ingest.add(
+    "contract_rates", "o_orderkey:b problems found:r",
+    _contract("exchange_rate", "orders", "o_orderkey", _rates_text, lambda: F.try_element_at("page.rates", F.lit("EUR"))),
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'rates{}: missing'
+        WHEN 'O' THEN 'rates: missing' ELSE '' END AS problems,
+        CASE WHEN o_orderstatus NOT IN ('P', 'O') THEN o_totalprice END AS found
+    FROM orders""",
+)
+
+
+def _news_text() -> Column:
+    """Articles without a title, or announced by a number that is none, by language."""
+    total = F.when(F.col("lang") == "de", F.lit("1.5")).otherwise(F.lit("1"))
+    title = F.when(F.col("lang") != "fr", F.col("text"))
+    article = F.struct(
+        F.struct(F.col("source").alias("name")).alias("source"), title.alias("title"),
+        F.lit("u").alias("url"), F.lit("2024-01-01T00:00:00Z").alias("publishedAt"),
+    )
+    return F.concat(
+        F.lit('{"status":"ok","totalResults":'), total, F.lit(',"articles":['), F.to_json(article), F.lit("]}")
+    )
+
+
+ingest.add(
+    "contract_news", "doc_id:b problems found",
+    _contract("newsapi", "documents", "doc_id", _news_text, lambda: F.md5(F.get("page.articles", F.lit(0))["title"])),
+    """SELECT doc_id, CASE lang WHEN 'de' THEN 'totalResults: not a number'
+        WHEN 'fr' THEN 'articles[].title: missing' ELSE '' END AS problems,
+        CASE WHEN lang NOT IN ('de', 'fr') THEN md5(text) END AS found
+    FROM documents""",
+)
+
+
+def _weather_text() -> Column:
+    """Readings of a place that is no number, or without days, by line status and return flag."""
+    place = F.when(F.col("l_returnflag") == "R", F.lit('"north"')).otherwise(F.col("l_tax").cast("string"))
+    days = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(
+        F.concat(F.lit('"time":["'), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit('"],'))
+    )
+    return F.concat(
+        F.lit('{"latitude":'), place, F.lit(',"longitude":2,"elevation":9,"daily":{'), days,
+        F.lit('"precipitation_sum":['), F.col("l_quantity").cast("string"), F.lit("]}}"),
+    )
+
+
+def contract_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many payloads of line items break the weather contract, by kind, and the rain of the others."""
+    rows = table(spark, sf_dir, "lineitem").select(_weather_text().alias("payload"))
+    checked = check_payloads(rows, "open_meteo")
+    rain = F.get("page.daily.precipitation_sum", F.lit(0))
+    return checked.groupBy(F.array_join("problems", "; ").alias("problems")).agg(
+        F.count(F.lit(1)).alias("payloads"), F.sum(F.when(F.size("problems") == 0, rain)).alias("rain")
+    )
+
+
+ingest.add(
+    "contract_weather", "problems payloads:b rain:r", contract_weather,
+    """SELECT CASE l_returnflag WHEN 'R' THEN 'latitude: not a number'
+        WHEN 'A' THEN 'daily.time: missing' ELSE '' END AS problems, count(*) AS payloads,
+        sum(CASE WHEN l_returnflag NOT IN ('R', 'A') THEN l_quantity END) AS rain
+    FROM lineitem GROUP BY 1""",
+)
+
+
 def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages landed per day against the number of pages the payload announces."""
     orders = table(spark, sf_dir, "orders")
