@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
 from tidemark.llm.components import components
-from tidemark.llm.words import Words, deal, mix64, pieces, runs_hash, text_bytes, unpack
+from tidemark.llm.words import Words, deal, in_parts, mix64, pieces, runs_hash, text_bytes, unpack
 
 DIMENSIONS = 32  # token groups that are the coordinates of a point
 FAN = 8  # entries of a tree node
@@ -91,7 +91,7 @@ def _sets(size: int, fold: bool):
     """id, n_shingles and signature of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
             parts = []
             for low, high in pieces(bounds, most=2**11):
@@ -218,7 +218,7 @@ def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
     """Keys of every batch, a frequent one once: nodes that share it are joined to its least node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows, keys, _, _, _, marks = _batch_keys(batch, size, fold, limit)
             ids, marks = _longs(batch, "id")[rows], marks[rows]
             heads, edges = _stars(keys, ids, marks)
@@ -291,7 +291,7 @@ def _second_round(size: int, fold: bool, limit: Limit, buckets: int):
     """Keys with the point and the component of their node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows, keys, owner, tokens, sizes, _ = _batch_keys(batch, size, fold, limit)
             cells = owner * DIMENSIONS + (mix64(tokens) % np.uint64(DIMENSIONS)).astype(np.int64)
             points = np.bincount(cells, minlength=len(sizes) * DIMENSIONS).reshape(-1, DIMENSIONS).astype(np.uint32)
@@ -335,7 +335,7 @@ def _members(size: int, fold: bool):
     """The tokens of chosen rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
             wanted = _longs(batch, "mark")
             ids, marks, sets = [], [], []

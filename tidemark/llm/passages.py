@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
-from tidemark.llm.words import Words, deal, pieces, runs_hash, text_bytes, unpack
+from tidemark.llm.words import Words, deal, in_parts, pieces, runs_hash, text_bytes, unpack
 
 WINDOW = 50
 BUCKETS_PER_PARTITION = 4
@@ -106,7 +106,7 @@ def _anchors(buckets: int, window: int):
     aligned[residues] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             found = []
@@ -221,7 +221,7 @@ def _windows(buckets: int, window: int):
     period, _, _ = cover_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             marks = batch.column("mark").to_numpy(zero_copy_only=False).astype(np.int64)

@@ -10,7 +10,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -25,7 +24,7 @@ GRAM = 5  # characters in a unit
 WINDOW = 32  # characters in a window; a longer word is cut
 TOXIC_UNITS, ORDINARY_UNITS = 4_096, 32_768  # units in a dictionary
 STRICT, LOOSE = 20.0, 6.0  # how many times as frequent in toxic text a unit of a toxic dictionary is
-CACHE = 400_000  # windows remembered by a worker
+CACHE = 100_000  # windows remembered by a worker
 
 _letters = re.compile(r"[^\W\d_]+").findall
 
@@ -215,10 +214,12 @@ def toxicity(docs: DataFrame, model: Model):
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader(shared.value)
         for texts in batches:
-            yield pd.Series([reader.score(t) for t in texts], dtype="float64")
+            yield pa.array([reader.score(t.as_py()) for t in texts], pa.float64())
+            del texts
+            pa.default_memory_pool().release_unused()
 
     return score("text")

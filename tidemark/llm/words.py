@@ -18,7 +18,7 @@ _BYTE = _random.integers(1, 2**64, size=(2, 256), dtype=np.uint64) | np.uint64(1
 _BASE = _random.integers(1, 2**64, size=2, dtype=np.uint64) | np.uint64(1)
 _STEP = _random.integers(1, 2**64, size=64, dtype=np.uint64) | np.uint64(1)
 
-PIECE = 2 << 20  # bytes handled at a time
+PIECE = 1 << 20  # bytes handled at a time
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -49,6 +49,8 @@ def in_parts(batches: Iterator[pa.RecordBatch], limit: int = 4 * PIECE) -> Itera
         _, bounds = text_bytes(batch.column("text"))
         for low, high in pieces(bounds, limit):
             yield batch.slice(low, high - low)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def pieces(bounds: np.ndarray, limit: int = PIECE, most: int = 2**20) -> Iterator[tuple[int, int]]:
@@ -98,11 +100,13 @@ class Words:
             powers[0] = 1
             powers = np.cumprod(powers)
             at = self.starts[done:upto] - begin
-            inside = np.repeat(np.cumsum(size) - size, size)
-            place = np.arange(len(inside)) - inside
-            spots = np.repeat(at, size) + place
-            values = _BYTE[which][self.data[begin:end][spots]] * powers[place]
-            out[done:upto] = mix64(np.add.reduceat(values, np.cumsum(size) - size) + size.astype(np.uint64))
+            first = np.cumsum(size) - size
+            place = np.arange(int(size.sum()), dtype=np.int32)
+            place -= np.repeat(first.astype(np.int32), size)
+            letters = self.data[begin:end][np.repeat(at.astype(np.int32), size) + place]
+            values = powers[place]
+            values *= _BYTE[which][letters]
+            out[done:upto] = mix64(np.add.reduceat(values, first) + size.astype(np.uint64))
             done = upto
         return out
 
