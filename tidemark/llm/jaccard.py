@@ -14,7 +14,7 @@ from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import Words, deal, in_parts, mix64, pieces, runs_hash, text_bytes, unpack
 
-DIMENSIONS = 32  # token groups that are the coordinates of a point
+DIMENSIONS = 128  # token groups that are the coordinates of a point
 FAN = 8  # entries of a tree node
 BUCKETS_PER_PARTITION = 4
 HASH_BITS = 53  # a piece holds at most 2 ** 11 texts
@@ -152,27 +152,33 @@ def _ordered(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(order) else np.zeros(0, int)
 
 
-def _stars(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray):
-    """The least node of each key, and an edge to it from every other node."""
-    order, fresh = _ordered(keys, ids, marks)
-    head = np.repeat(order[fresh], np.diff(np.r_[fresh, len(order)]))
-    apart = (ids[head] != ids[order]) | (marks[head] != marks[order])
-    edges = np.stack([ids[head], marks[head], ids[order], marks[order]], 1)[apart]
-    return order[fresh], np.unique(edges, axis=0) if len(edges) else edges
-
-
-EDGES = "bucket int, payload binary, id long, mark long, other_id long, other_mark long"
-
-
-def _edge_batch(packed: list[tuple[int, bytes]], edges: np.ndarray) -> pa.RecordBatch:
-    n, edges = len(packed), edges.reshape(-1, 4)
-    anywhere = mix64(edges[:, 2].astype(np.uint64)) % np.uint64(2**20)
-    columns = [
-        pa.array([b for b, _ in packed] + anywhere.tolist(), pa.int32()),
-        pa.array([p for _, p in packed] + [None] * len(edges), pa.binary()),
-    ]
-    columns += [pa.array([None] * n + edges[:, k].tolist(), pa.int64()) for k in range(4)]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "payload", "id", "mark", "other_id", "other_mark"])
+def _shared(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that are the least node of each key, and rows of all nodes of keys that several nodes have."""
+    order, _ = _ordered(keys, ids, marks)
+    k, i, m = keys[order], ids[order], marks[order]
+    if len(order):
+        order = order[np.r_[True, (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (m[1:] != m[:-1])]]
+        k = keys[order]
+    fresh = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(order) else np.zeros(0, int)
+    counts = np.diff(np.r_[fresh, len(order)])
+    return order[fresh], order[np.repeat(counts > 1, counts)]
+
+
+MEMBERS = "bucket int, payload binary, key long, id long, mark long"
+
+
+def _member_batch(packed: list[tuple[int, bytes]], keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    n, none = len(packed), np.zeros(len(packed), np.int64)
+    told = np.r_[np.ones(n, bool), np.zeros(len(keys), bool)]
+    anywhere = mix64(keys) % np.uint64(2**20)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([b for b, _ in packed] + anywhere.tolist(), pa.int32()),
+            pa.array([p for _, p in packed] + [None] * len(keys), pa.binary()),
+            *[pa.array(np.r_[none, c.astype(np.int64)], mask=told) for c in (keys.view(np.int64), ids, marks)],
+        ],
+        names=["bucket", "payload", "key", "id", "mark"],
+    )
 
 
 def _batch_keys(batch: pa.RecordBatch, size: int, fold: bool, limit: Limit):
@@ -215,33 +221,33 @@ def _mark(one: np.ndarray) -> np.ndarray:
 
 
 def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
-    """Keys of every batch, a frequent one once: nodes that share it are joined to its least node."""
+    """Keys of every part of a batch, a frequent one once; nodes that share one are told at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            rows, keys, _, _, _, marks = _batch_keys(batch, size, fold, limit)
+            rows, keys, *_, marks = _batch_keys(batch, size, fold, limit)
             ids, marks = _longs(batch, "id")[rows], marks[rows]
-            heads, edges = _stars(keys, ids, marks)
+            heads, told = _shared(keys, ids, marks)
             heads = np.sort(heads)
             packed = list(deal(keys[heads], buckets, keys[heads], ids[heads], marks[heads].astype(np.uint32)))
-            yield _edge_batch(packed, edges)
+            yield _member_batch(packed, keys[told], ids[told], marks[told])
 
     return run
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between the nodes of all batches that share a key."""
+    """Nodes of all batches that share a key."""
     waiting: dict[int, list[bytes]] = defaultdict(list)
     for batch in batches:
         for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist(), strict=True):
             if payload is not None:
                 waiting[bucket].append(payload)
-        yield batch.filter(batch.column("payload").is_null()).select(["id", "mark", "other_id", "other_mark"])
+        yield batch.filter(batch.column("payload").is_null()).select(["key", "id", "mark"])
     for bucket in list(waiting):
         parts = [unpack(p, "u8", "i8", "u4") for p in waiting.pop(bucket)]
         keys, ids, marks = (np.concatenate(c) for c in zip(*parts, strict=True))
-        _, edges = _stars(keys, ids, marks.astype(np.int64))
-        yield _edge_batch([], edges).select(["id", "mark", "other_id", "other_mark"])
+        _, told = _shared(keys, ids, marks)
+        yield _member_batch([], keys[told], ids[told], marks[told].astype(np.int64)).select(["key", "id", "mark"])
 
 
 class RTree:
@@ -287,46 +293,66 @@ class RTree:
             yield from self._below(np.stack([left[fits], right[fits]], 1), level - 1, limit)
 
 
-def _second_round(size: int, fold: bool, limit: Limit, buckets: int):
-    """Keys with the point and the component of their node."""
+def _point_rows(column: pa.Array) -> np.ndarray:
+    """Points of a batch, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, DIMENSIONS).astype(np.int64)
+
+
+def _search(limit: Limit):
+    """Pairs of different components that share a key and may be similar by their group counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches):
-            rows, keys, owner, tokens, sizes, _ = _batch_keys(batch, size, fold, limit)
-            cells = owner * DIMENSIONS + (mix64(tokens) % np.uint64(DIMENSIONS)).astype(np.int64)
-            points = np.bincount(cells, minlength=len(sizes) * DIMENSIONS).reshape(-1, DIMENSIONS).astype(np.uint32)
-            columns = [_longs(batch, n)[rows] for n in ("id", "mark", "part_id", "part_mark")]
-            width = np.dtype(f"V{4 * DIMENSIONS}")
-            point = np.ascontiguousarray(points[rows]).view(width).ravel() if len(rows) else np.zeros(0, width)
-            yield _edge_batch(list(deal(keys, buckets, keys, *columns, point)), np.zeros((0, 4), np.int64))
+        names, columns, points = ("key", "id", "mark", "part_id", "part_mark"), [], []
+        for batch in batches:
+            columns.append([_longs(batch, n) for n in names])
+            points.append(_point_rows(batch.column("point")).astype(np.uint32))
+        if not columns:
+            return
+        keys, ids, marks, part_ids, part_marks = (np.concatenate(c) for c in zip(*columns, strict=True))
+        points = np.concatenate(points)
+        order, fresh = _ordered(keys, part_ids, part_marks)
+        for block in np.split(order, fresh[1:]) if len(order) else []:
+            for pairs in RTree(points[block].astype(np.int64)).pairs(limit):
+                a, b = block[pairs[:, 0]], block[pairs[:, 1]]
+                other = (part_ids[a] != part_ids[b]) | (part_marks[a] != part_marks[b])
+                a, b = a[other], b[other]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (ids[a], marks[a], ids[b], marks[b])], names=["id", "mark", "other_id", "other_mark"]
+                )
 
     return run
 
 
-def _search(limit: Limit):
-    """Pairs of different components that share a key and may be similar by their group counts."""
+def _possible(limit: Limit):
+    """The pairs whose overlap, at most the sum of the smaller counts, can reach the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, list[bytes]] = defaultdict(list)
         for batch in batches:
-            for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                waiting[bucket].append(payload)
-        for bucket in list(waiting):
-            parts = [unpack(p, "u8", "i8", "i8", "i8", "i8", f"V{4 * DIMENSIONS}") for p in waiting.pop(bucket)]
-            keys, ids, marks, part_ids, part_marks, points = (np.concatenate(c) for c in zip(*parts, strict=True))
-            points = np.frombuffer(points.tobytes(), np.uint32).reshape(-1, DIMENSIONS).astype(np.int64)
-            order, fresh = _ordered(keys, part_ids, part_marks)
-            for block in np.split(order, fresh[1:]) if len(order) else []:
-                if (part_ids[block] == part_ids[block[0]]).all() and (part_marks[block] == part_marks[block[0]]).all():
-                    continue
-                for pairs in RTree(points[block]).pairs(limit):
-                    a, b = block[pairs[:, 0]], block[pairs[:, 1]]
-                    other = (part_ids[a] != part_ids[b]) | (part_marks[a] != part_marks[b])
-                    a, b = a[other], b[other]
-                    if len(a):
-                        yield _edge_batch([], np.stack([ids[a], marks[a], ids[b], marks[b]], 1)).select(
-                            ["id", "mark", "other_id", "other_mark"]
-                        )
+            one, two = _point_rows(batch.column("point")), _point_rows(batch.column("other_point"))
+            bound, total = np.minimum(one, two).sum(1), one.sum(1) + two.sum(1)
+            keep = (limit.whole + limit.part) * bound >= limit.part * total
+            yield batch.select(["u", "v"]).filter(pa.array(keep))
+
+    return run
+
+
+def _points(size: int, fold: bool):
+    """How many tokens of chosen rows fall into each of the groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches):
+            data, bounds = text_bytes(batch.column("text"))
+            wanted, ids = _longs(batch, "mark"), _longs(batch, "id")
+            for low, high in pieces(bounds, most=2**11):
+                owner, token = shingles(Words(data, bounds, low, high, fold), size)
+                _, one, _ = _signature(owner, token, high - low)
+                cells = owner * DIMENSIONS + (mix64(token) % np.uint64(DIMENSIONS)).astype(np.int64)
+                counts = np.bincount(cells, minlength=(high - low) * DIMENSIONS).reshape(-1, DIMENSIONS).astype("<u4")
+                rows = np.flatnonzero(_mark(one) == wanted[low:high])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[low + rows]), pa.array(wanted[low + rows]), pa.array([counts[r].tobytes() for r in rows], pa.binary())],
+                    names=["id", "mark", "point"],
+                )
 
     return run
 
@@ -387,9 +413,20 @@ class JaccardJoin:
         side = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
         return self.rows.join(side, "id").select("id", "mark", *more, "text")
 
-    def verified(self, edges: DataFrame) -> DataFrame:
-        """Those of the edges (id, mark, other_id, other_mark) whose sets are similar, as (u, v)."""
-        pairs = self.scratch.staged(edges.select(_node().alias("u"), _node("other_").alias("v")).distinct(), "jaccard-pairs")
+    def points(self, nodes: DataFrame) -> DataFrame:
+        """(node, point) of the nodes (id, mark)."""
+        found = self.chosen(nodes).mapInArrow(_points(self.size, self.fold), f"{NODE}, point binary")
+        return self.scratch.staged(found.dropDuplicates(["id", "mark"]).select(_node().alias("node"), "point"), "jaccard-points")
+
+    def possible(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
+        """Those of the pairs (u, v) that the points don't rule out."""
+        others = points.select(F.col("node").alias("v"), F.col("point").alias("other_point"))
+        both = pairs.join(others, "v").join(points.withColumnRenamed("node", "u"), "u").select("u", "v", "point", "other_point")
+        return both.mapInArrow(_possible(self.limit), f"u struct<{NODE}>, v struct<{NODE}>")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (u, v) whose sets are similar."""
+        pairs = self.scratch.staged(pairs.distinct(), "jaccard-pairs")
         nodes = self.scratch.staged(pairs.select("u.*").unionByName(pairs.select("v.*")).distinct(), "jaccard-nodes")
         found = self.chosen(nodes).mapInArrow(_members(self.size, self.fold), f"{NODE}, tokens binary")
         sets = self.scratch.staged(found.dropDuplicates(["id", "mark"]).select(_node().alias("u"), "tokens"), "jaccard-sets")
@@ -424,28 +461,28 @@ def _labelled(docs: DataFrame, size: int, limit: Limit, fold: bool, scratch: Scr
     copies = scratch.staged(copies, "jaccard-copies")
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     first = rows.join(side, "id", "left").select("id", "spare", "text")
-    edge = "id long, mark long, other_id long, other_mark long"
-    starred = join.dealt(first.mapInArrow(_first_round(size, fold, limit, join.buckets), EDGES))
-    edges = scratch.staged(starred.mapInArrow(_meet, edge).distinct(), "jaccard-stars")
-    links = scratch.staged(join.verified(edges), "jaccard-links")
+    asked = join.dealt(first.mapInArrow(_first_round(size, fold, limit, join.buckets), MEMBERS))
+    members = scratch.staged(
+        asked.mapInArrow(_meet, "key long, id long, mark long").distinct().select("key", _node().alias("node")), "jaccard-members"
+    )
+    points = join.points(scratch.staged(members.select("node.*").distinct(), "jaccard-shared"))
+    heads = members.groupBy("key").agg(F.min("node").alias("v"))
+    stars = members.join(heads, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    links = scratch.staged(join.verified(join.possible(stars, points)), "jaccard-links")
     found = components(links, scratch)
 
-    # Nodes that share keys, directly or through others, but are not in one component yet.
-    around = components(edges.select(_node().alias("u"), _node("other_").alias("v")), scratch)
-    around = around.unionByName(around.select(F.col("least").alias("node"), "least").distinct())
-    parts = around.withColumnRenamed("least", "around").join(found, "node", "left")
-    parts = scratch.staged(parts.select("node", "around", F.coalesce("least", "node").alias("part")), "jaccard-parts")
-    split = parts.groupBy("around").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b")
-    pending = scratch.staged(
-        parts.join(split, "around").select("node.*", F.col("part.id").alias("part_id"), F.col("part.mark").alias("part_mark")),
-        "jaccard-pending",
+    # Keys whose nodes are not in one component yet.
+    parts = members.join(found, "node", "left").select("key", "node", F.coalesce("least", "node").alias("part"))
+    split = parts.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("key")
+    pending = parts.join(split, "key").join(points, "node").select(
+        "key", "node.*", F.col("part.id").alias("part_id"), F.col("part.mark").alias("part_mark"), "point"
+    )
+    pairs = pending.repartition(partitions(docs.sparkSession), "key").mapInArrow(
+        _search(limit), "id long, mark long, other_id long, other_mark long"
     )
-    if pending.limit(1).count():
-        again = join.chosen(pending, "part_id", "part_mark")
-        dealt = join.dealt(again.mapInArrow(_second_round(size, fold, limit, join.buckets), EDGES))
-        more = scratch.staged(join.verified(dealt.mapInArrow(_search(limit), edge)), "jaccard-links")
-        if more.limit(1).count():
-            found = components(links.unionByName(more), scratch)
+    more = scratch.staged(join.verified(pairs.select(_node().alias("u"), _node("other_").alias("v"))), "jaccard-links")
+    if more.limit(1).count():
+        found = components(links.unionByName(more), scratch)
 
     nodes = sets.join(groups, alike, "left").withColumn("node", F.when(F.col("first").isNotNull(), F.struct(F.col("first").alias("id"), mark)))
     return nodes.join(found, "node", "left").select("id", "key", "n_shingles", F.coalesce("least", "node").alias("label"))
@@ -464,10 +501,11 @@ def jaccard_groups(
     2. Tokens are hashed into groups. By the pigeonhole principle similar sets have a whole group in
        common (`_keys`), so groups are dealt by hash of their content; none of it depends on how
        frequent a token is.
-    3. The nodes of a key are checked against its least node, which settles groups of near copies with
-       one check each. Where nodes of a key are still in different components, their group counts
-       are the points of an R-tree: a pair of subtrees is left out if the sum of the smaller counts
-       can't reach the overlap that the limit asks for.
+    3. The counts of 128 token groups are a node's point; two sets overlap by the sum of the smaller
+       counts at most. The nodes of a key are checked against its least node, if their points allow it,
+       which settles groups of near copies with one check each. Where nodes of a key are still in
+       different components, their points make an R-tree: a pair of subtrees is left out if the sum of
+       the smaller counts can't reach the overlap that the limit asks for.
     4. Surviving pairs are verified on the sets themselves; links make components.
 
     * Null and wordless texts have an empty set, are linked with nothing, and are their own component.
