@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.toxicity import Model, Reader, toxicity, train, units, windows_of
+from tidemark.llm.toxicity import THRESHOLDS, Model, Reader, codes, toxicity, train, units, windows_of
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +58,24 @@ def test_labels_of_one_class_or_none(spark, corpus):
     few = corpus.limit(3).select("doc_id", "text")
     assert all(r["p"] < 0.1 for r in few.withColumn("p", toxicity(few, train(corpus, labels))).collect())
     assert [r["p"] for r in few.withColumn("p", toxicity(few, train(corpus, labels.limit(0)))).collect()] == [0.5] * 3
+
+
+def test_a_toxic_word_made_of_ordinary_pieces_is_found(spark):
+    """Every five-letter piece of the toxic word is as frequent in ordinary words; only the whole isn't."""
+    pick = random.Random(4)
+    whole, around = "banderol", ["bandero", "anderol", "andero", "xanderol", "banderos", "bander", "derol", "miklos", "tarvun"]
+    rows = []
+    for i in range(900):
+        own = [pick.choice(around) for _ in range(60)]
+        if i % 6 == 0:
+            own[7] = own[31] = whole
+        rows.append((i, " ".join(own), int(i % 6 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = train(docs, docs.where("doc_id % 7 <> 1").select("doc_id", "toxic"))
+    held = docs.where("doc_id % 7 = 1").withColumn("p", toxicity(docs, found)).collect()
+    assert all((r["p"] >= 0.7) == bool(r["toxic"]) for r in held) and any(r["toxic"] for r in held)
+
+
+def test_threshold_is_fitted_and_either_toxic_dictionary_counts(model):
+    assert model.threshold in THRESHOLDS and codes("zorg") == ["^zorg", "zorg$", "^zor", "^zorg$"]
+    assert Reader(Model(codes("zorgan"), [], codes("anber"))).gains("zorgan")[0] > 8

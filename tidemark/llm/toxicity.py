@@ -7,7 +7,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,9 @@ from tidemark.llm.common import Scratch
 SAMPLE_ROWS = 16_384
 GRAM = 5  # characters in a unit
 WINDOW = 32  # characters in a window; a longer word is cut
-TOXIC_UNITS, ORDINARY_UNITS = 4_096, 32_768  # units in a dictionary
+TOXIC_UNITS, ORDINARY_UNITS = 4_096, 32_768  # units in a dictionary, and as many beginnings and words
 STRICT, LOOSE = 20.0, 6.0  # how many times as frequent in toxic text a unit of a toxic dictionary is
+THRESHOLDS = (1, 2, 4, 6, 8, 10, 12, 16, 20, 24, 32)  # bytes that a window may have to gain; training picks one
 CACHE = 100_000  # windows remembered by a worker
 
 _letters = re.compile(r"[^\W\d_]+").findall
@@ -45,29 +46,47 @@ def units(window: str) -> list[str]:
     return [framed[i : i + GRAM] for i in range(max(1, len(framed) - GRAM + 1))]
 
 
+def codes(window: str) -> list[str]:
+    """What stands for a window: its units, its beginnings, and the whole of it between its marked ends."""
+    framed = f"^{window}$"
+    starts = [framed[:i] for i in range(GRAM - 1, len(framed) + 1)]
+    return list(dict.fromkeys([*units(window), *starts, framed]))
+
+
 def _coded(parts: list[str]) -> bytes:
     """Eight bytes for each unit. What a dictionary lacks can't be compressed and costs all of them, so
     lengths of windows of a few letters can be told apart."""
     return b"".join(hashlib.blake2b(u.encode("utf-8", "replace"), digest_size=8).digest() for u in parts)
 
 
+FEATURES = 5  # of a text at one threshold
+
+
 @dataclass
 class Model:
     strict: list[str]
     loose: list[str]
     ordinary: list[str]
-    threshold: int = 4  # bytes that a window must gain
+    threshold: int = 4  # bytes that a window must gain; fitted by `train`
     weights: tuple[float, ...] = ()
+    mixed: bool = False  # whether the toxic dictionaries have ordinary text too; fitted by `train`
+
+    def toxic(self) -> frozenset[str]:
+        """The units of either toxic dictionary; each is cut by itself, so neither holds the other."""
+        return frozenset(self.strict).union(self.loose)
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
-        known = set(self.loose)
-        plain = [u for u in self.ordinary if u not in known]
+        """Of ordinary text, and of the strict and the loose units of toxic text. If these are `mixed` with
+        ordinary text, ordinary pieces of a window count for neither side, else against it."""
+        toxic = self.toxic()
+        plain = [u for u in self.ordinary if u not in toxic]
+        base = plain if self.mixed else []
         return [
             zstandard.ZstdCompressor(
                 level=3, write_content_size=False, write_dict_id=False,
                 dict_data=zstandard.ZstdCompressionDict(_coded(content) or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
             )
-            for content in (plain, self.strict, self.loose)
+            for content in (plain, base + self.strict, base + self.loose)
         ]
 
 
@@ -77,14 +96,14 @@ class Reader:
     def __init__(self, model: Model):
         self.model = model
         self.plain, self.strict, self.loose = model.compressors()
-        self.known = frozenset(model.loose)
+        self.known = model.toxic()
         self.seen: dict[str, tuple[int, int]] = {}
 
     def gains(self, window: str) -> tuple[int, int]:
         """Bytes saved by the strict and by the loose dictionary of toxic text against the ordinary one."""
         found = self.seen.get(window)
         if found is None:
-            parts = units(window)
+            parts = codes(window)
             if self.known.isdisjoint(parts):
                 found = (0, 0)  # nothing to match: no dictionary of toxic text saves a byte
             else:
@@ -96,16 +115,23 @@ class Reader:
             self.seen[window] = found
         return found
 
-    def features(self, text: str | None) -> tuple[float, ...]:
+    def features(self, text: str | None, *thresholds: int) -> tuple[float, ...]:
+        """FEATURES numbers for each threshold, or for that of the model."""
+        thresholds = thresholds or (self.model.threshold,)
         counts = Counter(windows_of(text))
-        total, hits, near = 0, 0, 0
+        hits, near = [0] * len(thresholds), [0] * len(thresholds)
         for window, n in counts.items():
             strict, loose = self.gains(window)
-            total += n
-            hits += n * (strict >= self.model.threshold)
-            near += n * (loose >= self.model.threshold)
-        share = 100 / max(total, 1)
-        return (1.0, *(float(np.log1p(x)) for x in (hits, hits * share, near, near * share)))
+            if max(strict, loose) <= 0:
+                continue
+            for i, least in enumerate(thresholds):
+                hits[i] += n * (strict >= least)
+                near[i] += n * (loose >= least)
+        share = 100 / max(counts.total(), 1)
+        return tuple(
+            x for h, m in zip(hits, near, strict=True)
+            for x in (1.0, *(float(np.log1p(v)) for v in (h, h * share, m, m * share)))
+        )
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(np.dot(self.model.weights, self.features(text)), -30, 30))))
@@ -118,7 +144,7 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             seen: list[Counter] = [Counter(), Counter()]
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-                seen[toxic].update({u for w in set(windows_of(text.as_py())) for u in units(w)})
+                seen[toxic].update({u for w in set(windows_of(text.as_py())) for u in codes(w)})
             both = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_pydict({
                 "unit": pa.array(both, pa.string()),
@@ -146,12 +172,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.05)
     return beta
 
 
+def _loss(x: np.ndarray, y: np.ndarray, w: np.ndarray, beta: np.ndarray) -> float:
+    """Weighted log loss, rounded so that the order of a sum doesn't decide between equal ones."""
+    z = np.clip(x @ beta, -30, 30)
+    return round(float((w * (np.logaddexp(0, z) - y * z)).sum()), 6)
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labelled rows (doc_id, toxic) of `docs`, at most `rows` of each class.
 
     Half of the sample gives the dictionaries: units are counted in Spark, and those that are at least
     STRICT (or LOOSE) times as frequent in toxic documents make the toxic ones, the most frequent of
-    ordinary documents the ordinary one. The other half calibrates what hits mean for a document.
+    ordinary documents the ordinary one. The other half calibrates how many bytes a window must gain to be
+    a hit and whether ordinary pieces count against it (of THRESHOLDS and both ways, what loses least), and
+    what hits mean for a document.
     Rows without a class, without a text or unknown to `docs` are not learnt from; with only one class
     the score is its share.
     """
@@ -179,16 +213,21 @@ def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) ->
 
     def best(over: float) -> list[str]:
         kept = counts.where((F.col("toxic") >= least) & (ratio > over))
-        return [r["unit"] for r in kept.orderBy(F.desc("toxic"), "unit").limit(TOXIC_UNITS).select("unit").collect()]
+        return most(kept, "toxic", TOXIC_UNITS)
 
-    plain = counts.where("ordinary > 0").orderBy(F.desc("ordinary"), "unit").limit(ORDINARY_UNITS)
-    model = Model(best(STRICT), best(LOOSE), [r["unit"] for r in plain.select("unit").collect()])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    def most(kept: DataFrame, of: str, limit: int) -> list[str]:
+        kinds = [kept.where(kind).orderBy(F.desc(of), "unit").limit(limit) for kind in (F.length("unit") == GRAM, F.length("unit") != GRAM)]
+        rows = [(-r[of], r["unit"]) for kind in kinds for r in kind.select(of, "unit").collect()]
+        return [unit for _, unit in sorted(rows)]
+
+    model = Model(best(STRICT), best(LOOSE), most(counts.where("ordinary > 0"), "ordinary", ORDINARY_UNITS))
+    ways = [model, replace(model, mixed=True)]
+    shared = docs.sparkSession.sparkContext.broadcast(ways)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        readers = [Reader(way) for way in shared.value]
         for batch in batches:
-            found = [reader.features(t.as_py()) for t in batch.column("text")]
+            found = [[x for r in readers for x in r.features(t.as_py(), *THRESHOLDS)] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"]
             )
@@ -203,7 +242,12 @@ def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) ->
     # The classes weigh as much as they do among all labelled rows.
     w = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (1 - y).sum())
     w = w * len(y) / w.sum()
-    return Model(model.strict, model.loose, model.ordinary, weights=tuple(_logistic(x, y, w).tolist()))
+    fits = []
+    for i, (way, threshold) in enumerate((way, t) for way in ways for t in THRESHOLDS):
+        own = x[:, i * FEATURES : (i + 1) * FEATURES]
+        weights = _logistic(own, y, w)
+        fits.append((_loss(own, y, w, weights), replace(way, threshold=threshold, weights=tuple(weights.tolist()))))
+    return min(fits, key=lambda fit: fit[0])[1]
 
 
 def toxicity(docs: DataFrame, model: Model):
