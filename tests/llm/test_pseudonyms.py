@@ -78,3 +78,24 @@ def test_permutes_whole_domain(spark):
 
 def test_empty_table(spark):
     assert pseudonymised(spark.createDataFrame([], "doc_id long, text string"), "k").collect() == []
+
+
+@pytest.mark.parametrize(("text", "value"), [
+    ("pay 4111111111111111 123 now", "4111111111111111"),
+    ("order 12 4111111111111111 ok", "4111111111111111"),
+    ("4111 1111 1111 1111 99", "4111 1111 1111 1111"),
+    ("1234 5678 9012 4111 1111 1111 1111 7", "4111 1111 1111 1111"),
+    ("AT611904300234573201 BANK", "AT611904300234573201"),
+    ("call +1 (017) 555-7713 22", "+1 (017) 555-7713"),
+])
+def test_neighbours_are_not_taken_along(spark, text, value):
+    docs = spark.createDataFrame([(0, text), (1, value)], "doc_id long, text string")
+    first, alone = pseudonymised(docs, "key").orderBy("doc_id").collect()
+    assert [h["value"] for h in first["found"]] == [value]
+    assert first["text"] == text.replace(value, alone["text"]) and alone["text"] != value
+
+
+def test_what_follows_a_card_is_found_too(spark):
+    text = "4111111111111111 599-555-3756 and 5555 5555 5555 4444 4111-1111-1111-1111 2024-02-29"
+    row = pseudonymised(spark.createDataFrame([(0, text)], "doc_id long, text string"), "key").first()
+    assert [h["kind"] for h in row["found"]] == ["card", "phone", "card", "card", "date"]

@@ -8,36 +8,54 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 # What may be personal, in the order in which it is tried at a place of the text.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Account numbers have a length by country, so that a word after one isn't taken for a part of it.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN = "|".join(
+    rf"(?<![A-Za-z0-9])(?:{own.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+    + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])"
+    for n, own in LENGTHS.items()
+) + r"|(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][\w.%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ADDRESS = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DATE = r"(?<![\d./-])\d{2}([/.])\d{2}\1\d{4}(?!\d)"
 SOCIAL = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (
-    r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
+    r"(?<![\d+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
     r"|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
 )
-CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
-ANY = "|".join([IBAN, EMAIL, ADDRESS, ISO_DATE, DATE.replace(r"([/.])", "[/.]").replace(r"\1", "[/.]"), SOCIAL, PHONE, CARD])
+PLAIN_DATE = DATE.replace(r"([/.])", "[/.]").replace(r"\1", "[/.]")
+OTHER = "|".join([ADDRESS, ISO_DATE, PLAIN_DATE, SOCIAL, PHONE])
+#: All neighbouring digits up to where something else begins; the cards are looked for inside.
+CARD = rf"(?<!\d)\d(?:(?:[ -](?!{OTHER}))?\d){{12,}}+"
+CARD_FORM = r"^(\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{4}(\2\d{1,3})?|\d{4}([ -])\d{6}\4\d{4,5})$"
+ANY = "|".join([IBAN, EMAIL, OTHER, CARD])
 
 
-def _keyed(key: str, label: str, step: Column, half: Column, size: Column) -> Column:
+def _keyed(key: str, label: str | Column, step: Column, half: Column, size: Column) -> Column:
     """A number below `size` from a keyed hash of one half."""
-    said = F.concat(F.lit(f"{key}|{label}|"), step.cast("string"), F.lit("|"), half.cast("string"))
+    label = F.lit(label) if isinstance(label, str) else label
+    said = F.concat(F.lit(f"{key}|"), label, F.lit("|"), step.cast("string"), F.lit("|"), half.cast("string"))
     return F.conv(F.substring(F.sha2(said, 256), 1, 15), 16, 10).cast("long") % size
 
 
-def feistel(key: str, label: str, left: Column, right: Column, lefts: Column, rights: Column) -> Column:
+def feistel(key: str, label: str | Column, left: Column, right: Column, lefts: Column, rights: Column) -> Column:
     """struct(l, r): a keyed permutation of the pairs (left < lefts, right < rights).
 
     Each round adds to one half what the other says, modulo that half's size; this can be undone,
     so no two pairs meet, and no value leaves the format.
     """
 
+    other = label + "+" if isinstance(label, str) else F.concat(label, F.lit("+"))
+
     def step(state: Column, i: Column) -> Column:
         left = (state["l"] + _keyed(key, label, i, state["r"], lefts)) % lefts
-        return F.struct(left.alias("l"), ((state["r"] + _keyed(key, label + "+", i, left, rights)) % rights).alias("r"))
+        return F.struct(left.alias("l"), ((state["r"] + _keyed(key, other, i, left, rights)) % rights).alias("r"))
 
     rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
     return F.aggregate(rounds, F.struct(left.cast("long").alias("l"), right.cast("long").alias("r")), step)
@@ -53,7 +71,7 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _permuted(key: str, label: str, digits: Column) -> Column:
+def _permuted(key: str, label: str | Column, digits: Column) -> Column:
     """A string of 2 to 19 digits permuted among those of its length."""
     n = F.length(digits)
     half = F.floor(n / 2).cast("int")
@@ -97,11 +115,52 @@ def _card(key: str, found: Column) -> Column:
     def permuted(digits: Column) -> Column:
         body = _permuted(key, "card", F.substring(digits, F.lit(1), F.length(digits) - 1))
         closed = _let(body, lambda b: F.concat(b, ((10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
-        return F.when(_luhn(digits) % 10 == 0, _let(closed, lambda c: _refilled(found, c))).otherwise(found)
+        return F.when(_is_card(digits), _let(closed, lambda c: _refilled(found, c))).otherwise(found)
 
     return _let(_digits(found), permuted)
 
 
+def _is_card(digits: Column) -> Column:
+    return F.length(digits).between(13, 19) & (_luhn(digits) % 10 == 0)
+
+
+def _card_parts(run: Column) -> Column:
+    """A run of digits in parts: whole cards, and what is around them.
+
+    Left to right, whole groups that have the form of a card and pass its check are one. Only if there
+    are none, any other grouping counts: at each place as many groups as have 19 digits at most.
+    """
+
+    def parts(groups: Column, choices) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            piece = lambda n: F.regexp_replace(F.array_join(F.slice(groups, i, n), ""), "[ -]$", "")
+            taken = _let(
+                F.coalesce(F.get(choices(groups, i, piece), F.lit(0)), F.lit(1)),
+                lambda n: F.struct(
+                    (i + n).alias("next"),
+                    F.concat(state["parts"], F.array(piece(n), F.regexp_extract(F.element_at(groups, i + n - 1), "[ -]$", 0))).alias("parts"),
+                ),
+            )
+            return F.when(i < state["next"], state).otherwise(taken)
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("parts"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: state["parts"])
+
+    def formed(groups: Column, i: Column, piece) -> Column:
+        fits = lambda n: piece(n).rlike(CARD_FORM) & _is_card(_digits(piece(n)))
+        return F.filter(F.array(*[F.lit(n) for n in (1, 4, 5, 3)]), lambda n: (i + n - 1 <= F.size(groups)) & fits(n))
+
+    def longest(groups: Column, i: Column, piece) -> Column:
+        fits = lambda n: F.length(_digits(piece(n))).between(13, 19)
+        return F.filter(F.sequence(F.lit(19), F.lit(1)), lambda n: (i + n - 1 <= F.size(groups)) & fits(n))
+
+    def chosen(groups: Column) -> Column:
+        first = lambda p: F.when(F.exists(p, lambda x: x.rlike(CARD_FORM) & _is_card(_digits(x))), p)
+        return _let(parts(groups, formed), lambda p: F.coalesce(first(p), parts(groups, longest)))
+
+    return _let(F.regexp_extract_all(run, F.lit(r"\d+[ -]?"), F.lit(0)), chosen)
+
+
 def _address(key: str, found: Column) -> Column:
     parts = F.transform(F.split(found, r"\."), lambda p: p.cast("long"))
 
@@ -267,19 +326,22 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
         raise ValueError("the documents have a column found already")
 
     def replaced(value: Column) -> Column:
-        kind, out = F.lit("card"), _card(key, value)
+        kind, out = F.lit("card"), value
         for name, shape, change in reversed(KINDS[:-1]):
             kind = F.when(value.rlike(shape), name).otherwise(kind)
             out = F.when(value.rlike(shape), change(key, value)).otherwise(out)
-        return F.struct(kind.alias("kind"), value.alias("value"), out.alias("pseudonym"))
+        one = lambda k, v, o: F.struct(k.alias("kind"), v.alias("value"), o.alias("pseudonym"))
+        inside = F.transform(_card_parts(value), lambda v: one(F.lit("card"), v, _card(key, v)))
+        return F.when(kind == "card", inside).otherwise(F.array(one(kind, value, out)))
 
     text = F.col("text")
     matches = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), replaced)
-    none = F.array().cast("array<struct<kind:string,value:string,pseudonym:string>>")
+    none = F.array().cast("array<array<struct<kind:string,value:string,pseudonym:string>>>")
     rows = docs.withColumn("__hits", F.when(text.rlike(ANY), matches).otherwise(none))
     parts = F.zip_with(
-        F.split(text, ANY, -1), F.col("__hits"), lambda piece, hit: F.concat(piece, F.coalesce(hit["pseudonym"], F.lit("")))
+        F.split(text, ANY, -1), F.col("__hits"),
+        lambda piece, hit: F.concat(piece, F.coalesce(F.array_join(hit["pseudonym"], ""), F.lit(""))),
     )
     rows = rows.withColumn("text", F.when(F.size("__hits") > 0, F.array_join(parts, "")).otherwise(text))
-    changed = F.filter(F.col("__hits"), lambda m: m["value"] != m["pseudonym"])
-    return rows.withColumn("found", F.coalesce(changed, none)).drop("__hits")
+    changed = F.filter(F.flatten("__hits"), lambda m: m["value"] != m["pseudonym"])
+    return rows.withColumn("found", F.coalesce(changed, F.flatten(none))).drop("__hits")
