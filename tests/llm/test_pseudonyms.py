@@ -99,3 +99,11 @@ def test_what_follows_a_card_is_found_too(spark):
     text = "4111111111111111 599-555-3756 and 5555 5555 5555 4444 4111-1111-1111-1111 2024-02-29"
     row = pseudonymised(spark.createDataFrame([(0, text)], "doc_id long, text string"), "key").first()
     assert [h["kind"] for h in row["found"]] == ["card", "phone", "card", "card", "date"]
+
+
+def test_all_digits_of_long_accounts_are_permuted(spark):
+    account = "PL61109010140000071219812874"
+    docs = spark.createDataFrame([(0, account)], "doc_id long, text string")
+    texts = [pseudonymised(docs, k).first()["text"] for k in "abcdef"]
+    assert all(iban(t) and len(t) == len(account) for t in texts)
+    assert len({t[4:9] for t in texts}) > 4 and all(t[4:9] != account[4:9] for t in texts)

@@ -259,12 +259,14 @@ def _iban(key: str, found: Column) -> Column:
             check = F.lpad((98 - _mod97(F.concat(own, country, F.lit("00")))).cast("string"), 2, "0")
             return _refilled(found, F.concat(check, _digits(own)))
 
-        # At most 19 digits are permuted at once; any before them are kept.
-        kept = F.greatest(F.lit(0), F.length(numbers) - 19)
-        moved = F.concat(
-            F.substring(numbers, F.lit(1), kept),
-            _permuted(key, "iban", F.substring(numbers, kept + 1, F.length(numbers))),
+        # Of more than 19 digits the last 16 are permuted under a key from those before, and then those
+        # under a key from the new ones.
+        head, tail = F.substring(numbers, F.lit(1), F.length(numbers) - 16), F.substring(numbers, F.length(numbers) - 15, F.lit(16))
+        under = lambda digits: F.concat(F.lit("iban|"), digits)
+        both = _let(
+            _permuted(key, under(head), tail), lambda new: F.concat(_permuted(key, under(new), head), new)
         )
+        moved = F.when(F.length(numbers) > 19, both).otherwise(_permuted(key, "iban", numbers))
         return F.when(valid & (F.length(numbers) >= 2), _let(_refilled(account, moved), written)).otherwise(found)
 
     return _let(F.regexp_replace(found, " ", ""), permuted)
