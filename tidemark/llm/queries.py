@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import sql
+from tidemark.llm.audit import filter_audit
 from tidemark.llm.common import tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
@@ -126,6 +127,12 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "cut.n_words", "cut.n_removed", F.sha2("cut.kept", 256).alias("kept_sha256"))
 
 
+@query("op11_filter_audit", sql.AUDIT)
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit(docs, tables(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

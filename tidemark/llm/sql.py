@@ -141,3 +141,47 @@ reach(doc_id, other) AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY ALL
 """
+
+AUDIT = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+e AS (SELECT body, min(doc_id) AS least FROM d GROUP BY body),
+f AS (
+  SELECT part, CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask,
+    CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 1 ELSE 0 END AS good,
+    CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 1 ELSE 0 END AS toxic
+  FROM d JOIN e USING (body)
+),
+m AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask
+),
+l(x, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (
+  SELECT l1.x || l2.x || l3.x || l4.x || l5.x AS filter_order
+  FROM l l1, l l2, l l3, l l4, l l5
+  WHERE l1.b + l2.b + l3.b + l4.b + l5.b = 31 AND l1.b | l2.b | l3.b | l4.b | l5.b = 31
+),
+p AS (
+  SELECT filter_order, step::INTEGER AS step,
+    (SELECT b FROM l WHERE x = substr(filter_order, step::INTEGER, 1)) AS bit,
+    (SELECT coalesce(sum(b), 0)::INTEGER FROM l WHERE strpos(filter_order, x) < step) AS seen
+  FROM o, generate_series(1, 5) g(step)
+)
+SELECT part, filter_order, step,
+  sum(CASE WHEN mask & (bit | seen) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN mask & bit <> 0 AND mask & seen <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN mask & bit <> 0 AND mask & seen = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+  sum(CASE WHEN mask & bit <> 0 THEN n * (120 // bit_count(mask)) ELSE 0 END)::BIGINT AS shapley
+FROM m, p
+GROUP BY part, filter_order, step, bit, seen
+"""
