@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import sql
 from tidemark.llm.audit import filter_audit
+from tidemark.llm.bytepairs import decoded, encoded, load_ranks
 from tidemark.llm.common import tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.exact import exact_duplicates
@@ -133,6 +134,15 @@ def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(docs, tables(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
 
 
+@query("op13_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = load_ranks(RANKS)
+    rows = decoded(encoded(tables(spark, sf_dir, "documents").select("doc_id", "text"), ranks), ranks)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
