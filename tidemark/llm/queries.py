@@ -18,6 +18,7 @@ from tidemark.llm.mixing import mixed
 from tidemark.llm.ordering import write_training_order
 from tidemark.llm.passages import repeated_passages
 from tidemark.llm.pseudonyms import pseudonymised
+from tidemark.llm.repair import repaired
 from tidemark.llm.scoring import language_scores
 from tidemark.llm.toxicity import toxicity, train
 from tidemark.llm.urls import judge_urls, url_host
@@ -134,6 +135,12 @@ def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(docs, tables(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
 
 
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary, _ = repaired(tables(spark, sf_dir, "conversations"))
+    return summary
+
+
 @query("op13_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = load_ranks(RANKS)
