@@ -15,11 +15,15 @@ SAMPLE = (
     "batch_score_crypto champion_gate"
 ).split()
 
+# Which of the text operators have SQL is tested beside them.
+TEXT_QUERY = re.compile(r"op\d+_\w+|pipeline")
+
 
 def test_every_query_has_sql_and_plain_columns():
     queries, oracles = driver.queries(), driver.oracle_sql()
-    assert set(queries) == set(oracles)
-    assert len(queries) >= 110
+    assert {q for q in set(queries) - set(oracles) if not TEXT_QUERY.fullmatch(q)} == set()
+    assert set(oracles) <= set(queries)
+    assert len([q for q in queries if not TEXT_QUERY.fullmatch(q)]) >= 110
 
 
 def test_sql_reads_the_given_tables():

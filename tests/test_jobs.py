@@ -3,7 +3,7 @@ from datetime import date, datetime
 
 import pytest
 
-from conftest import annual, annual_page, coin, rates_page
+from payloads import annual, annual_page, coin, rates_page
 from tidemark.operators.quality import ValidationFailedError
 from tidemark.plans import forecast, jobs, views
 from tidemark.plans.silver import snapshot_silver

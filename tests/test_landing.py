@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import annual, annual_page, article, coin, news_page, rates_page
+from payloads import annual, annual_page, article, coin, news_page, rates_page
 from tidemark.plans.silver import to_silver
 from tidemark.sources.bronze import (
     completeness, envelopes, read_bronze, read_landed, write_bronze,

@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from conftest import annual, annual_page, article, coin, news_page, rates_page, weather_page
+from payloads import annual, annual_page, article, coin, news_page, rates_page, weather_page
 from tidemark.plans.silver import snapshot_silver, to_silver
 from tidemark.sources.bronze import envelopes, numbered_pages
 from tidemark.sources.registry import SOURCE_NAMES, UnknownSourceError, get_source
