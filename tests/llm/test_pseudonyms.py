@@ -22,7 +22,7 @@ TEXTS = [
 def masked(spark):
     rows = [(i, t, f"x{i}") for i, t in enumerate(TEXTS)] + [(None, TEXTS[0], None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, value string")
-    return pseudonymised(docs, "key").collect()
+    return pseudonymised(docs, "key", originals=True).collect()
 
 
 def luhn(number):
@@ -90,7 +90,7 @@ def test_empty_table(spark):
 ])
 def test_neighbours_are_not_taken_along(spark, text, value):
     docs = spark.createDataFrame([(0, text), (1, value)], "doc_id long, text string")
-    first, alone = pseudonymised(docs, "key").orderBy("doc_id").collect()
+    first, alone = pseudonymised(docs, "key", originals=True).orderBy("doc_id").collect()
     assert [h["value"] for h in first["found"]] == [value]
     assert first["text"] == text.replace(value, alone["text"]) and alone["text"] != value
 
@@ -107,3 +107,12 @@ def test_all_digits_of_long_accounts_are_permuted(spark):
     texts = [pseudonymised(docs, k).first()["text"] for k in "abcdef"]
     assert all(iban(t) and len(t) == len(account) for t in texts)
     assert len({t[4:9] for t in texts}) > 4 and all(t[4:9] != account[4:9] for t in texts)
+
+
+def test_long_texts_and_no_originals_in_the_output(spark):
+    texts = ["a@b" + ".c" * 100_000, "plain " * 200_000 + "jo@mail.example", "9" * 100_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pseudonymised(docs, "k").collect()}
+    assert rows[0]["text"].endswith(".c") and rows[2]["text"] == texts[2]
+    assert [set(h.asDict()) for h in rows[1]["found"]] == [{"kind", "pseudonym"}]
+    assert "jo@mail.example" not in str(rows[1])

@@ -20,7 +20,7 @@ IBAN = "|".join(
     + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])"
     for n, own in LENGTHS.items()
 ) + r"|(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][\w.%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][\w.%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ADDRESS = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DATE = r"(?<![\d./-])\d{2}([/.])\d{2}\1\d{4}(?!\d)"
@@ -309,9 +309,9 @@ KINDS = (
 )
 
 
-def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """Every row of `docs` with its text replaced and a column `found`: array<struct<kind, value,
-    pseudonym>> of what was replaced, in order.
+def pseudonymised(docs: DataFrame, key: str, originals: bool = False) -> DataFrame:
+    """Every row of `docs` with its text replaced and a column `found`: array<struct<kind, pseudonym>> of
+    what was replaced, in order; with `originals` also the `value` that each stands for.
 
     Card numbers (Luhn), account numbers (IBAN), IPv4 addresses, social security numbers, phone
     numbers and dates that pass their checks, and e-mail addresses, become others of the same kind,
@@ -346,4 +346,7 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     )
     rows = rows.withColumn("text", F.when(F.size("__hits") > 0, F.array_join(parts, "")).otherwise(text))
     changed = F.filter(F.flatten("__hits"), lambda m: m["value"] != m["pseudonym"])
-    return rows.withColumn("found", F.coalesce(changed, F.flatten(none))).drop("__hits")
+    changed = F.coalesce(changed, F.flatten(none))
+    if not originals:
+        changed = F.transform(changed, lambda m: F.struct(m["kind"].alias("kind"), m["pseudonym"].alias("pseudonym")))
+    return rows.withColumn("found", changed).drop("__hits")
