@@ -60,3 +60,10 @@ def test_empty_tables(spark, rules, listed):
     pages = spark.createDataFrame([(1, URLS[0])], "page_id long, url string")
     assert judge_urls(pages.limit(0), rules, listed).collect() == []
     assert [r["verdict"] for r in judge_urls(pages, rules.limit(0), listed.limit(0)).collect()] == ["allow"]
+
+
+def test_long_hosts_and_paths(spark, rules, listed):
+    urls = ["http://" + "a." * 20_000 + "example.net/en/x", "http://x.net/" + "p/" * 50_000, "http://" + "b" * 100_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r["page_id"], r["rule"], r["verdict"]) for r in judge_urls(pages, rules, listed).collect()}
+    assert got == {(0, "example.net/en/", "allow"), (1, "net/", "block"), (2, None, "allow")}

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import narrow_side, staged
 
-WORD = r"[^\x20\x09-\x0D]+"
+GAP = "\\x20\\x09-\\x0D"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def word_count(text: Column) -> Column:
-    """Words between ASCII white space; null has none."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Words between ASCII white space; null has none. Each word with the space behind it becomes one
+    letter, so a text is counted without a list of its words."""
+    words = F.regexp_replace(F.ltrim(text, F.lit(SPACES)), f"[^{GAP}]+[{GAP}]*", "w")
+    return F.coalesce(F.length(words), F.lit(0)).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -56,26 +59,30 @@ def fraction(seed: int, doc_id: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
-def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: int = 11) -> DataFrame:
+def mixed(
+    docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: int = 11, size: Column | None = None
+) -> DataFrame:
     """Every row of `docs` with a struct column `mix`: size, source_size, target, copies, taken.
 
     A source's rate is target / size. Each document is taken floor(rate) times, and once more if a
-    number hashed from seed and doc_id is below the rest of the rate; a rerun takes the same.
+    number hashed from seed and doc_id is below the rest of the rate; a rerun takes the same. `size` is
+    the words of `text` unless another column is given.
 
     * A null text has size 0. A source without words has target and rate 0.
     * Null sources are one source, the last. Rows of the same doc_id are decided alike.
+    * A long text is counted whole; only its words' number of letters is held beside it.
     * An empty table gives no rows. A column named `mix` must not exist; others pass through.
     """
-    if "mix" in docs.columns:
+    if "mix" in {c.lower() for c in docs.columns}:
         raise ValueError("the documents have a column mix already")
-    sizes = docs.select("source", word_count(F.col("text")).alias("size"))
+    size = word_count(F.col("text")) if size is None else F.coalesce(size.cast("long"), F.lit(0).cast("long"))
+    sizes = docs.select("source", size.alias("size"))
     sources = staged(
         source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most),
         "mix-sources",
     )
     share = sources.select(F.col("source").alias("__name"), F.struct("source_size", "target").alias("__share"))
     rate = F.when(F.col("__share.source_size") > 0, F.col("__share.target") / F.col("__share.source_size")).otherwise(0.0)
-    size = word_count(F.col("text"))
     whole = F.floor(rate)
     copies = (whole + (fraction(seed, F.col("doc_id")) < rate - whole).cast("int")).cast("int")
     joined = docs.join(narrow_side(share), docs["source"].eqNullSafe(share["__name"]))

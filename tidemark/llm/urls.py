@@ -63,11 +63,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFra
     in `listed` (url) is blocked and any other is allowed.
 
     Rules and listed URLs are keys of one blocked Bloom filter. Each distinct URL asks for its own
-    canonical form and for each host suffix with each path prefix of a length that some rule has;
+    canonical form and for each host suffix and path prefix that are as long as some rule's;
     what passes the filter meets the keys in an exact join, so a false positive changes nothing.
 
     * A null URL, or one without `://`, has an empty host and path and fits no rule.
     * Repeated pages get a row each. A rule repeated with both verdicts blocks.
+    * A long URL asks no more often than a short one.
     * Empty rules, lists or pages are fine. Other columns are not read.
     """
     pages = pages.select("page_id", "url")
@@ -80,16 +81,19 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFra
         F.lit(None).cast("string").alias("rule"), F.lit("block").alias("verdict"),
     ).distinct()
     keys = staged(rule_keys.unionByName(url_keys), "url-keys")
-    # Path lengths of rules are bounded by the length of a URL, whatever the number of rules.
-    lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect() if r[0] is not None]
+    # Path lengths and numbers of host labels of rules are bounded by the length of a URL, whatever the
+    # number of rules.
+    distinct = lambda value: [r[0] for r in rules.select(value).distinct().collect() if r[0] is not None]
+    lengths, depths = distinct(F.length("path")), distinct(F.when(F.col("host").isNotNull(), F.size(F.split("host", r"\."))))
 
     urls = pages.select("url").where("url is not null").distinct().select(
         "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")
     ).where("host <> ''")
     labels = F.split("host", r"\.")
+    counts = F.array(*[F.lit(n) for n in depths]).cast("array<int>")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels) - i + 1)),
+        F.filter(counts, lambda n: n <= F.size(labels)),
+        lambda n: F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n)),
     )
     sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
     prefixes = F.transform(
