@@ -20,6 +20,7 @@ from tidemark.plans.silver import candidates, snapshot_silver
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import completeness, envelopes, numbered_pages, read_landed, write_bronze
 from tidemark.sources.contracts import check_payloads
+from tidemark.sources.extras import extra, extra_series
 from tidemark.sources.registry import get_source
 from tidemark.sources.silver import read_silver, write_silver
 from tidemark.sources.storage import delete
@@ -477,6 +478,50 @@ ingest.add(
 )
 
 
+# Fixed names of daily series that the weather contract doesn't model.
+WIND, SKY = "wind_speed_10m_max", "sky"
+
+
+def weather_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather payloads with two further daily series and a height, landed and read back by path."""
+    bronze = scratch_path(spark, "extras-bronze")
+    months = DOCUMENTS["open_meteo"](spark, sf_dir).select(F.col("pages")[0].alias("page"), "fetched_at")
+    days = F.col("page.daily")
+    wind = F.transform(days["temperature_2m_max"], lambda t: t / 2)
+    sky = F.transform(days["precipitation_sum"], lambda r: F.when(r > 100, "wet").when(r > 20, "grey"))
+    daily = F.struct(*[days[f].alias(f) for f in ("time", "temperature_2m_max", "precipitation_sum")],
+                     wind.alias(WIND), sky.alias(SKY))
+    payload = F.struct(
+        "page.latitude", "page.longitude", F.size(days["time"]).alias("elevation"), daily.alias("daily"),
+    )
+    texts = months.select(F.to_json(payload, {"ignoreNullFields": "false"}).alias("item"), "fetched_at")
+    numbered = number_members(texts, ["fetched_at", "item"], "n")
+    land_payloads(numbered.select((F.col("n") - 1).alias("page_no"), F.col("item").alias("payload")), "open_meteo", PULLED_ON, bronze)
+    pages = numbered_pages(read_landed(spark, "open_meteo", bronze))
+    readings = extra_series(pages.withColumn("height", extra("$.elevation", "int")), "page.daily.time", "$.daily")
+    typed = get_source("open_meteo").flatten(pages).select("page_no", "item_no", "date", "latitude", "longitude", "precipitation_mm")
+    return readings.join(typed, ["page_no", "item_no"]).select(
+        "date", "latitude", "longitude", "precipitation_mm", "series", "height",
+        F.try_variant_get("reading", "$", "double").alias("number"), F.try_variant_get("reading", "$", "string").alias("word"),
+    ).withColumn("word", F.when(F.col("series") == SKY, F.col("word")))
+
+
+ingest.add(
+    "weather_extras", "date:d latitude:r longitude:r precipitation_mm:r series height:i number:r word", weather_extras,
+    f"""SELECT date, latitude, longitude, precipitation_mm, series,
+        CAST(doc->>'$.elevation' AS INTEGER) AS height,
+        CASE WHEN series = '{WIND}' THEN CAST(json_extract_string(doc, '$.daily.' || series || '[0]') AS DOUBLE) END AS number,
+        CASE WHEN series = '{SKY}' THEN json_extract_string(doc, '$.daily.' || series || '[0]') END AS word
+    FROM (SELECT *, json_object(
+            'elevation', count(*) OVER (PARTITION BY latitude, longitude, date_trunc('month', date), fetched),
+            'daily', json_object('{WIND}', [temp_max_c / 2], '{SKY}', [
+                CASE WHEN precipitation_mm > 100 THEN 'wet' WHEN precipitation_mm > 20 THEN 'grey' END])) AS doc
+        FROM weather_raw) AS landed,
+        (SELECT unnest(['{WIND}', '{SKY}']) AS series) AS names""",
+    f"WITH weather_raw AS ({RAW_SQL['open_meteo']})",
+)
+
+
 def _annual_items(spark: SparkSession, sf_dir: str, source: str, measure: str) -> DataFrame:
     """The newest value of every country and year as records of a payload."""
     named = F.struct(F.col("country_iso3").alias("id"), F.col("country_name").alias("value"))

@@ -16,7 +16,7 @@ from tidemark.plans.silver import to_silver
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import build_session, scratch_path, scratch_root
 from tidemark.sources.bronze import envelopes, read_bronze, stamp, write_bronze
-from tidemark.sources.contracts import require_valid
+from tidemark.sources.contracts import staged_valid
 from tidemark.sources.registry import SOURCE_NAMES, get_source
 from tidemark.sources.silver import read_silver, write_silver
 from tidemark.sources.storage import delete, size_shuffles
@@ -25,10 +25,11 @@ from tidemark.sources.storage import delete, size_shuffles
 def land_payloads(payloads: DataFrame, source: str, logical_date: str, path: str) -> None:
     """Land one pull: raw texts (page_no, payload) checked, wrapped and written for their day.
 
-    A payload that breaks its contract stops the landing. Landing a day again replaces it.
+    A payload that breaks its contract stops the landing. Landing a day again replaces it. Payloads are
+    parsed once; breaches and pages are counted on the way.
     """
-    pages = require_valid(payloads, source)
-    write_bronze(envelopes(stamp(pages, source, logical_date)), path)
+    pages, count = staged_valid(payloads, source)
+    write_bronze(envelopes(stamp(pages, source, logical_date), page_count=count), path)
 
 
 def run_silver(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import iso_day
@@ -13,40 +13,56 @@ from tidemark.sources.registry import DOCUMENT, get_source
 PAGES_PER_ENVELOPE = 500
 
 
-def envelopes(pages: DataFrame, per_envelope: int = PAGES_PER_ENVELOPE) -> DataFrame:
+def envelopes(
+    pages: DataFrame, per_envelope: int = PAGES_PER_ENVELOPE, page_count: int | None = None
+) -> DataFrame:
     """Wrap rows of (source, logical_date, fetched_at, page_no, page) into envelopes.
 
     `page_no` counts within a pull: a source, day and fetch. `page_count` is that of the whole pull, in
-    each of its envelopes; `page_numbers` has the numbers of the pages inside.
+    each of its envelopes; `page_numbers` has the numbers of the pages inside, and `extras` what the
+    pages have as `extra`.
+
+    Pages are only ever brought together with those of their envelope. The pages of a pull are counted
+    apart, unless the caller knows their number because there is just one pull.
     """
     pull = ["source", "logical_date", "fetched_at"]
     part = F.floor(F.col("page_no") / per_envelope).alias("part")
-    # One row per envelope from here on: counting a pull gathers no pages.
-    parts = pages.groupBy(*pull, part).agg(
-        F.sort_array(F.collect_list(F.struct("page_no", "page"))).alias("numbered")
+    extra = [c for c in ("extra",) if c in pages.columns]
+    # Not every page can be compared with another, so only the numbers are.
+    numbered = F.array_sort(
+        F.collect_list(F.struct("page_no", "page", *extra)),
+        lambda a, b: F.signum(a["page_no"] - b["page_no"]).cast("int"),
     )
-    count = F.sum(F.size("numbered")).over(Window.partitionBy(*pull))
+    parts = pages.groupBy(*pull, part).agg(numbered.alias("numbered"))
+    if page_count is None:
+        counts = pages.groupBy(*pull).agg(F.count(F.lit(1)).alias("__pages")).withColumnsRenamed({c: f"__{c}" for c in pull})
+        same = [parts[c].eqNullSafe(counts[f"__{c}"]) for c in pull]
+        parts, count = parts.join(counts, same), F.col("__pages")
+    else:
+        count = F.lit(page_count)
     return parts.select(
         *pull,
         count.cast("int").alias("page_count"),
         F.col("numbered.page").alias("pages"),
         F.transform("numbered.page_no", lambda n: n.cast("long")).alias("page_numbers"),
+        *[F.col(f"numbered.{c}").alias("extras") for c in extra],
     )
 
 
 def numbered_pages(documents: DataFrame) -> DataFrame:
-    """One row per page: logical_date, fetched_at, page_no, page (and `document`, if known).
+    """One row per page: logical_date, fetched_at, page_no, page (and `document`, if known, and `extra`
+    where the documents have extras).
 
     Pages are numbered as in their pull; documents that don't say count from zero.
     """
     others = [c for c in ("logical_date", "fetched_at", DOCUMENT) if c in documents.columns]
     place = F.posexplode("pages").alias("place", "page")
-    if "page_numbers" not in documents.columns:
-        rows = documents.select(*others, F.lit(None).cast("array<bigint>").alias("page_numbers"), place)
-    else:
-        rows = documents.select(*others, "page_numbers", place)
-    number = F.coalesce(F.get("page_numbers", F.col("place")), F.col("place").cast("long"))
-    return rows.withColumn("page_no", number).select(*others, "page_no", "page")
+    asides = [c for c in ("page_numbers", "extras") if c in documents.columns]
+    rows = documents.select(*others, *asides, place)
+    own = F.col("place").cast("long")
+    number = F.coalesce(F.get("page_numbers", F.col("place")), own) if "page_numbers" in asides else own
+    extra = [F.get("extras", F.col("place")).alias("extra")] if "extras" in asides else []
+    return rows.select(*others, number.alias("page_no"), "page", *extra)
 
 
 def write_bronze(documents: DataFrame, path: str) -> None:
@@ -74,6 +90,7 @@ def stamp(pages: DataFrame, source: str, logical_date: str) -> DataFrame:
         F.concat(now, F.lit("+00:00")).alias("fetched_at"),
         "page_no",
         "page",
+        *[c for c in ("extra",) if c in pages.columns],
     )
 
 
@@ -95,9 +112,10 @@ def read_bronze(
     files of other sources are left out. Only for large files of one document per line set
     `multi_line` to False: these are split over tasks.
 
-    The schema is explicit: nothing is inferred, unmodelled payload fields are never read.
+    The schema is explicit: nothing is inferred. Unmodelled payload fields are not read, except the
+    `extras` that documents of some feeds carry.
     """
-    schema = get_source(source).bronze_schema
+    schema = get_source(source).landed_schema
     if multi_line:
         texts = spark.read.text(path, wholetext=True)
         if "feed" in texts.columns:
@@ -113,7 +131,7 @@ def read_landed(
     spark: SparkSession, source: str, path: str, day: str | None = None
 ) -> DataFrame:
     """Read what `write_bronze` landed; partition filters keep the scan to one source (and day)."""
-    schema = get_source(source).bronze_schema.add("feed", "string").add("day", "date")
+    schema = get_source(source).landed_schema.add("feed", "string").add("day", "date")
     landed = spark.read.schema(schema).json(path).where(F.col("feed") == source)
     if day is not None:
         landed = landed.where(F.col("day") == F.lit(day).cast("date"))

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import scratch_path
 from tidemark.sources import schemas
+from tidemark.sources.extras import unmodelled
 from tidemark.sources.registry import get_source
+from tidemark.sources.storage import delete
 
 # Fields a payload must carry; `[]` stands for every element of an array.
 ANNUAL_REQUIRED = (
@@ -142,7 +145,10 @@ def _as_object(raw: Column, source: str) -> Column:
 
 
 def check_payloads(payloads: DataFrame, source: str, raw: str = "payload") -> DataFrame:
-    """Add `page` (typed, modelled fields only) and `problems` (empty for a valid payload)."""
+    """Add `page` (typed, modelled fields only) and `problems` (empty for a valid payload).
+
+    For a feed that keeps them, `extra` has the unmodelled fields as VARIANT.
+    """
     get_source(source)
     dtype = schemas.struct(schemas.PAGES[source])
     # The parser leaves the text of a payload it cannot read in the extra field.
@@ -160,9 +166,10 @@ def check_payloads(payloads: DataFrame, source: str, raw: str = "payload") -> Da
     problems = F.when(unreadable, F.array(F.lit(NOT_JSON))).otherwise(
         F.array_compact(F.array(*labels))
     )
-    return parsed.withColumns(
-        {"page": _typed(value, dtype, "", DEFAULTS.get(source, {})), "problems": problems}
-    ).drop("_text")
+    added = {"page": _typed(value, dtype, "", DEFAULTS.get(source, {})), "problems": problems}
+    if source in schemas.KEEPS_EXTRAS:
+        added["extra"] = unmodelled(text, dtype)
+    return parsed.withColumns(added).drop("_text")
 
 
 def split_payloads(
@@ -175,12 +182,53 @@ def split_payloads(
     return valid, quarantine
 
 
-def require_valid(payloads: DataFrame, source: str, raw: str = "payload") -> DataFrame:
-    """Valid pages, or an error naming each kind of breach and how often it occurs."""
-    valid, quarantine = split_payloads(payloads, source, raw)
-    kinds = quarantine.select(F.explode("problems").alias("problem")).groupBy("problem").count()
-    kinds = kinds.collect()
-    if kinds:
-        detail = ", ".join(f"{r['problem']} ({r['count']})" for r in sorted(kinds))
+def _labels(source: str) -> list[str]:
+    """Every kind of breach that a payload of the source can have."""
+    dtype = schemas.struct(schemas.PAGES[source])
+    return [NOT_JSON, *[label for label, _ in _checks(dtype, "", frozenset(REQUIRED[source]))]]
+
+
+def observe_breaches(checked: DataFrame, source: str) -> tuple[DataFrame, Observation]:
+    """The rows of `check_payloads`, counted while they are written or read.
+
+    The counts are exact for rows that go straight to a file or the driver: of a task that runs twice
+    one result counts.
+    """
+    counts = [
+        F.count_if(F.array_contains("problems", label)).alias(f"p{i}") for i, label in enumerate(_labels(source))
+    ]
+    seen = Observation()
+    return checked.observe(seen, F.count(F.lit(1)).alias("pages"), *counts), seen
+
+
+def raise_on_breaches(seen: Observation, source: str) -> int:
+    """The number of observed pages; an error that names each kind of breach if there is one."""
+    counts = seen.get
+    found = {label: counts.get(f"p{i}", 0) for i, label in enumerate(_labels(source))}
+    detail = ", ".join(f"{label} ({n})" for label, n in sorted(found.items()) if n)
+    if detail:
         raise ContractError(f"{source}: {detail}")
-    return valid
+    return counts.get("pages", 0)
+
+
+def require_valid(payloads: DataFrame, source: str, raw: str = "payload") -> DataFrame:
+    """Valid pages, or an error naming each kind of breach and how often it occurs.
+
+    Payloads are parsed once: the pages are staged in the shared folder while breaches are counted.
+    """
+    pages, _ = staged_valid(payloads, source, raw)
+    return pages
+
+
+def staged_valid(payloads: DataFrame, source: str, raw: str = "payload") -> tuple[DataFrame, int]:
+    """`require_valid`, and how many pages there are."""
+    spark = payloads.sparkSession
+    checked, seen = observe_breaches(check_payloads(payloads, source, raw).drop(raw), source)
+    path = scratch_path(spark, f"{source}-pages")
+    checked.write.parquet(path)
+    try:
+        count = raise_on_breaches(seen, source)
+    except ContractError:
+        delete(spark, path)
+        raise
+    return spark.read.schema(checked.schema).parquet(path).drop("problems"), count

@@ -44,6 +44,10 @@ class Source:
     def bronze_schema(self) -> T.StructType:
         return schemas.bronze_schema(self.name)
 
+    @property
+    def landed_schema(self) -> T.StructType:
+        return schemas.landed_schema(self.name)
+
     @property
     def silver_schema(self) -> T.StructType:
         return schemas.struct(schemas.SILVER[self.name])

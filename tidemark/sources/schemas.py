@@ -128,6 +128,15 @@ def names(ddl: str) -> list[str]:
     """Column names of a flat schema; needs no running session."""
     return [column.split()[0] for column in ddl.split(",")]
 
+# Feeds whose unmodelled fields are landed beside the typed page.
+KEEPS_EXTRAS = ("open_meteo",)
+
+
+def landed_schema(source: str) -> T.StructType:
+    """What is read back of landed documents: the envelope, and `extras` of feeds that keep them."""
+    schema = bronze_schema(source)
+    return schema.add("extras", T.ArrayType(T.VariantType())) if source in KEEPS_EXTRAS else schema
+
 
 def bronze_schema(source: str) -> T.StructType:
     """The envelope around the pages of one source."""
