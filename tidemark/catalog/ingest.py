@@ -18,12 +18,12 @@ from tidemark.operators.series import first_per_key, newest_per_key
 from tidemark.plans.jobs import land_payloads, run_silver
 from tidemark.plans.silver import candidates, snapshot_silver
 from tidemark.session import scratch_path
-from tidemark.sources.bronze import completeness, envelopes, numbered_pages, read_landed, write_bronze
+from tidemark.sources.bronze import completeness, envelopes, numbered_pages, read_bronze, read_landed, write_bronze
 from tidemark.sources.contracts import check_payloads
 from tidemark.sources.extras import extra, extra_series
 from tidemark.sources.registry import get_source
 from tidemark.sources.silver import read_silver, write_silver
-from tidemark.sources.storage import delete
+from tidemark.sources.storage import delete, stored_bytes
 from tidemark.streaming.landing import land_candidates, silver_from_candidates
 
 ingest = Catalog()
@@ -137,6 +137,24 @@ ingest.add(
 )
 
 
+def bronze_large_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many documents over many lines, each read by several tasks in ranges of a few kilobytes
+    (of 64 MB in production): every document is read once."""
+    path = scratch_path(spark, "bronze-large")
+    documents = DOCUMENTS["coingecko"](spark, sf_dir).withColumn("logical_date", F.col("logical_date").cast("string"))
+    text = F.to_json(F.struct("*"), {"pretty": "true"})
+    documents.select(text.alias("value")).write.text(path)
+    ranges = max(1 << 14, stored_bytes(spark, f"{path}/part-*") // 100)
+    return candidates(read_bronze(spark, "coingecko", path, range_bytes=ranges), get_source("coingecko"))
+
+
+ingest.add(
+    "bronze_large_files", FLAT_COINS, bronze_large_files,
+    "SELECT * FROM crypto_raw WHERE price_usd IS NOT NULL",
+    f"WITH crypto_raw AS ({RAW_SQL['coingecko']})",
+)
+
+
 def nested_posexplode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates(DOCUMENTS["open_meteo"](spark, sf_dir), get_source("open_meteo"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import iso_day
+from tidemark.sources.documents import RANGE_BYTES, read_documents
 from tidemark.sources.registry import DOCUMENT, get_source
 
 # An envelope is one row and one file. Beyond this many pages a pull is split over several envelopes,
@@ -98,30 +99,23 @@ def _with_day(documents: DataFrame) -> DataFrame:
     return documents.withColumn("logical_date", iso_day(F.col("logical_date")))
 
 
-# Where one JSON document ends and the next begins: inside a document two objects are always parted
-# by a comma, and a text can't hold a line end as it is.
-NEXT_DOCUMENT = r"(?<=\})\s*\n\s*(?=\{)"
-
-
 def read_bronze(
-    spark: SparkSession, source: str, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, source: str, path: str | list[str], multi_line: bool = True,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Read the documents of one source by path or glob; `logical_date` becomes a date.
 
-    A file may hold a document over many lines or any number of documents one after another, and
-    files of other sources are left out. Only for large files of one document per line set
-    `multi_line` to False: these are split over tasks.
+    A file may hold a document over many lines or any number of documents one after another; large files
+    are read in ranges by several tasks. Files of other sources are left out. If every document is known
+    to stand on a line of its own, `multi_line=False` leaves the splitting to Spark's JSON reader.
 
     The schema is explicit: nothing is inferred. Unmodelled payload fields are not read, except the
     `extras` that documents of some feeds carry.
     """
     schema = get_source(source).landed_schema
     if multi_line:
-        texts = spark.read.text(path, wholetext=True)
-        if "feed" in texts.columns:
-            texts = texts.where(F.col("feed") == source)
-        document = F.explode(F.split("value", NEXT_DOCUMENT)).alias("document")
-        documents = texts.select(document).select(F.from_json("document", schema).alias("d")).select("d.*")
+        texts = read_documents(spark, path, source, range_bytes)
+        documents = texts.select(F.from_json("document", schema).alias("d")).select("d.*")
     else:
         documents = spark.read.schema(schema).json(path)
     return _with_day(documents.where(F.col("source") == source))

@@ -43,6 +43,21 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(target) or [])
 
 
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(URI, bytes) of the data files under a path or glob, in the order of their names."""
+    fs, target = _fs(spark, path)
+    found = []
+    for status in fs.globStatus(target) or []:
+        own = status.getPath().toUri().getPath().rstrip("/")
+        listed = fs.listFiles(status.getPath(), True)
+        while listed.hasNext():
+            file = listed.next()
+            inside = file.getPath().toUri().getPath()[len(own) :]
+            if not any(n.startswith(("_", ".")) for n in inside.split("/")):
+                found.append((file.getPath().toString(), file.getLen()))
+    return sorted(found)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the first-level Hive partitions under `path`."""
     prefix = f"{column}="
