@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import partitions, staged
+from tidemark.llm.common import partitions
 from tidemark.llm.spans import first_like, padded, span_hashes
-from tidemark.llm.words import PIECE, deal, in_parts, pack, text_bytes, unpack
+from tidemark.llm.words import PIECE, in_parts, mix64, pack, pieces, text_bytes, unpack
+from tidemark.session import scratch_path
 
 PART = 8 * PIECE  # bytes of text whose distinct words are told apart together
-BUCKET = 16 * PIECE  # bytes of words that are told apart together, over all parts
+BUCKET = 4 * PIECE  # bytes of words that are told apart together, over all parts
 LETTER, NUMBER, OTHER, GAP = range(4)
 #: What may follow an apostrophe that begins a word (fixed values of the pattern).
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -82,31 +83,37 @@ def word_starts(codes: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np
 
 
 class Part:
-    """The distinct words of some texts, and which of them stands at each place."""
+    """The distinct words of some texts, in the order of their hashes, and which of them stands where."""
 
     def __init__(self, texts: pa.Array, classes: np.ndarray):
         raw, bounds = text_bytes(texts)
-        codes = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), "<u4")
-        at = np.flatnonzero((raw & 0xC0) != 0x80)  # where each code point begins
-        first = np.searchsorted(at, bounds)
-        starts = at[word_starts(codes, first[:-1][first[:-1] < len(codes)], classes)]
-        del codes, at
-        lengths = np.diff(np.r_[starts, len(raw)])
+        found = [np.zeros(0, np.int64)]
+        for low, high in pieces(bounds):
+            own, first = raw[bounds[low] : bounds[high]], bounds[low:high] - bounds[low]
+            codes = np.frombuffer(own.tobytes().decode().encode("utf-32-le"), "<u4")
+            at = np.flatnonzero((own & 0xC0) != 0x80)  # where each code point begins
+            first = np.searchsorted(at, first)
+            found.append(at[word_starts(codes, first[first < len(codes)], classes)] + bounds[low])
+            del codes, at
+        starts = np.concatenate(found)
+        del found
+        lengths = np.diff(starts, append=len(raw)).astype(np.int32)
         data = padded(raw)
         home = first_like(data, starts, lengths)
-        own = home == np.arange(len(starts))
-        # Frequent words get small numbers, so that places pack well.
+        own = np.flatnonzero(home == np.arange(len(starts)))
+        # Places hold ranks by frequency, as small numbers pack well.
         times = np.bincount(home, minlength=len(starts))[own]
-        order = np.argsort(-times, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        number = np.empty(len(starts), np.int64)
-        number[np.flatnonzero(own)] = rank
-        self.places = number[home].astype(np.uint32)
+        by_times = np.argsort(-times, kind="stable")
+        rank = np.empty(len(own), np.uint32)
+        rank[by_times] = np.arange(len(own), dtype=np.uint32)
+        number = np.empty(len(starts), np.uint32)
+        number[own] = rank
+        self.places = number[home]
+        del number, home, times, by_times
         self.counts = np.diff(np.searchsorted(starts, bounds)).astype(np.uint32)
-        chosen = np.flatnonzero(own)[order]
-        self.starts, self.lengths, self.data = starts[chosen], lengths[chosen], data
-        self.hashes = span_hashes(data, self.starts, self.lengths)
+        by_hash = np.argsort(mix64(span_hashes(data, starts[own], lengths[own])), kind="stable")
+        self.ranks, own = rank[by_hash], own[by_hash]
+        self.starts, self.lengths, self.data = starts[own], lengths[own], data
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -131,8 +138,7 @@ def _split(ids: T.StructField, classes):
     """One row for each part: its documents, which word stands where, and the distinct words."""
     schema = T.StructType([
         T.StructField("part", T.StringType()), T.StructField("ids", T.ArrayType(ids.dataType)),
-        T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType()),
-        T.StructField("lengths", T.BinaryType()), T.StructField("words", T.BinaryType()),
+        *[T.StructField(c, T.BinaryType()) for c in ("counts", "places", "ranks", "lengths", "words")],
         T.StructField("word_bytes", T.LongType()),
     ])
 
@@ -140,7 +146,7 @@ def _split(ids: T.StructField, classes):
         for batch in in_parts(batches, PART):
             part, ids = Part(batch.column("text"), classes.value), batch.column("doc_id")
             words = np.frombuffer(_bytes_of(part.data, part.starts, part.lengths), np.uint8)
-            binary = [pack(part.counts), pack(_planes(part.places)), pack(part.lengths.astype(np.uint32)), pack(words)]
+            binary = [pack(_planes(n)) for n in (part.counts, part.places, part.ranks, part.lengths)] + [pack(words)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                  *[pa.array([x], pa.binary()) for x in binary], pa.array([len(words)], pa.int64())],
@@ -150,26 +156,26 @@ def _split(ids: T.StructField, classes):
     return run, schema
 
 
-ASKED = "part string, bucket int, numbers binary, words binary"
+ASKED = "part string, bucket int, first int, lengths binary, words binary"
+TOLD = "part string, first int, sizes binary, tokens binary"
 
 
 def _ask(buckets: int):
-    """The distinct words of each part, dealt by hash."""
+    """The distinct words of each part, dealt by ranges of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, lengths, words in zip(*(batch.column(c).to_pylist() for c in ("part", "lengths", "words")), strict=True):
-                lengths, data = unpack(lengths, "u4")[0].astype(np.int64), padded(unpack(words, "u1")[0])
+                lengths, data = _from_planes(lengths).astype(np.int64), padded(unpack(words, "u1")[0])
                 starts = np.cumsum(lengths) - lengths
-                rows = []
-                for bucket, payload in deal(span_hashes(data, starts, lengths), buckets, np.arange(len(lengths), dtype=np.uint32)):
-                    chosen = unpack(payload, "u4")[0]
-                    own = np.frombuffer(_bytes_of(data, starts[chosen], lengths[chosen]), np.uint8)
-                    rows.append((part, bucket, pack(chosen, lengths[chosen].astype(np.uint32)), pack(own)))
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
-                kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+                bucket = ((mix64(span_hashes(data, starts, lengths)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+                cuts = list(zip(first.tolist(), np.r_[first[1:], len(lengths)].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "bucket", "numbers", "words"]
+                    [pa.array([part] * len(cuts), pa.string()), pa.array(bucket[first].astype(np.int32)), pa.array(first.astype(np.int32)),
+                     pa.array([pack(_planes(lengths[a:b])) for a, b in cuts], pa.binary()),
+                     pa.array([pack(data[starts[a] : starts[b - 1] + lengths[b - 1]]) for a, b in cuts], pa.binary())],
+                    names=["part", "bucket", "first", "lengths", "words"],
                 )
 
     return run
@@ -183,11 +189,11 @@ def _encode(ranks):
 
         single = tiktoken.Encoding("own", pat_str=".", mergeable_ranks=ranks.value, special_tokens={})._core_bpe
         parts = [
-            (*unpack(numbers, "u4", "u4"), unpack(words, "u1")[0])
-            for numbers, words in zip(asked["numbers"].to_pylist(), asked["words"].to_pylist(), strict=True)
+            (_from_planes(lengths), unpack(words, "u1")[0])
+            for lengths, words in zip(asked["lengths"].to_pylist(), asked["words"].to_pylist(), strict=True)
         ]
-        lengths = np.concatenate([p[1] for p in parts]).astype(np.int64)
-        data = padded(np.concatenate([p[2] for p in parts]))
+        lengths = np.concatenate([p[0] for p in parts]).astype(np.int64)
+        data = padded(np.concatenate([p[1] for p in parts]))
         starts = np.cumsum(lengths) - lengths
         home = first_like(data, starts, lengths)
         own = np.flatnonzero(home == np.arange(len(home)))
@@ -200,12 +206,13 @@ def _encode(ranks):
         rank[own] = np.arange(len(own))
         which = rank[home]
         told, upto = [], 0
-        for numbers, _, _ in parts:
-            mine = which[upto : upto + len(numbers)]
-            upto += len(numbers)
-            told.append((pack(numbers, sizes[mine].astype(np.uint32)), pack(_planes(ids[ragged(first[mine], sizes[mine])]))))
+        for own, _ in parts:
+            mine = which[upto : upto + len(own)]
+            upto += len(own)
+            told.append((pack(_planes(sizes[mine])), pack(_planes(ids[ragged(first[mine], sizes[mine])]))))
         return pa.table({
-            "part": asked["part"], "numbers": pa.array([t[0] for t in told], pa.binary()), "told": pa.array([t[1] for t in told], pa.binary()),
+            "part": asked["part"], "first": asked["first"],
+            "sizes": pa.array([t[0] for t in told], pa.binary()), "tokens": pa.array([t[1] for t in told], pa.binary()),
         })
 
     return run
@@ -220,19 +227,13 @@ def _reassemble(ids: T.StructField):
     def run(part: pa.Table, told: pa.Table) -> pa.Table:
         if not part.num_rows:
             return pa.table({f.name: pa.array([], pa.binary()) for f in schema})
-        counts = unpack(part["counts"][0].as_py(), "u4")[0]
-        places = _from_planes(part["places"][0].as_py())
-        answers = [
-            (*unpack(n, "u4", "u4"), _from_planes(t))
-            for n, t in zip(told["numbers"].to_pylist(), told["told"].to_pylist(), strict=True)
-        ]
-        words = sum(len(a[0]) for a in answers)
-        first, sizes, base = np.zeros(words, np.int64), np.zeros(words, np.int64), 0
-        for numbers, own, tokens in answers:
-            sizes[numbers] = own
-            first[numbers] = base + np.cumsum(own) - own
-            base += len(tokens)
-        known = np.concatenate([a[2] for a in answers]) if answers else np.zeros(0, ID)
+        counts, places, ranks = (_from_planes(part[c][0].as_py()) for c in ("counts", "places", "ranks"))
+        told = told.sort_by("first")  # words in the order of the part
+        sizes_told = [_from_planes(x) for x in told["sizes"].to_pylist()]
+        sizes, first = np.zeros(len(ranks), np.int64), np.zeros(len(ranks), np.int64)
+        own = np.concatenate([np.zeros(0, ID), *sizes_told]).astype(np.int64)
+        sizes[ranks], first[ranks] = own, np.cumsum(own) - own
+        known = np.concatenate([np.zeros(0, ID), *[_from_planes(x) for x in told["tokens"].to_pylist()]])
         size = sizes[places]
         flat = known[ragged(first[places], size)]
         upto = np.cumsum(np.r_[0, size])[np.cumsum(np.r_[0, counts.astype(np.int64)])]
@@ -262,17 +263,28 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     context, field = docs.sparkSession.sparkContext, docs.schema["doc_id"]
     split, schema = _split(field, context.broadcast(character_classes()))
     back, result = _reassemble(field)
-    parts = staged(docs.select("doc_id", "text").mapInArrow(split, schema), "bytepair-parts")
+    parts = _dealt_parts(docs.select("doc_id", "text").mapInArrow(split, schema))
     size = parts.agg(F.sum("word_bytes")).first()[0] or 0
     buckets = max(partitions(docs.sparkSession), -(-size // BUCKET))
     told = (
         parts.select("part", "lengths", "words").mapInArrow(_ask(buckets), ASKED)
-        .groupBy("bucket").applyInArrow(_encode(context.broadcast(ranks)), "part string, numbers binary, told binary")
+        .groupBy("bucket").applyInArrow(_encode(context.broadcast(ranks)), TOLD)
     )
-    places = parts.select("part", "ids", "counts", "places")
+    places = parts.select("part", "ids", "counts", "places", "ranks")
     return places.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(back, result)
 
 
+def _dealt_parts(parts: DataFrame) -> DataFrame:
+    """Stages the parts in buckets by their name, so that what is joined to them moves and they stay."""
+    spark = parts.sparkSession
+    name, path = f"tidemark_{uuid4().hex}", scratch_path(spark, "bytepair-parts")
+    parts.write.bucketBy(partitions(spark), "part").option("path", path).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the catalog forgets it; the files stay in the scratch folder
+
+
 def decoded(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The rows of `tokens` with a column `decoded`: the bytes of `ids` (little-endian unsigned 32-bit
     numbers), each looked up in the table of tokens.

@@ -38,7 +38,7 @@ def equal_spans(data: np.ndarray, one: np.ndarray, two: np.ndarray, lengths: np.
     """Whether spans of the same lengths from `one` and from `two` on have the same bytes."""
     eights = _eights(data)
     same = np.ones(len(one), bool)
-    left, done = np.arange(len(one)), 0
+    left, done = np.arange(len(one), dtype=np.int32), 0
     while len(left):
         rest = lengths[left] - done
         keep = _MASKS[np.clip(rest, 0, EIGHT)]
@@ -57,10 +57,11 @@ def first_like(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, owner:
     hashes = span_hashes(data, starts, lengths)
     if owner is not None:
         hashes = mix64(hashes + owner.astype(np.uint64) * _STEP)
+    # Four-byte numbers: a batch never has so many spans, and the table is the largest part of memory.
     bits = max(4, (2 * len(starts)).bit_length())
-    table = np.full(1 << bits, -1, np.int64)
-    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    home, left = np.empty(len(starts), np.int64), np.arange(len(starts))
+    table = np.full(1 << bits, -1, np.int32)
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int32)
+    home, left = np.empty(len(starts), np.int32), np.arange(len(starts), dtype=np.int32)
     while len(left):
         at = slot[left]
         free = table[at] < 0
