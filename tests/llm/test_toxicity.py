@@ -79,3 +79,14 @@ def test_a_toxic_word_made_of_ordinary_pieces_is_found(spark):
 def test_threshold_is_fitted_and_either_toxic_dictionary_counts(model):
     assert model.threshold in THRESHOLDS and codes("zorg") == ["^zorg", "zorg$", "^zor", "^zorg$"]
     assert Reader(Model(codes("zorgan"), [], codes("anber"))).gains("zorgan")[0] > 8
+
+
+def test_contradicting_labels_count_as_toxic_in_any_order(spark):
+    from tidemark.llm.toxicity import train
+
+    docs = spark.createDataFrame([(i, ("vile hateful slur" if i % 2 else "calm river stone") + f" {i}") for i in range(80)], "doc_id long, text string")
+    rows = [(i, i % 2) for i in range(80)] + [(i, 1 - i % 2) for i in range(0, 80, 7)]
+    models = [train(docs, spark.createDataFrame(order, "doc_id long, toxic int").repartition(n)) for order, n in ((rows, 1), (rows[::-1], 3))]
+    one, two = models
+    assert (one.strict, one.loose, one.ordinary, one.threshold, one.mixed) == (two.strict, two.loose, two.ordinary, two.threshold, two.mixed)
+    assert one.weights == pytest.approx(two.weights)

@@ -314,8 +314,10 @@ def _removed(docs: DataFrame, mark: Column, window: int, scratch: Scratch) -> Da
     few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     originals = rows.join(few, ["doc_id", "hash"], "left_anti").select("doc_id", "mark", "text")
 
+    # Few rows: rebalanced, so that not every task writes a file of a few of them.
     candidates = scratch.staged(
-        _dealt(originals, _anchors(buckets, window), ANCHOR, _shared_anchors, (period - 1, 1), buckets).drop("mark"),
+        _dealt(originals, _anchors(buckets, window), ANCHOR, _shared_anchors, (period - 1, 1), buckets)
+        .drop("mark").hint("rebalance"),
         "passages-candidates",
     )
     around = _by_document(originals, candidates, "ranges", ["doc_id"], "inner")
@@ -351,7 +353,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         raise ValueError("the documents have a column cut already")
     mark = F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("mark")
     with Scratch(docs.sparkSession) as scratch:
-        removed = staged(_removed(docs, mark, window, scratch), "passages-removed")
+        removed = staged(_removed(docs, mark, window, scratch).hint("rebalance"), "passages-removed")
     removed = removed.toDF("__id", "__mark", "__ranges", "__copy")
     marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__mark", mark)
     joined = _by_document(marked, removed, "__ranges", ["__id", "__mark"], "left")

@@ -26,6 +26,7 @@ TOXIC_UNITS, ORDINARY_UNITS = 4_096, 32_768  # units in a dictionary, and as man
 STRICT, LOOSE = 20.0, 6.0  # how many times as frequent in toxic text a unit of a toxic dictionary is
 THRESHOLDS = (1, 2, 4, 6, 8, 10, 12, 16, 20, 24, 32)  # bytes that a window may have to gain; training picks one
 CACHE = 100_000  # windows remembered by a worker
+UNITS_HELD = 100_000  # units that a task counts before it passes the counts on
 
 _letters = re.compile(r"[^\W\d_]+").findall
 
@@ -140,17 +141,24 @@ class Reader:
 def _unit_counts(sample: DataFrame) -> DataFrame:
     """unit, toxic, ordinary: documents of each class that have the unit."""
 
+    def counted(seen: list[Counter]) -> pa.RecordBatch:
+        both = list(seen[0].keys() | seen[1].keys())
+        return pa.RecordBatch.from_pydict({
+            "unit": pa.array(both, pa.string()),
+            "toxic": pa.array([seen[1][u] for u in both], pa.int64()),
+            "ordinary": pa.array([seen[0][u] for u in both], pa.int64()),
+        })
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[Counter] = [Counter(), Counter()]
         for batch in batches:
-            seen: list[Counter] = [Counter(), Counter()]
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
                 seen[toxic].update({u for w in set(windows_of(text.as_py())) for u in codes(w)})
-            both = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_pydict({
-                "unit": pa.array(both, pa.string()),
-                "toxic": pa.array([seen[1][u] for u in both], pa.int64()),
-                "ordinary": pa.array([seen[0][u] for u in both], pa.int64()),
-            })
+                # Counts go on before they are many: the exchange adds them up, and workers stay small.
+                if len(seen[0]) + len(seen[1]) >= UNITS_HELD:
+                    yield counted(seen)
+                    seen = [Counter(), Counter()]
+        yield counted(seen)
 
     rows = sample.select("text", "toxic").mapInArrow(count, "unit string, toxic long, ordinary long")
     return rows.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
@@ -186,17 +194,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     ordinary documents the ordinary one. The other half calibrates how many bytes a window must gain to be
     a hit and whether ordinary pieces count against it (of THRESHOLDS and both ways, what loses least), and
     what hits mean for a document.
-    Rows without a class, without a text or unknown to `docs` are not learnt from; with only one class
-    the score is its share.
+    Rows without a class, without a text or unknown to `docs` are not learnt from; of contradicting labels
+    the toxic one counts. With only one class the score is its share.
     """
     with Scratch(docs.sparkSession) as scratch:
         return _trained(docs, labels, rows, scratch)
 
 
 def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) -> Model:
-    known = labels.where("doc_id is not null and toxic is not null").select(
-        "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")
-    ).dropDuplicates(["doc_id"])
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
+        F.max((F.col("toxic") > 0).cast("int")).alias("toxic")
+    )
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = F.xxhash64(F.lit(3), F.col("doc_id"))
     picked = [known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1)]
