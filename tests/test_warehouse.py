@@ -108,17 +108,14 @@ def test_article_moves_to_a_later_month_once(wh, silver):
     assert {r["date_key"] for r in wh.table("fact_news").collect()} == {20260720}
 
 
-def test_only_touched_months_are_rewritten(wh, silver, spark, tmp_path):
-    from tidemark.sources.storage import partition_values
-
+def test_only_touched_months_are_rewritten(wh, silver):
     wh.load("coingecko", silver("coingecko", crypto("bitcoin", 1.0, date(2026, 5, 1)), crypto("bitcoin", 2.0)))
-    path = f"{wh.root}/fact_crypto"
-    assert partition_values(spark, path, "month_key") == ["202605", "202607"]
-    import os
-
-    before = set(os.listdir(f"{path}/month_key=202605"))
+    table = wh._fact(FACTS["fact_crypto"])
+    before = table.state().of("rows")
+    assert sorted(before) == [202605, 202607]
     wh.load("coingecko", silver("coingecko", crypto("bitcoin", 3.0)))
-    assert set(os.listdir(f"{path}/month_key=202605")) == before
+    after = table.state().of("rows")
+    assert after[202605] == before[202605] and after[202607] != before[202607]
     got = {r["date"]: r["price_usd"] for r in views.view_crypto(wh).collect()}
     assert got == {date(2026, 5, 1): 1.0, DAY: 3.0}
 

@@ -9,18 +9,24 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from tidemark.functions import calendar_columns, date_key, month_key
 from tidemark.operators.joins import lookup_join, measured_bytes
 from tidemark.operators.merge import absent, insert_if_absent, number_members, upsert
 from tidemark.operators.quality import count_orphans
-from tidemark.session import scratch_path
 from tidemark.sources import schemas
+from tidemark.sources.partitions import Folders, PartitionedTable, Section, State, content_key, survivors
 from tidemark.sources.registry import get_source
-from tidemark.sources.storage import Snapshots, delete, make_folder, partition_values
+from tidemark.sources.storage import Snapshots, make_folder
 
 MONTH = "month_key"
+# Sections of a fact: its rows, and where the row of a key is.
+ROWS, INDEX = "rows", "index"
+INDEX_BUCKETS = 16
+INDEX_SCHEMA = StructType([
+    StructField("key", BinaryType()), StructField("partition", IntegerType()), StructField("bucket", IntegerType()),
+])
 
 
 @dataclass(frozen=True)
@@ -148,7 +154,8 @@ class Warehouse:
     """The star schema under one root folder.
 
     Dimensions are small and kept as complete snapshots. Facts are partitioned by month or year, and
-    a load rewrites the partitions its rows fall into, so its cost follows the batch, not the history.
+    a load replaces the partitions its rows fall into, all at once and with one write, so its cost
+    follows the batch, not the history.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -177,14 +184,14 @@ class Warehouse:
             return self._dimension(name).read()
         return self._stored(FACTS[name]).select(*self._schema(name).fieldNames())
 
+    def _fact(self, fact: Fact) -> PartitionedTable:
+        sections = {ROWS: Section(self._schema(fact.name), fact.partition, fact.grain)}
+        if fact.moves:
+            sections[INDEX] = Section(INDEX_SCHEMA, "bucket", ("key",))
+        return PartitionedTable(self.spark, self._fact_path(fact.name), sections)
+
     def _stored(self, fact: Fact) -> DataFrame:
-        schema = self._schema(fact.name)
-        if fact.partition not in schema.fieldNames():
-            schema = schema.add(fact.partition, IntegerType())
-        path = self._fact_path(fact.name)
-        if not partition_values(self.spark, path, fact.partition):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+        return self._fact(fact).read(ROWS)
 
     def key_of(self, name: str, natural: Mapping[str, Any]) -> int | None:
         """Key of one dimension member, None when there is no such member."""
@@ -289,54 +296,49 @@ class Warehouse:
             rows = rows.withColumn(MONTH, month_key(F.col("date_key")))
         return rows
 
-    def _write(self, rows: DataFrame, fact: Fact, path: str) -> None:
-        (
-            rows.hint("rebalance", fact.partition)
-            # Keys of an entity lie together in a file, so a scan for one skips most row groups.
-            .sortWithinPartitions(fact.partition, *fact.grain)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(fact.partition)
-            .parquet(path)
-        )
-
     def merge_fact(self, rows: DataFrame, fact: Fact) -> None:
-        """Upsert rows (unique on the grain, cheap to read again) into the stored fact.
+        """Upsert rows (unique on the grain) into the stored fact.
+
+        The rows are written once, into a folder of their own. Of the partitions they fall into, stored
+        rows with other keys are carried over; then all these partitions switch at once. Running a
+        failed load again gives the same result.
 
-        The partitions the batch touches are merged into the shared folder and then replace the
-        stored ones, so nothing is read from where it is written. Running a failed load again
-        gives the same result.
+        Where a row may have moved from, an index of key and partition tells: it is read in the buckets
+        of the batch's keys, and no stored row beyond the partitions it names.
         """
-        path = self._fact_path(fact.name)
-        rows = self._partitioned(rows, fact)
-        stored_parts = set(partition_values(self.spark, path, fact.partition))
-        if not stored_parts:
-            self._write(rows, fact, path)
-            return
-        stored = self._stored(fact)
-        rows = rows.select(*stored.columns)
-        affected = rows.select(fact.partition)
+        table = self._fact(fact)
+        base = table.state()
+        batch = table.write(ROWS, self._partitioned(rows, fact))
+        fresh = table.open(ROWS, batch.folders)
+        changes = {ROWS: dict(batch.folders)}
+        replaced = batch.values & set(base.of(ROWS))
         if fact.moves:
-            # Where the rows of the batch are now; of the stored fact only the key is read.
-            now = stored.select(*fact.grain, fact.partition).join(
-                rows.select(*fact.grain), list(fact.grain), "left_semi"
-            )
-            affected = affected.unionByName(now.select(fact.partition))
+            moved_from, changes[INDEX] = self._index(table, base, fresh, fact)
+            replaced |= moved_from & set(base.of(ROWS))
+        if replaced:
+            kept = survivors(table.read(ROWS, replaced, base), fresh, fact.grain)
+            carried = table.write(ROWS, kept).folders if kept is not None else {}
+            for value in replaced:
+                changes[ROWS][value] = batch.folders.get(value, ()) + carried.get(value, ())
+        table.publish(base, changes)
+
+    def _index(
+        self, table: PartitionedTable, base: State, fresh: DataFrame, fact: Fact
+    ) -> tuple[set[int], dict[int, Folders]]:
+        """The partitions that keys of a batch are in so far, and the folders of the index after it."""
+        key = content_key(*fact.grain)
+        bucket = F.pmod(F.xxhash64("key"), F.lit(INDEX_BUCKETS)).cast("int")
+        entries = fresh.select(key.alias("key"), F.col(fact.partition).alias("partition")).withColumn("bucket", bucket)
+        batch = table.write(INDEX, entries)
+        changes = dict(batch.folders)
+        known = table.read(INDEX, batch.values, base)
+        own = table.open(INDEX, batch.folders)
         # At most one value per month or year.
-        touched = {str(r[0]) for r in affected.distinct().collect()}
-        replaced = touched & stored_parts
-        if not replaced:
-            self._write(rows, fact, path)
-            return
-        old = stored.where(F.col(fact.partition).isin(sorted(int(v) for v in replaced)))
-        merged_path = scratch_path(self.spark, f"{fact.name}-merged")
-        self._write(upsert(old, rows, fact.grain), fact, merged_path)
-        merged = self.spark.read.schema(stored.schema).parquet(merged_path)
-        self._write(merged, fact, path)
-        kept = set(partition_values(self.spark, merged_path, fact.partition))
-        for value in replaced - kept:
-            delete(self.spark, f"{path}/{fact.partition}={value}")
-        delete(self.spark, merged_path)
+        hits = known.join(own.select("key"), "key", "left_semi").select("partition").distinct()
+        moved_from = {r[0] for r in hits.collect()}
+        kept = survivors(known, own, ["key"])
+        carried = table.write(INDEX, kept).folders if kept is not None else {}
+        return moved_from, {v: f + carried.get(v, ()) for v, f in changes.items()}
 
     def load(self, source: str, silver: DataFrame) -> None:
         """Load one Silver dataset: its dimensions first, then its fact.

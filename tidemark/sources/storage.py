@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -37,6 +39,57 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under `path`; empty when it does not exist."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its text, unless it exists; of several writers exactly one succeeds.
+
+    The text is written aside first, so that nobody reads half of it. The rename that follows fails on a
+    distributed file system if the name is taken; a local one would overwrite, so there the name is
+    linked.
+    """
+    fs, target = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(target.getParent())
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if fs.getScheme() != "file":
+        taken = not fs.rename(aside, target)
+        if taken:
+            fs.delete(aside, False)
+        return not taken
+    plain = [jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (target, aside)]
+    try:
+        jvm.java.nio.file.Files.createLink(*plain)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(aside, False)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files under a path or glob."""
     fs, target = _fs(spark, path)
