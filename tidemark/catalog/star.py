@@ -11,6 +11,7 @@ from tidemark.catalog.shape import Catalog
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import insert_if_absent, number_members, upsert
 from tidemark.plans import views
+from tidemark.plans.rollups import KEPT, PARTIALS
 from tidemark.plans.warehouse import DIMENSIONS, FACT_OF_SOURCE, FACTS, Warehouse
 from tidemark.session import scratch_path
 
@@ -471,6 +472,38 @@ def _rollup_query(name: str, of_view: str):
 for _name, (_view, _shape, _body) in ROLLUPS.items():
     star.add(_name, _shape, _rollup_query(_name, _view), _body, view_ctes(_view))
 
+# -- roll-ups that loads keep up to date
+
+KEPT_OF = {
+    "kept_gdp_by_country": ("agg_gdp_by_country", "world_bank", "year"),
+    "kept_inflation_by_country": ("agg_inflation_by_country", "world_bank_inflation", "year"),
+    "kept_exchange_rate_monthly": ("agg_exchange_rate_monthly", "exchange_rate", "month(logical_date)"),
+    "kept_crypto_monthly": ("agg_crypto_monthly", "coingecko", "month(logical_date)"),
+    "kept_weather_monthly": ("agg_weather_monthly", "open_meteo", "month(date)"),
+}
+
+
+def _kept_query(name: str, source: str, period: str):
+    """Three loads, the first with stale values of every row; the roll-up is merged from what they kept."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = Warehouse(spark, scratch_path(spark, "warehouse-kept"), rollups=True)
+        wh.create_schema()
+        rows = staged_silver(spark, sf_dir, source)
+        measures = [c for c in PARTIALS[FACT_OF_SOURCE[source].name].measures if c in rows.columns]
+        wh.load(source, rows.withColumns({m: F.lit(-1.0) for m in measures}))
+        third = F.expr(f"pmod({period}, 3)")
+        wh.load(source, rows.where(third != 0))
+        wh.load(source, rows.where(third != 1))
+        return KEPT[name](wh)
+
+    return query
+
+
+for _name, (_agg, _source, _period) in KEPT_OF.items():
+    _view, _shape, _body = ROLLUPS[_agg]
+    star.add(_name, _shape, _kept_query(_name, _source, _period), _body, view_ctes(_view))
+
 
 def drill_across_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.drill_across(warehouse(spark, sf_dir, "coingecko", "exchange_rate"))

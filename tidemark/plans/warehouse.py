@@ -15,14 +15,15 @@ from tidemark.functions import calendar_columns, date_key, month_key
 from tidemark.operators.joins import lookup_join, measured_bytes
 from tidemark.operators.merge import absent, insert_if_absent, number_members, upsert
 from tidemark.operators.quality import count_orphans
+from tidemark.plans.rollups import PARTIALS
 from tidemark.sources import schemas
 from tidemark.sources.partitions import Folders, PartitionedTable, Section, State, content_key, survivors
 from tidemark.sources.registry import get_source
 from tidemark.sources.storage import Snapshots, make_folder
 
 MONTH = "month_key"
-# Sections of a fact: its rows, and where the row of a key is.
-ROWS, INDEX = "rows", "index"
+# Sections of a fact: its rows, where the row of a key is, and partial aggregates.
+ROWS, INDEX, ROLLUP = "rows", "index", "rollup"
 INDEX_BUCKETS = 16
 INDEX_SCHEMA = StructType([
     StructField("key", BinaryType()), StructField("partition", IntegerType()), StructField("bucket", IntegerType()),
@@ -158,8 +159,9 @@ class Warehouse:
     follows the batch, not the history.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, rollups: bool = False) -> None:
+        """With `rollups`, loads keep partial aggregates of the facts; once kept, every later load goes on."""
+        self.spark, self.root, self.rollups = spark, root.rstrip("/"), rollups
         self._measured: dict[tuple[str, str | None], int] = {}
 
     def _schema(self, name: str):
@@ -188,6 +190,9 @@ class Warehouse:
         sections = {ROWS: Section(self._schema(fact.name), fact.partition, fact.grain)}
         if fact.moves:
             sections[INDEX] = Section(INDEX_SCHEMA, "bucket", ("key",))
+        if fact.name in PARTIALS:
+            kept = PARTIALS[fact.name]
+            sections[ROLLUP] = Section(kept.schema(fact.partition), fact.partition, kept.entity)
         return PartitionedTable(self.spark, self._fact_path(fact.name), sections)
 
     def _stored(self, fact: Fact) -> DataFrame:
@@ -320,8 +325,27 @@ class Warehouse:
             carried = table.write(ROWS, kept).folders if kept is not None else {}
             for value in replaced:
                 changes[ROWS][value] = batch.folders.get(value, ()) + carried.get(value, ())
+        if fact.name in PARTIALS and (self.rollups or base.of(ROLLUP)):
+            changes[ROLLUP] = self._rolled_up(table, base, changes[ROWS], fact)
         table.publish(base, changes)
 
+    def _rolled_up(
+        self, table: PartitionedTable, base: State, changed: dict[int, Folders], fact: Fact
+    ) -> dict[int, Folders]:
+        """Partial aggregates of the changed partitions, or of all if none have been kept yet."""
+        now = changed if base.of(ROLLUP) else {**base.of(ROWS), **changed}
+        rows = table.open(ROWS, {v: f for v, f in now.items() if f})
+        kept = table.write(ROLLUP, PARTIALS[fact.name].of(rows, fact.partition))
+        return {v: kept.folders.get(v, ()) for v in now}
+
+    def partials(self, name: str) -> DataFrame:
+        """The kept partial aggregates of a fact, one row per entity and partition."""
+        table = self._fact(FACTS[name])
+        state = table.state()
+        if state.of(ROWS) and not state.of(ROLLUP):
+            raise ValueError(f"{name}: no roll-ups are kept; load with Warehouse(..., rollups=True)")
+        return table.read(ROLLUP, state=state)
+
     def _index(
         self, table: PartitionedTable, base: State, fresh: DataFrame, fact: Fact
     ) -> tuple[set[int], dict[int, Folders]]:
