@@ -49,6 +49,19 @@ class Scratch:
         return self.spark.read.schema(frame.schema).parquet(self.paths[-1])
 
 
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session for Python workers, unless they are bounded closer already: what
+    the executor and its workers hold follows from them, whatever the rows are like."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(setting, "")
+    if not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+
 def narrow_side(frame: DataFrame, rows: int | None = None) -> DataFrame:
     """A join side of narrow rows: broadcast when it is counted to be small, else left to a shuffle."""
     rows = frame.count() if rows is None else rows
