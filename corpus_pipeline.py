@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, staged, tables
+from tidemark.llm.common import Scratch, small_batches, staged, tables
 from tidemark.llm.contamination import contamination
 from tidemark.llm.jaccard import without_near_duplicates
 from tidemark.llm.mixing import mix_documents
@@ -21,12 +21,14 @@ from tidemark.session import scratch_path
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones, doesn't call toxic."""
+    small_batches(spark)
     model = train(docs, tables(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return docs.where(toxicity(docs, model) < TOXIC_AT)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five words, Jaccard similarity of 0.8 or more."""
+    small_batches(spark)
     return without_near_duplicates(docs, size=5, similarity=(4, 5))
 
 
