@@ -57,8 +57,8 @@ def small_batches(spark: SparkSession) -> None:
     """Bound the batches of this session for Python workers, unless they are bounded closer already: what
     the executor and its workers hold follows from them, whatever the rows are like."""
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = spark.conf.get(setting, "")
-    if not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+    held = spark.conf.get(setting).rstrip("bB")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
         spark.conf.set(setting, str(BATCH_BYTES))
 
 
