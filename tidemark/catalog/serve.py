@@ -16,6 +16,7 @@ from tidemark.catalog.star import VIEW_SHAPES, VIEW_SOURCE, view, view_ctes
 from tidemark.operators.regression import LinearModel, error_metrics, least_squares
 from tidemark.plans import charts, forecast, serving
 from tidemark.plans.jobs import load_snapshots
+from tidemark.plans.refit import MomentStore
 from tidemark.plans.warehouse import Warehouse
 from tidemark.session import scratch_path
 from tidemark.sources.storage import delete
@@ -442,6 +443,22 @@ def _fit_query(domain: str):
     return query
 
 
+def _refit_query(domain: str):
+    """A fit from kept moments: every period once with stale values, then in three batches as it is."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = _SPECS[domain]
+        rows = view(spark, sf_dir, _VIEW_OF[domain])
+        store = MomentStore(spark, scratch_path(spark, f"moments-{domain}"), spec, rows)
+        store.add(rows.withColumn(spec.target, F.col(spec.target) / 2))
+        third = F.pmod(F.col("year") if spec.time == "year" else F.month(spec.time), F.lit(3))
+        for batch in range(3):
+            store.add(rows.where(third == batch))
+        return store.fit()
+
+    return query
+
+
 def _metrics_query(domain: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = _SPECS[domain]
@@ -481,6 +498,10 @@ for _domain, _spec in _SPECS.items():
         f"forecast_fit_{_domain}", "intercept:r4 coef_lag:r4 coef_rolling:r4 train_rows:b",
         _fit_query(_domain), "SELECT * FROM fit", _fitted,
     )
+    serve.add(
+        f"forecast_refit_{_domain}", "intercept:r4 coef_lag:r4 coef_rolling:r4 train_rows:b",
+        _refit_query(_domain), "SELECT * FROM fit", _fitted,
+    )
     serve.add(
         f"forecast_metrics_{_domain}", "mae:r2 rmse:r2 test_rows:b train_rows:b",
         _metrics_query(_domain),
@@ -552,37 +573,36 @@ serve.add(
 
 
 def registry_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs logged, registered and promoted one after another: the listing after each model's three.
+    """Runs of all weekdays logged and registered in order, three days in a second batch: the listing.
 
-    Metrics come from the events: the mean value of three weekdays stands for the errors of three runs.
+    Metrics come from the events: the mean value of each weekday stands for the error of a run.
     """
     root = scratch_path(spark, "registry-appends")
     models = forecast.Registry(spark, root)
-    errors = (
-        table(spark, sf_dir, "events").where(F.dayofweek("ts") < 4)
-        .groupBy("event_type", F.dayofweek("ts").alias("run")).agg(F.round(F.avg("value"), 6).alias("mae"))
-        .orderBy("event_type", "run").collect()
+    errors = table(spark, sf_dir, "events").groupBy("event_type", F.dayofweek("ts").alias("run")).agg(
+        F.round(F.avg("value"), 6).alias("mae")
     )
-    line = LinearModel(0.0, 1.0, 0.0, False)
-    for row in errors:  # a few event types times three
-        spec = replace(forecast.FORECASTS["gdp"], domain=row["event_type"])
-        run = models.log_run(forecast.Training(spec, line, {"mae": row["mae"]}, 1, 1))
-        version = models.register(spec.model, run)
-        if models.should_promote(spec.model, row["mae"]):
-            models.promote(spec.model, version)
-    listed = models.listing().withColumn("mae", F.try_element_at("metrics", F.lit("mae")))
-    answer = spark.createDataFrame(listed.drop("metrics").collect(), "name string, latest int, champion int, mae double")
-    delete(spark, root)
-    return answer
+    none = [F.lit(0.0).alias(c) for c in ("intercept", "coef_lag", "coef_rolling")]
+    runs = errors.select(
+        F.concat_ws("-", "event_type", "run").alias("run_id"), F.concat("event_type", F.lit("_forecast")).alias("model"),
+        F.create_map().cast("map<string,string>").alias("params"), F.create_map(F.lit("mae"), F.col("mae")).alias("metrics"),
+        *none, F.lit(False).alias("log_scale"), F.lit(1).cast("long").alias("train_rows"), F.lit(1).cast("long").alias("test_rows"),
+        F.make_timestamp(F.lit(2024), F.lit(1), F.col("run"), F.lit(0), F.lit(0), F.lit(0)).alias("started_at"), "run",
+    )
+    for days in (F.col("run") < 5, F.col("run") >= 5):
+        models.log_and_register(runs.where(days).drop("run"))
+        models.promote_best()
+    listed = models.listing()
+    return listed.withColumn("mae", F.try_element_at("metrics", F.lit("mae")))
 
 
 serve.add(
-    "registry_appends", "name latest:i champion:i mae:r", registry_appends,
-    """SELECT event_type || '_forecast' AS name, count(*) AS latest,
-        arg_min(version, (mae, version)) AS champion, min(mae) AS mae
+    "registry_appends", "name latest_version:i champion_version:i mae:r", registry_appends,
+    """SELECT event_type || '_forecast' AS name, count(*) AS latest_version,
+        arg_min(version, (mae, version)) AS champion_version, min(mae) AS mae
     FROM (SELECT event_type, round(avg(value), 6) AS mae,
             row_number() OVER (PARTITION BY event_type ORDER BY dayofweek(ts)) AS version
-        FROM events WHERE dayofweek(ts) < 3 GROUP BY event_type, dayofweek(ts)) AS runs
+        FROM events GROUP BY event_type, dayofweek(ts)) AS runs
     GROUP BY event_type""",
 )
 

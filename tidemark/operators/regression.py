@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 COLLINEAR = 1e-12
 
 
-def _scaled(column: Column, log_scale: bool) -> Column:
+def scaled(column: Column, log_scale: bool) -> Column:
     return F.log1p(column) if log_scale else column
 
 
@@ -23,7 +23,7 @@ def least_squares(
     Variances and covariances combine before the shuffle, so the fit is one aggregate of any size.
     Collinear features get the solution of least norm.
     """
-    a, b, y = (_scaled(F.col(c), log_scale) for c in (lag, rolling, target))
+    a, b, y = (scaled(F.col(c), log_scale) for c in (lag, rolling, target))
     moments = train.select(a.alias("a"), b.alias("b"), y.alias("y")).agg(
         F.count(F.lit(1)).alias("train_rows"),
         F.avg("a").alias("ma"),
@@ -35,6 +35,11 @@ def least_squares(
         F.covar_pop("a", "y").alias("ay"),
         F.covar_pop("b", "y").alias("by"),
     )
+    return solved(moments)
+
+
+def solved(moments: DataFrame) -> DataFrame:
+    """The fit of `least_squares` from train_rows, means (ma, mb, my), variances and covariances."""
     aa, bb, ab, ay, by = (F.col(c) for c in ("aa", "bb", "ab", "ay", "by"))
     det = aa * bb - ab * ab
     trace = aa + bb
@@ -66,12 +71,12 @@ class LinearModel:
     log_scale: bool = False
 
     def predict(self, lag: Column, rolling: Column) -> Column:
-        scaled = (
+        line = (
             F.lit(self.intercept)
-            + F.lit(self.coef_lag) * _scaled(lag, self.log_scale)
-            + F.lit(self.coef_rolling) * _scaled(rolling, self.log_scale)
+            + F.lit(self.coef_lag) * scaled(lag, self.log_scale)
+            + F.lit(self.coef_rolling) * scaled(rolling, self.log_scale)
         )
-        return F.expm1(scaled) if self.log_scale else scaled
+        return F.expm1(line) if self.log_scale else line
 
 
 def error_metrics(scored: DataFrame, target: str, prediction: str) -> DataFrame:

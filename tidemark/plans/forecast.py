@@ -6,9 +6,11 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import upsert
@@ -16,12 +18,15 @@ from tidemark.operators.regression import LinearModel, error_metrics, least_squa
 from tidemark.operators.series import last_per_entity, split_holdout
 from tidemark.plans import views
 from tidemark.plans.warehouse import Warehouse
+from tidemark.session import scratch_path
 from tidemark.sources import schemas
-from tidemark.sources.storage import Snapshots, exists
+from tidemark.sources.partitions import ConflictError, PartitionedTable, Section
+from tidemark.sources.storage import create_exclusively, delete, exists, files_in
 
 # The least number of usable rows and the name of the promoted version.
 MIN_ROWS = 4
 CHAMPION = "champion"
+ALIASES, ALIAS_PARTS = "rows", 16
 
 
 class InsufficientDataError(Exception):
@@ -185,30 +190,36 @@ def registry_listing(versions: DataFrame, aliases: DataFrame, runs: DataFrame) -
 
 
 class Registry:
-    """Run log, model versions and aliases as three tables under one root.
+    """Run log, model versions and aliases as three tables under one root, for any number of writers.
 
     Runs and versions are only ever added: each is appended as files of its own, and nothing that is
-    there is read or written again. Aliases are a small table kept as snapshots.
+    there is read or written again. A version belongs to whoever creates its claim, a small file that can
+    be created once. Aliases are a small table whose partitions (by a hash of the model) switch at once;
+    who loses such a switch tries again on what is there then.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-
-    def _snapshots(self, name: str) -> Snapshots:
-        path = f"{self.root}/{name}"
-        return Snapshots(self.spark, path, schemas.struct(schemas.REGISTRY[name]))
+        aliases = schemas.struct(schemas.REGISTRY["model_aliases"])
+        part = T.StructField("part", T.IntegerType())
+        self._aliases = PartitionedTable(
+            spark, f"{self.root}/model_aliases", {ALIASES: Section(T.StructType([*aliases.fields, part]), "part", ("model",))}
+        )
 
     def table(self, name: str) -> DataFrame:
-        if name == "model_aliases":
-            return self._snapshots(name).read()
         schema, path = schemas.struct(schemas.REGISTRY[name]), f"{self.root}/{name}"
+        if name == "model_aliases":
+            return self._aliases.read(ALIASES).select(*schema.fieldNames())
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+    def _append(self, name: str, rows: DataFrame) -> None:
+        """Add rows in a folder of their own: writers that commit into one folder disturb each other."""
+        rows.write.parquet(f"{self.root}/{name}/{uuid.uuid4().hex}")
 
     def _add(self, name: str, row: tuple) -> None:
-        added = self.spark.createDataFrame([row], schemas.struct(schemas.REGISTRY[name]))
-        added.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+        self._append(name, self.spark.createDataFrame([row], schemas.struct(schemas.REGISTRY[name])).coalesce(1))
 
     def log_run(self, result: Training) -> str:
         """Record a finished training; this neither registers nor promotes it."""
@@ -224,13 +235,54 @@ class Registry:
         )
         return run_id
 
+    def _claim(self, model: str, by: str, count: int = 1) -> list[int]:
+        """The next versions of a model, claimed by creating a file for each that didn't exist."""
+        folder = f"{self.root}/model_claims/{quote(model, safe='')}"
+        taken = files_in(self.spark, folder)
+        version, found = int(taken[-1]) if taken else 0, []
+        while len(found) < count:
+            version += 1
+            if create_exclusively(self.spark, f"{folder}/{version:09d}", by):
+                found.append(version)
+        return found
+
     def register(self, model: str, run_id: str) -> int:
-        """Register a run as the next version of its model."""
-        known = self.table("model_versions").where(F.col("model") == model)
-        version = (known.agg(F.max("version")).first()[0] or 0) + 1
+        """Register a run as the next version of its model; no other writer gets the same."""
+        (version,) = self._claim(model, run_id)
         self._add("model_versions", (model, version, run_id))
         return version
 
+    def log_and_register(self, runs: DataFrame) -> None:
+        """Log many finished runs and register them as versions, in the order in which they were logged.
+
+        Runs are appended as one frame. What comes to the driver is the number of runs of each model, to
+        claim their versions.
+        """
+        schema = schemas.struct(schemas.REGISTRY["model_runs"])
+        path = scratch_path(self.spark, "runs")
+        runs.select(*schema.fieldNames()).write.parquet(path)
+        logged = self.spark.read.schema(schema).parquet(path)
+        counts = sorted((r["model"], r["count"]) for r in logged.groupBy("model").count().collect())
+        batch = uuid.uuid4().hex
+        claimed = [(m, i, v) for m, n in counts for i, v in enumerate(self._claim(m, batch, n), 1)]
+        places = self.spark.createDataFrame(claimed, "model string, place int, version int")
+        own = Window.partitionBy("model").orderBy("started_at", "run_id")
+        numbered = logged.select("model", "run_id", F.row_number().over(own).alias("place"))
+        self._append("model_runs", logged)
+        self._append("model_versions", numbered.join(places, ["model", "place"]).select("model", "version", "run_id"))
+        delete(self.spark, path)
+
+    def promote_best(self) -> None:
+        """Promote the best version of every model whose champion it beats strictly."""
+        runs = self.table("model_runs").select("run_id", F.col("metrics")["mae"].alias("mae"))
+        scored = self.table("model_versions").join(runs, "run_id").where("mae is not null")
+        best = scored.groupBy("model").agg(F.min(F.struct("mae", "version")).alias("best"))
+        champions = self.table("model_aliases").where(F.col("alias") == CHAMPION).select("model", "version")
+        champions = champions.join(scored, ["model", "version"]).select("model", F.col("mae").alias("champion_mae"))
+        decided = promotion_decisions(best.select("model", "best.version", "best.mae"), champions)
+        # At most one row a model.
+        self._point([(r["model"], r["version"]) for r in decided.where("promote").collect()])
+
     def champion(self, model: str):
         """The run behind the promoted version (with `version`), or None."""
         alias = self.table("model_aliases").where(
@@ -256,9 +308,24 @@ class Registry:
 
     def promote(self, model: str, version: int) -> None:
         """Point the champion alias of a model at a version."""
-        table = self._snapshots("model_aliases")
-        moved = self.spark.createDataFrame([(model, CHAMPION, version)], table.schema)
-        table.replace(upsert(table.read(), moved, ["model", "alias"]))
+        self._point([(model, version)])
+
+    def _point(self, champions: list[tuple[str, int]]) -> None:
+        if not champions:
+            return
+        part = F.pmod(F.xxhash64("model"), F.lit(ALIAS_PARTS)).cast("int").alias("part")
+        rows = [(model, CHAMPION, version) for model, version in champions]
+        while True:
+            base = self._aliases.state()
+            moved = self.spark.createDataFrame(rows, schemas.struct(schemas.REGISTRY["model_aliases"])).select("*", part)
+            parts = {r[0] for r in moved.select("part").distinct().collect()}
+            kept = self._aliases.read(ALIASES, parts, base)
+            switched = upsert(kept, moved.select(*kept.columns), ["model", "alias"])
+            try:
+                self._aliases.publish(base, {ALIASES: self._aliases.write(ALIASES, switched).folders})
+                return
+            except ConflictError:
+                continue
 
     def listing(self) -> DataFrame:
         return registry_listing(

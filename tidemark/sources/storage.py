@@ -40,11 +40,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 
 
 def files_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files directly under `path`; empty when it does not exist."""
+    """Names of the files directly under `path` but hidden ones; empty when it does not exist."""
     fs, target = _fs(spark, path)
     if not fs.exists(target):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(n for n in names if not n.startswith("."))
 
 
 def read_small(spark: SparkSession, path: str) -> str:
