@@ -14,6 +14,7 @@ from tidemark.catalog.lake import registry, staged_silver, warehouse
 from tidemark.catalog.shape import Catalog
 from tidemark.catalog.star import VIEW_SHAPES, VIEW_SOURCE, view, view_ctes
 from tidemark.operators.regression import LinearModel, error_metrics, least_squares
+from tidemark.operators.trigrams import TrigramIndex
 from tidemark.plans import charts, forecast, serving
 from tidemark.plans.jobs import load_snapshots
 from tidemark.plans.refit import MomentStore
@@ -51,6 +52,43 @@ _page(
     "UNION SELECT country_iso3, country_name FROM inflation_silver)",
     search="TION_1",
 )
+
+
+def news_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Needles, wildcards among them, looked up in the titles of all articles by their trigrams."""
+    rows = warehouse(spark, sf_dir, "newsapi").table("fact_news")
+    index = TrigramIndex(spark, scratch_path(spark, "trigrams"), rows.select("url").schema, "title")
+    index.build(rows)
+    found = None
+    for needle in NEEDLES:
+        hits = index.search(rows, needle).select(F.lit(needle).alias("needle"), "url")
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+NEEDLES = ("ING AND", "th%ion", "der_e", "zu", "Élle", "no such words")
+serve.add(
+    "news_search", "needle url", news_search,
+    " UNION ALL ".join(f"SELECT '{n}' AS needle, url FROM news_silver WHERE title ILIKE '%{n}%'" for n in NEEDLES),
+    f"WITH {silver_ctes('newsapi')}",
+)
+
+
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page nine tenths into the largest view, found by counting ranges of sampled keys."""
+    page = serving.list_weather(warehouse(spark, sf_dir, "open_meteo"))
+    return replace(page, offset=page.total() * 9 // 10, deep=100).report()
+
+
+serve.add(
+    "list_weather_deep", f"{VIEW_SHAPES['view_weather']} {PAGE}", deep_page,
+    """SELECT * FROM (SELECT *, 50 AS "limit", row_number() OVER (
+                ORDER BY view_weather.date DESC NULLS LAST, latitude NULLS LAST, longitude NULLS LAST) AS rank_here
+            FROM view_weather) AS placed,
+        (SELECT count(*) AS total, count(*) * 9 // 10 AS "offset" FROM view_weather) AS counted
+    WHERE rank_here > "offset" AND rank_here <= "offset" + 50""",
+    view_ctes("view_weather"),
+)
 _page(
     "list_gdp_page", VIEW_SHAPES["view_gdp"], "world_bank", serving.list_gdp,
     "year >= 2019 AND year <= 2022", "year DESC NULLS LAST, country_iso3, indicator_id", 50, 10,
