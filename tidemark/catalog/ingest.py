@@ -15,7 +15,7 @@ from tidemark.operators.joins import lookup_join
 from tidemark.operators.merge import number_members
 from tidemark.operators.quality import count_orphans, evaluate
 from tidemark.operators.series import first_per_key, newest_per_key
-from tidemark.plans.jobs import land_payloads, run_silver
+from tidemark.plans.jobs import land_payloads, run_silver, run_steps
 from tidemark.plans.silver import candidates, snapshot_silver
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import completeness, envelopes, numbered_pages, read_bronze, read_landed, write_bronze
@@ -570,6 +570,41 @@ ingest.add(
 )
 
 
+def job_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chains of two feeds, step by step: one that passes, and one with negative values, gated and not."""
+    answer = None
+    for source, gate, spoil in (("coingecko", True, False), ("world_bank", True, True), ("world_bank", False, True)):
+        bronze, out, root = (scratch_path(spark, f"steps-{n}") for n in ("bronze", "silver", "warehouse"))
+        documents = DOCUMENTS[source](spark, sf_dir).withColumn("logical_date", F.col("logical_date").cast("string"))
+        if spoil:
+            negative = lambda r: r.withField("value", -r["value"])
+            wrong = lambda p: p.withField("records", F.transform(p["records"], negative))
+            documents = documents.withColumn("pages", F.transform("pages", wrong))
+        documents.write.json(bronze)
+        steps = run_steps(spark, source, bronze, out, root, gate).withColumn("gated", F.lit(gate))
+        answer = steps if answer is None else answer.unionByName(steps)
+    return answer
+
+
+def _steps_sql() -> str:
+    parts = []
+    for source, gated, failing in (("coingecko", "true", 0), ("world_bank", "true", 1), ("world_bank", "false", 1)):
+        rows = f"(SELECT count(*) FROM {SHORT[source]}_silver)"
+        skipped = failing and gated == "true"
+        for step, status, count in (
+            ("silver", "ok", rows), ("validate", "failed" if failing else "ok", failing),
+            ("load", "skipped" if skipped else "ok", "NULL" if skipped else rows),
+        ):
+            parts.append(f"SELECT '{source}' AS source, '{step}' AS step, '{status}' AS status, {count} AS rows, {gated} AS gated")
+    return " UNION ALL ".join(parts)
+
+
+ingest.add(
+    "job_steps", "source step status rows:b gated", job_steps, _steps_sql(),
+    f"WITH {silver_ctes('coingecko', 'world_bank')}",
+)
+
+
 def snapshot(source: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents = DOCUMENTS[source](spark, sf_dir)

@@ -564,6 +564,32 @@ for _domain, _spec in _SPECS.items():
         _fitted,
     )
 
+
+
+def point_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per user seen in the events: in capitals, of unknown coins, or without a name."""
+    user = F.col("user_id")
+    name = F.when(user % 7 == 0, F.lit("")).when(user % 7 == 1, F.concat(F.lit("none-"), user.cast("string"))).when(
+        user % 7 != 2, F.concat(F.lit("COIN-"), user.cast("string"))
+    )
+    requests = table(spark, sf_dir, "events").select("user_id").distinct().select(name.alias("coin_id"))
+    return forecast.answers(requests, _score_query("crypto")(spark, sf_dir), _SPECS["crypto"])
+
+
+serve.add(
+    "point_forecasts", "coin_id status predicted_value:r2 model_version:b", point_forecasts,
+    f"""SELECT asked AS coin_id,
+        CASE WHEN coalesce(asked, '') = '' THEN 'missing_parameter' WHEN coin_id IS NULL THEN 'no_data'
+            WHEN lag1_price_usd IS NOT NULL AND price_7d_avg_usd IS NOT NULL THEN 'ok' ELSE 'not_enough_history' END AS status,
+        CASE WHEN lag1_price_usd IS NOT NULL AND price_7d_avg_usd IS NOT NULL THEN {_prediction_sql('crypto')} END AS predicted_value,
+        CASE WHEN lag1_price_usd IS NOT NULL AND price_7d_avg_usd IS NOT NULL THEN 1 END AS model_version
+    FROM (SELECT CASE WHEN user_id % 7 = 0 THEN '' WHEN user_id % 7 = 1 THEN 'none-' || user_id
+            WHEN user_id % 7 <> 2 THEN 'COIN-' || user_id END AS asked FROM (SELECT DISTINCT user_id FROM events) AS users) AS requests
+        LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY date DESC) AS age
+            FROM view_crypto) AS aged WHERE age = 1) AS latest ON lower(asked) = coin_id, fit""",
+    f"{view_ctes('view_crypto')}, {_usable_sql('crypto')}, {_fit_sql('crypto')}",
+)
+
 # -- registry over many versions: every event is a registered version of its type's model
 
 _MODEL_SQL = """versions AS (SELECT event_type || '_forecast' AS model, event_id AS version,

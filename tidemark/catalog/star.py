@@ -327,6 +327,33 @@ star.add(
     f"WITH {silver_ctes(*ALL_SOURCES)}",
 )
 
+
+
+def integrity_of_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coin rows with coins that nobody knows, with days missing and with repeated keys, by day of month."""
+    wh = warehouse(spark, sf_dir, "coingecko")
+    rows, day = wh.table("fact_crypto"), F.col("date_key") % 100
+    lost = F.when(day % 4 == 0, F.col("coin_key") + 1_000_000).otherwise(F.col("coin_key"))
+    undated = F.when(day % 5 != 0, F.col("date_key"))
+    broken = rows.select(lost.alias("coin_key"), undated.alias("date_key"), *[c for c in rows.columns if not c.endswith("_key")])
+    return wh.integrity("fact_crypto", broken.unionByName(rows.where(day % 3 == 0)))
+
+
+star.add(
+    "integrity_of_broken_rows", "fact check column violations:b", integrity_of_broken_rows,
+    """SELECT 'fact_crypto' AS fact, found.* FROM (
+        SELECT 'reference' AS "check", 'coin_key' AS "column", (SELECT count(*) FROM landed WHERE unknown) AS violations
+        UNION ALL SELECT 'reference', 'date_key', 0
+        UNION ALL SELECT 'unique', 'coin_key,date_key', (SELECT count(*) FROM (
+            SELECT 1 FROM landed GROUP BY coin_id, unknown, day HAVING count(*) > 1) AS repeated)
+        UNION ALL SELECT 'not_null', 'coin_key', 0
+        UNION ALL SELECT 'not_null', 'date_key', (SELECT count(*) FROM landed WHERE day IS NULL)) AS found""",
+    f"""WITH {silver_ctes('coingecko')}, landed AS (
+        SELECT coin_id, day(logical_date) % 4 = 0 AS unknown,
+            CASE WHEN day(logical_date) % 5 <> 0 THEN logical_date END AS day FROM crypto_silver
+        UNION ALL SELECT coin_id, false, logical_date FROM crypto_silver WHERE day(logical_date) % 3 = 0)""",
+)
+
 # -- views
 
 ANNUAL_WINDOW = "PARTITION BY country_iso3, indicator_id ORDER BY year"

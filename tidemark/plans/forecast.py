@@ -383,6 +383,29 @@ def score_latest(
     )
 
 
+def answers(requests: DataFrame, scores: DataFrame, spec: Forecast) -> DataFrame:
+    """A row for every request (its columns are the spec's entity) with the forecast or why there is none.
+
+    status: missing_parameter (a name is unknown or empty), no_data (nobody knows the entity), and those of
+    `score_latest`. Names are folded as the domain writes them; repeated requests get a row each.
+    """
+    fold = F.upper if spec.upper else F.lower
+    folded = [fold(c).alias(f"__{c}") for c in spec.entity]
+    asked = requests.select(*spec.entity, *folded)
+    known = [(asked[f"__{c}"] == scores[c]) & (asked[f"__{c}"] != "") for c in spec.entity]
+    condition = known[0]
+    for one in known[1:]:
+        condition = condition & one
+    joined = asked.join(scores, condition, "left")
+    missing = F.lit(False)
+    for c in spec.entity:
+        missing = missing | F.coalesce(asked[c] == "", F.lit(True))
+    status = F.when(missing, "missing_parameter").otherwise(F.coalesce(scores["status"], F.lit("no_data")))
+    return joined.select(
+        *[asked[c] for c in spec.entity], status.alias("status"), scores["predicted_value"], scores["model_version"]
+    )
+
+
 def predict(wh: Warehouse, registry: Registry, domain: str, **entity: str) -> dict:
     """Forecast for one entity; `status` is also no_data when the warehouse does not know it."""
     spec = get_forecast(domain)

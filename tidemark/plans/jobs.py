@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import Outcome, ValidationFailedError, validate, validate_or_raise
 from tidemark.plans.forecast import Registry, train_register_deploy
 from tidemark.plans.silver import to_silver
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import FACT_OF_SOURCE, Warehouse
 from tidemark.session import build_session, scratch_path, scratch_root
 from tidemark.sources.bronze import envelopes, read_bronze, stamp, write_bronze
 from tidemark.sources.contracts import staged_valid
@@ -88,6 +88,50 @@ def run_source(
     return load_silver(spark, source, silver_path, warehouse_root, gate)
 
 
+STEP = "source string, step string, status string, rows bigint, detail string"
+
+
+def run_steps(
+    spark: SparkSession,
+    source: str,
+    bronze_path: str,
+    silver_path: str,
+    warehouse_root: str,
+    gate: bool = True,
+) -> DataFrame:
+    """The chain of one source as a table of its steps: silver, validate, load.
+
+    status is ok, failed or skipped; after a failed step the rest is skipped, except that a load without
+    gate follows a failed validation. rows: of the Silver dataset, expectations that fail, rows of the fact.
+    """
+    outcomes: list[tuple[str, str, str, int | None, str | None]] = []
+
+    def silver() -> tuple[bool, int, str | None]:
+        run_silver(spark, source, bronze_path, silver_path)
+        return True, spark.read.parquet(silver_path).count(), None
+
+    def check() -> tuple[bool, int, str | None]:
+        outcome = validate_silver(spark, source, silver_path)
+        return outcome.success, len(outcome.failed), ", ".join(outcome.failed) or None
+
+    def load() -> tuple[bool, int, str | None]:
+        wh = load_silver(spark, source, silver_path, warehouse_root, gate=False)
+        return True, wh.table(FACT_OF_SOURCE[source].name).count(), None
+
+    going = True
+    for name, step in (("silver", silver), ("validate", check), ("load", load)):
+        if not going:
+            outcomes.append((source, name, "skipped", None, None))
+            continue
+        try:
+            fine, rows, detail = step()
+        except Exception as error:  # noqa: BLE001 - a step that breaks is a row, not the end of the table
+            fine, rows, detail = False, None, type(error).__name__
+        outcomes.append((source, name, "ok" if fine else "failed", rows, detail))
+        going = fine or (name == "validate" and not gate)
+    return spark.createDataFrame(outcomes, STEP)
+
+
 # -- snapshot mode: single pulls straight into the warehouse
 
 

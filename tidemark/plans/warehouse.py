@@ -382,10 +382,11 @@ class Warehouse:
 
     # -- checks
 
-    def integrity(self, fact_name: str) -> DataFrame:
-        """One row per rule of a fact: check, column, violations."""
+    def integrity(self, fact_name: str, rows: DataFrame | None = None) -> DataFrame:
+        """One row per rule of a fact: check, column, violations. With `rows` these are checked before they
+        are loaded, instead of the stored ones."""
         fact = FACTS[fact_name]
-        rows = self.table(fact_name)
+        rows = self.table(fact_name) if rows is None else rows
         reports = []
 
         def report(check: str, column: str, violations: DataFrame) -> None:
