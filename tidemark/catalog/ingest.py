@@ -641,6 +641,12 @@ ingest.add(
     snapshot_sql("exchange_rate", "CAST(NULL AS DOUBLE) AS exchange_momentum"), one_pull("exchange_rate"),
 )
 
+for _source, _name in (("open_meteo", "snapshot_weather"), ("newsapi", "snapshot_news")):
+    ingest.add(
+        _name, SILVER_SHAPES[_source], snapshot(_source),
+        f"SELECT *, {FEATURE_SQL[_source]} FROM ({snapshot_sql(_source, '0 AS one')}) AS firsts", one_pull(_source),
+    )
+
 # -- one row per key
 
 
