@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import Scratch
+from tidemark.llm.words import give_back
 
 #: At most so many labelled rows of each class are learnt from (those of the smallest id hashes).
 SAMPLE_ROWS = 16_384
@@ -159,6 +160,8 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
                     yield counted(seen)
                     seen = [Counter(), Counter()]
         yield counted(seen)
+        del seen
+        give_back()
 
     rows = sample.select("text", "toxic").mapInArrow(count, "unit string, toxic long, ordinary long")
     return rows.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
@@ -272,6 +275,6 @@ def toxicity(docs: DataFrame, model: Model):
         for texts in batches:
             yield pa.array([reader.score(t.as_py()) for t in texts], pa.float64())
             del texts
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return score("text")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,17 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+# Of the C library, where it has it: hands freed memory back to the system.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what this worker has freed to the system; other workers and the executor share its memory."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], limit: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
     """Batches whose column `text` has about `limit` bytes at most, whatever came as one."""
     for batch in batches:
@@ -50,7 +62,7 @@ def in_parts(batches: Iterator[pa.RecordBatch], limit: int = 4 * PIECE) -> Itera
         for low, high in pieces(bounds, limit):
             yield batch.slice(low, high - low)
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def pieces(bounds: np.ndarray, limit: int = PIECE, most: int = 2**20) -> Iterator[tuple[int, int]]:
