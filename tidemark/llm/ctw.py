@@ -1,4 +1,7 @@
-"""Context-tree weighting over bytes: counts from a corpus, weights, and a scoring automaton."""
+"""Context-tree weighting over bytes: keys of contexts, and a model of bounded size as a scoring automaton.
+
+The automaton leaves out rare contexts. `weighting` has the model with all of them.
+"""
 
 from __future__ import annotations
 

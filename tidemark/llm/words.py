@@ -145,9 +145,9 @@ def runs_hash(hashes: np.ndarray, length: int) -> np.ndarray:
     return result[: len(hashes) - length + 1]
 
 
-def pack(*columns: np.ndarray) -> bytes:
+def pack(*columns: np.ndarray, level: int = 1) -> bytes:
     """Columns of equal length as one compressed value; narrow exchanges carry many rows in each."""
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(c.tobytes() for c in columns))
 
 
 def unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
