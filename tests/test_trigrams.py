@@ -51,3 +51,13 @@ def test_building_again_replaces_all(spark, tmp_path):
     assert index.search(rows, "first").count() == 1
     index.build(rows.where("id = 2"))
     assert index.search(rows, "first").collect() == []
+
+
+def test_postings_do_not_repeat_long_keys(spark, tmp_path):
+    """A posting is as short for a long key as for a short one, and rows with a null or repeated key are found."""
+    rows = spark.createDataFrame([("u" * 500, "a title"), (None, "a title"), (None, "title b"), ("u" * 500, "other")], "url string, title string")
+    index = TrigramIndex(spark, str(tmp_path / "i"), rows.select("url").schema, "title")
+    index.build(rows)
+    assert "url" not in index.table.read("postings").columns
+    found = index.search(rows, "title").collect()
+    assert sorted((r["url"] is None, r["title"]) for r in found) == [(False, "a title"), (True, "a title"), (True, "title b")]
