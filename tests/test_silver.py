@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from payloads import annual, annual_page, article, coin, news_page, rates_page, weather_page
-from tidemark.plans.silver import snapshot_silver, to_silver
+from tidemark.plans.silver import narrow_silver, snapshot_silver, to_silver
 from tidemark.sources.bronze import envelopes, numbered_pages
 from tidemark.sources.registry import SOURCE_NAMES, UnknownSourceError, get_source
 
@@ -182,3 +182,23 @@ def test_contract_holds_for_documents_without_rows(documents, source):
 def test_unknown_source_names_the_known():
     with pytest.raises(UnknownSourceError, match="open_meteo"):
         get_source("nope")
+
+
+def test_narrow_rows_are_those_of_the_whole_ones(spark, documents):
+    """Ties included; the titles aren't part of the plan's shuffles."""
+    def named(url, title, name):
+        return article(url, title) | {"source": {"name": name}}
+
+    landed = documents(
+        "newsapi",
+        ("2031-03-01", 1, news_page(named("u1", "a", "Old"), named("u2", "z", None), named("u3", "t", "Gone"))),
+        ("2031-03-02", 1, news_page(named("u1", "a", "Post"), named("u1", "z", "Gazette"), named("u3", "t", None))),
+        ("2031-03-02", 1, news_page(named("u2", "a", None), named("u2", "b", "Herald"), named(None, "b", "Lost"))),
+    )
+    columns = ["source_name", "logical_date"]
+    narrow = narrow_silver(landed, "newsapi", columns)
+    whole = to_silver(landed, "newsapi").select(*columns)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.collect()))
+    assert narrow.distinct().count() == 3
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("title" in line for line in plan.splitlines() if "Window" in line)

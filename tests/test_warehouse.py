@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from tidemark.plans import views
-from tidemark.plans.warehouse import FACTS
+from tidemark.plans.warehouse import FACTS, Warehouse, narrow_columns
 from tidemark.sources.registry import UnknownSourceError
 
 DAY = date(2026, 7, 20)
@@ -188,3 +188,26 @@ def test_views_are_registered_for_sql(wh, silver, spark):
     assert "agg_weather_monthly" in names and "fact_news" in names
     for name in names:
         spark.catalog.dropTempView(name)
+
+
+@pytest.mark.parametrize("months", [1, 3, 7])
+def test_wide_rows_are_run_once(spark, tmp_path, silver, months):
+    """With narrow rows at hand a plan goes into the fact in one run, shuffled only by many months."""
+    made = [news(f"u{i}", f"t{i}", f"s{i % 3}" if i % 4 else None, date(2026, 1 + i % months, 3)) for i in range(40)]
+    rows = silver("newsapi", *made)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    wide = rows.repartition(3).mapInArrow(counted, rows.schema)
+    one, two = (Warehouse(spark, str(tmp_path / n)) for n in ("one", "two"))
+    one.load("newsapi", rows)
+    two.load("newsapi", wide, rows.select(*narrow_columns("newsapi")).distinct())
+    assert narrow_columns("newsapi") == ["source_name", "logical_date"] and seen.value == 40
+    for name in ("fact_news", "dim_news_source", "dim_date"):
+        assert sorted(map(str, one.table(name).collect())) == sorted(map(str, two.table(name).collect()))
+    files = {len(two.table("fact_news").where(f"date_key div 100 = {202601 + m}").inputFiles()) for m in range(months)}
+    assert (max(files) > months) == (months <= 4)
