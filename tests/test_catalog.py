@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from check import TABLES, rows_of
+from tidemark.catalog import lake
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
@@ -45,3 +46,16 @@ def test_query_equals_sql(spark, name):
 
 def test_flagship(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_a_dimension_of_articles_needs_no_fact(spark, tmp_path):
+    """The texts of articles aren't loaded for the names of their sources."""
+    rows = [(i, f"text {i // 2}", f"src{i % 3}", "en", 6) for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    queries = driver.queries()
+    found = queries["dim_news_source"](spark, str(tmp_path)).collect()
+    assert sorted(r["source_name"] for r in found) == ["src1", "src2"]
+    wh = lake.warehouse(spark, str(tmp_path))
+    assert wh.table("fact_news").count() == 0
+    assert queries["view_news"](spark, str(tmp_path)).count() == 6 and wh.table("fact_news").count() == 6
+    assert queries["dim_news_source"](spark, str(tmp_path)).collect() == found
