@@ -4,7 +4,9 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm.jaccard import Limit, RTree, jaccard_groups, without_near_duplicates
+from tidemark.llm.jaccard import (
+    DIMENSIONS, NODE, Limit, RTree, _keys, _point_bytes, _point_rows, _rare, _telling, jaccard_groups, without_near_duplicates,
+)
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+").findall
 
@@ -90,6 +92,59 @@ def test_tree_leaves_out_only_what_cannot_reach_the_limit():
     assert set(got) == wanted and len(got) == len(wanted)
 
 
+@pytest.mark.parametrize(("limit", "several"), [((4, 5), True), ((9, 10), True), ((1, 2), False)])
+def test_similar_sets_share_the_keys_that_are_counted_on(limit, several):
+    limit, pick, sets = Limit(*limit), random.Random(8), []
+    for n in (3, 8, 20, 45, 120, 300):
+        base = [pick.getrandbits(53) for _ in range(n)]
+        for off in range(12):
+            sets.append(sorted({pick.getrandbits(53) if pick.random() < off / 40 else t for t in base} | {1} if off % 3 else set(base[off // 3 :])))
+    sizes = np.array([len(x) for x in sets])
+    owner, tokens = np.repeat(np.arange(len(sets)), sizes), np.concatenate([np.array(x, np.uint64) for x in sets])
+    levels = {}
+    for text, key, need in zip(*(c.tolist() for c in _keys(owner, tokens, sizes, limit)), strict=True):
+        levels.setdefault((text, need), set()).add(key)
+    checked = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            shared = len(set(sets[i]) & set(sets[j]))
+            if sets[i] != sets[j] and limit.linked(shared, len(sets[i]), len(sets[j])):
+                met = [(a[1] // 4, b[1] // 4, len(x & y)) for a, x in levels.items() for b, y in levels.items() if a[0] == i and b[0] == j]
+                assert any(n >= max(one, two) for one, two, n in met)
+                checked += not several or any(one > 1 for one, *_ in met)
+    assert checked > 20
+
+
+def member_rows(spark, rows):
+    return spark.createDataFrame([(k, (n, 0), need) for k, n, need in rows], f"key long, node struct<{NODE}>, need long")
+
+
+def test_the_most_frequent_keys_beyond_need_are_left_out(spark):
+    # Node 1 needs three keys of level 0: two may go, the most frequent ones. Those of level 2 are counted by themselves.
+    own = [(k, 1, 3 * 4) for k in (10, 11, 12, 13)] + [(20, 1, 1 * 4 + 2)]
+    others = [(10, n, 4) for n in (2, 3)] + [(12, n, 4) for n in range(2, 9)] + [(13, n, 4) for n in range(2, 8)] + [(11, 2, 4), (20, 2, 4)]
+    left = {(r["key"], r["node"]["id"]) for r in _rare(member_rows(spark, own + others)).collect()}
+    assert {k for k, n in left if n == 1} == {10, 11, 20}
+    assert {x for x in left if x[1] != 1} == {(k, n) for k, n, _ in others}
+
+
+def test_a_set_of_nodes_is_searched_under_one_key(spark):
+    rows = [(k, n, 4) for k in range(50) for n in (1, 2, 3)] + [(k, n, 4) for k in (70, 71) for n in (2, 3)] + [(90, 1, 4)]
+    told = _telling(member_rows(spark, rows).select("key", "node")).collect()
+    assert sorted((r["key"], r["v"]["id"]) for r in told) == [(0, 1), (70, 2)]
+
+
+def test_points_are_as_wide_as_their_counts():
+    import pyarrow as pa
+
+    counts = np.ones((3, DIMENSIONS), np.int64)
+    counts[1, 5], counts[2, 7] = 300, 70_000
+    packed = [_point_bytes(c) for c in counts]
+    assert [len(p) // DIMENSIONS for p in packed] == [1, 2, 4]
+    assert (_point_rows(pa.array(packed, pa.binary())) == counts).all()
+    assert (_point_rows(pa.array(packed[:1], pa.binary())) == counts[:1]).all()
+
+
 def test_empty_table(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").limit(0)
     assert jaccard_groups(docs).collect() == [] and without_near_duplicates(docs).collect() == []

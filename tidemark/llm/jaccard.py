@@ -7,17 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import Words, deal, in_parts, mix64, pieces, runs_hash, text_bytes, unpack
 
-DIMENSIONS = 128  # token groups that are the coordinates of a point
+DIMENSIONS = 512  # token groups that are the coordinates of a point
 FAN = 8  # entries of a tree node
 BUCKETS_PER_PARTITION = 4
 HASH_BITS = 53  # a piece holds at most 2 ** 11 texts
+MOST_NEEDED = 2**14 - 1  # shared keys that are counted on, with two bits in two bytes
 NO_ID = 2**63 - 1  # stands for a null doc_id: larger than any other
 
 _HASH = np.uint64(2**HASH_BITS - 1)
@@ -108,16 +109,17 @@ def _sets(size: int, fold: bool):
 
 
 def _keys(owner: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, limit: Limit):
-    """(text, key): similar sets that differ share one of their keys.
+    """(text, key, need): similar sets that differ share one of their keys, and `need` of those of a level.
 
     The tokens of a set are dealt to groups by hash. Sets that differ in at most d tokens differ in at
     most d groups, so a set with more than d filled groups has one in common, whole, with the other.
     The number of groups depends on the size class of the larger set, which is the own class or the
-    next. A set with too few filled groups only misses others like it; these share an extra key.
+    next. A set with too few filled groups only misses others like it; these share an extra key, which is a
+    level of its own. The lowest two bits of `need` tell the levels of a text apart.
     """
-    texts, keys = [], []
+    texts, keys, needs = [], [], []
     if not len(tokens):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint16)
     ends = limit.classes(int(sizes.max()))
     allowed, groups = limit.groups(ends)
     own = np.searchsorted(ends, sizes, "right") - 1
@@ -139,10 +141,14 @@ def _keys(owner: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, limit: Limit
         salt = mix64((level[text].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64) + np.uint64(1))
         texts.append(text)
         keys.append(mix64(value[filled] + salt))
-        scarce = np.flatnonzero(used & (np.bincount(text, minlength=len(sizes)) <= allowed[level]))
+        count = np.bincount(text, minlength=len(sizes))
+        most = limit.differences(sizes + np.minimum(reach, ends[level + 1] - 1))
+        needs.append(np.clip(count - most, 1, MOST_NEEDED)[text] * 4 + 2 * up)
+        scarce = np.flatnonzero(used & (count <= allowed[level]))
         texts.append(scarce)
         keys.append(mix64(mix64(level[scarce].astype(np.uint64) + np.uint64(5)) + np.uint64(9)))
-    return np.concatenate(texts), np.concatenate(keys)
+        needs.append(np.full(len(scarce), 4 + 2 * up + 1))
+    return np.concatenate(texts), np.concatenate(keys), np.concatenate(needs).astype(np.uint16)
 
 
 def _ordered(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,10 +170,11 @@ def _shared(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> tuple[np.nd
     return order[fresh], order[np.repeat(counts > 1, counts)]
 
 
-MEMBERS = "bucket int, payload binary, key long, id long, mark long"
+MEMBER = ["key", "id", "mark", "need"]
+MEMBERS = ", ".join(["bucket int", "payload binary", *(f"{name} long" for name in MEMBER)])
 
 
-def _member_batch(packed: list[tuple[int, bytes]], keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+def _member_batch(packed: list[tuple[int, bytes]], keys: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
     n, none = len(packed), np.zeros(len(packed), np.int64)
     told = np.r_[np.ones(n, bool), np.zeros(len(keys), bool)]
     anywhere = mix64(keys) % np.uint64(2**20)
@@ -175,41 +182,28 @@ def _member_batch(packed: list[tuple[int, bytes]], keys: np.ndarray, ids: np.nda
         [
             pa.array([b for b, _ in packed] + anywhere.tolist(), pa.int32()),
             pa.array([p for _, p in packed] + [None] * len(keys), pa.binary()),
-            *[pa.array(np.r_[none, c.astype(np.int64)], mask=told) for c in (keys.view(np.int64), ids, marks)],
+            *[pa.array(np.r_[none, c.astype(np.int64)], mask=told) for c in (keys.view(np.int64), *more)],
         ],
-        names=["bucket", "payload", "key", "id", "mark"],
+        names=["bucket", "payload", *MEMBER],
     )
 
 
 def _batch_keys(batch: pa.RecordBatch, size: int, fold: bool, limit: Limit):
-    """Keys, tokens, sizes and marks of the rows of a batch. A row whose set isn't the one that it was
-    chosen for (`mark`), or that is a copy (`spare`), counts as empty."""
+    """Row, key, need and mark of each key of a batch. A row that is a copy (`spare`) counts as empty."""
     data, bounds = text_bytes(batch.column("text"))
-    copies = "spare" in batch.schema.names
-    wanted = None if copies else _longs(batch, "mark")
-    rows, keys, owners, tokens, sizes = [], [], [], [], np.zeros(batch.num_rows, np.int64)
-    marks = np.zeros(batch.num_rows, np.int64)
+    parts, marks = [], np.zeros(batch.num_rows, np.int64)
     for low, high in pieces(bounds, most=2**11):
         words = Words(data, bounds, low, high, fold)
         owner, token = shingles(words, size)
         n, one, _ = _signature(owner, token, high - low)
         marks[low:high] = _mark(one)
-        if copies:
-            spare = batch.column("spare").slice(low, high - low).to_pylist()
-            chosen = np.array([s is None or int(m) not in s for s, m in zip(spare, marks[low:high], strict=True)], bool)
-        else:
-            chosen = marks[low:high] == wanted[low:high]
-        n = np.where(chosen, n, 0)
+        spare = batch.column("spare").slice(low, high - low).to_pylist()
+        chosen = np.array([s is None or int(m) not in s for s, m in zip(spare, marks[low:high], strict=True)], bool)
         keep = chosen[owner]
-        owner, token = owner[keep], token[keep]
-        text, key = _keys(owner, token, n, limit)
-        rows.append(text + low)
-        keys.append(key)
-        owners.append(owner + low)
-        tokens.append(token)
-        sizes[low:high] = n
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return join(rows, np.int64), join(keys, np.uint64), join(owners, np.int64), join(tokens, np.uint64), sizes, marks
+        text, *found = _keys(owner[keep], token[keep], np.where(chosen, n, 0), limit)
+        parts.append((text + low, *found))
+    rows, keys, needs = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return rows, keys, needs, marks[rows]
 
 
 def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -225,12 +219,12 @@ def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            rows, keys, *_, marks = _batch_keys(batch, size, fold, limit)
-            ids, marks = _longs(batch, "id")[rows], marks[rows]
-            heads, told = _shared(keys, ids, marks)
+            rows, keys, needs, marks = _batch_keys(batch, size, fold, limit)
+            members = (keys, _longs(batch, "id")[rows], marks.astype(np.uint32), needs)
+            heads, told = _shared(*members[:3])
             heads = np.sort(heads)
-            packed = list(deal(keys[heads], buckets, keys[heads], ids[heads], marks[heads].astype(np.uint32)))
-            yield _member_batch(packed, keys[told], ids[told], marks[told])
+            packed = list(deal(keys[heads], buckets, *[c[heads] for c in members]))
+            yield _member_batch(packed, *[c[told] for c in members])
 
     return run
 
@@ -242,12 +236,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist(), strict=True):
             if payload is not None:
                 waiting[bucket].append(payload)
-        yield batch.filter(batch.column("payload").is_null()).select(["key", "id", "mark"])
+        yield batch.filter(batch.column("payload").is_null()).select(MEMBER)
     for bucket in list(waiting):
-        parts = [unpack(p, "u8", "i8", "u4") for p in waiting.pop(bucket)]
-        keys, ids, marks = (np.concatenate(c) for c in zip(*parts, strict=True))
-        _, told = _shared(keys, ids, marks)
-        yield _member_batch([], keys[told], ids[told], marks[told].astype(np.int64)).select(["key", "id", "mark"])
+        parts = [unpack(p, "u8", "i8", "u4", "u2") for p in waiting.pop(bucket)]
+        members = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        _, told = _shared(*members[:3])
+        yield _member_batch([], *[c[told] for c in members]).select(MEMBER)
 
 
 class RTree:
@@ -257,7 +251,8 @@ class RTree:
     def __init__(self, points: np.ndarray):
         order = np.arange(len(points))
         if len(points) > FAN:
-            by_spread = np.argsort(-points.var(0))[:3]
+            squares = np.einsum("ij,ij->j", points, points, dtype=np.int64)
+            by_spread = np.argsort((points.sum(0) / len(points)) ** 2 - squares / len(points))[:3]
             order = np.lexsort([points[:, by_spread[1]], points[:, by_spread[0]], points.sum(1) // 4])
         self.order = order
         self.tops, self.least = [points[order]], [points[order].sum(1)]
@@ -294,8 +289,18 @@ class RTree:
 
 
 def _point_rows(column: pa.Array) -> np.ndarray:
-    """Points of a batch, one row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, DIMENSIONS).astype(np.int64)
+    """Points of a batch, one row each, as wide as the widest of them."""
+    rows = column.to_pylist()
+    widths = {len(r) // DIMENSIONS for r in rows} or {1}
+    if len(widths) == 1:
+        return np.frombuffer(b"".join(rows), f"<u{max(widths)}").reshape(-1, DIMENSIONS)
+    return np.stack([np.frombuffer(r, f"<u{len(r) // DIMENSIONS}") for r in rows])
+
+
+def _point_bytes(counts: np.ndarray) -> bytes:
+    """The counts of a point as the narrowest integers that hold them."""
+    largest = int(counts.max())
+    return counts.astype("<u1" if largest < 2**8 else "<u2" if largest < 2**16 else "<u4").tobytes()
 
 
 def _search(limit: Limit):
@@ -305,14 +310,14 @@ def _search(limit: Limit):
         names, columns, points = ("key", "id", "mark", "part_id", "part_mark"), [], []
         for batch in batches:
             columns.append([_longs(batch, n) for n in names])
-            points.append(_point_rows(batch.column("point")).astype(np.uint32))
+            points.append(_point_rows(batch.column("point")))
         if not columns:
             return
         keys, ids, marks, part_ids, part_marks = (np.concatenate(c) for c in zip(*columns, strict=True))
         points = np.concatenate(points)
         order, fresh = _ordered(keys, part_ids, part_marks)
         for block in np.split(order, fresh[1:]) if len(order) else []:
-            for pairs in RTree(points[block].astype(np.int64)).pairs(limit):
+            for pairs in RTree(points[block]).pairs(limit):
                 a, b = block[pairs[:, 0]], block[pairs[:, 1]]
                 other = (part_ids[a] != part_ids[b]) | (part_marks[a] != part_marks[b])
                 a, b = a[other], b[other]
@@ -347,10 +352,10 @@ def _points(size: int, fold: bool):
                 owner, token = shingles(Words(data, bounds, low, high, fold), size)
                 _, one, _ = _signature(owner, token, high - low)
                 cells = owner * DIMENSIONS + (mix64(token) % np.uint64(DIMENSIONS)).astype(np.int64)
-                counts = np.bincount(cells, minlength=(high - low) * DIMENSIONS).reshape(-1, DIMENSIONS).astype("<u4")
+                counts = np.bincount(cells, minlength=(high - low) * DIMENSIONS).reshape(-1, DIMENSIONS)
                 rows = np.flatnonzero(_mark(one) == wanted[low:high])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low + rows]), pa.array(wanted[low + rows]), pa.array([counts[r].tobytes() for r in rows], pa.binary())],
+                    [pa.array(ids[low + rows]), pa.array(wanted[low + rows]), pa.array([_point_bytes(counts[r]) for r in rows], pa.binary())],
                     names=["id", "mark", "point"],
                 )
 
@@ -438,6 +443,26 @@ class JaccardJoin:
         return frame.repartition(partitions(self.spark), "bucket")
 
 
+def _rare(members: DataFrame) -> DataFrame:
+    """(key, node) without the most frequent keys of a node, as many of each level as it can do without.
+
+    Similar sets share `need` keys of a level at least. Without the last need - 1 in an order of all keys,
+    a set still has the first one that it shares with the other, and so has the other.
+    """
+    often = members.groupBy("key").agg(F.count("*").alias("often"))
+    level = Window.partitionBy("node", F.col("need").bitwiseAND(3))
+    rank = F.row_number().over(level.orderBy(F.desc("often"), "key"))
+    ranked = members.join(often, "key").select("key", "node", F.min("need").over(level).alias("need"), rank.alias("rank"))
+    return ranked.where("rank >= need div 4").select("key", "node")
+
+
+def _telling(members: DataFrame) -> DataFrame:
+    """(key, v): one key of each set of several nodes, which many keys may have, and its least node."""
+    spread = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(20,0)")).alias(f"sum{k}") for k in (1, 2)]
+    sets = members.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("n"), *spread).where("n > 1")
+    return sets.groupBy("v", "n", "sum1", "sum2").agg(F.min("key").alias("key")).select("key", "v")
+
+
 def _labels(docs: DataFrame, size: int, similarity: tuple[int, int], fold: bool) -> DataFrame:
     """id, key (of the text), n_shingles and label (the least node of its component; null if the set is
     empty) for every row."""
@@ -462,12 +487,13 @@ def _labelled(docs: DataFrame, size: int, limit: Limit, fold: bool, scratch: Scr
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     first = rows.join(side, "id", "left").select("id", "spare", "text")
     asked = join.dealt(first.mapInArrow(_first_round(size, fold, limit, join.buckets), MEMBERS))
-    members = scratch.staged(
-        asked.mapInArrow(_meet, "key long, id long, mark long").distinct().select("key", _node().alias("node")), "jaccard-members"
-    )
+    met = asked.mapInArrow(_meet, ", ".join(f"{name} long" for name in MEMBER))
+    met = met.groupBy("key", "id", "mark").agg(F.min("need").alias("need"))
+    met = scratch.staged(met.select("key", _node().alias("node"), "need"), "jaccard-met")
+    rare = scratch.staged(_rare(met), "jaccard-rare")
+    members = scratch.staged(rare.join(_telling(rare), "key"), "jaccard-members")
     points = join.points(scratch.staged(members.select("node.*").distinct(), "jaccard-shared"))
-    heads = members.groupBy("key").agg(F.min("node").alias("v"))
-    stars = members.join(heads, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    stars = members.where("node <> v").select(F.col("node").alias("u"), "v").distinct()
     links = scratch.staged(join.verified(join.possible(stars, points)), "jaccard-links")
     found = components(links, scratch)
 
@@ -498,10 +524,11 @@ def jaccard_groups(
     smallest doc_id that links lead to.
 
     1. Equal sets become one node, named by the smallest id (a combined aggregate on a 128-bit hash).
-    2. Tokens are hashed into groups. By the pigeonhole principle similar sets have a whole group in
+    2. Tokens are hashed into groups. By the pigeonhole principle similar sets have whole groups in
        common (`_keys`), so groups are dealt by hash of their content; none of it depends on how
-       frequent a token is.
-    3. The counts of 128 token groups are a node's point; two sets overlap by the sum of the smaller
+       frequent a token is. As they have several in common, a set can do without its most frequent
+       ones (`_rare`); of groups that the same nodes have, one goes on (`_telling`).
+    3. The counts of 512 token groups are a node's point; two sets overlap by the sum of the smaller
        counts at most. The nodes of a key are checked against its least node, if their points allow it,
        which settles groups of near copies with one check each. Where nodes of a key are still in
        different components, their points make an R-tree: a pair of subtrees is left out if the sum of
