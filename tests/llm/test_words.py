@@ -54,3 +54,17 @@ def test_difference_covers_hold_every_difference():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
         assert period - 1 + length == window
     assert len(difference_cover(31)) <= 8
+
+
+def test_memory_goes_back_once_a_task_has_ended(monkeypatch):
+    from tidemark.llm import words
+
+    seen = []
+
+    def run(batches):
+        yield from batches
+        seen.append("ended")
+
+    monkeypatch.setattr(words, "give_back", lambda: seen.append("given back"))
+    assert list(words.trimmed(run)(iter([1, 2]))) == [1, 2]
+    assert seen == ["ended", "given back"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BROADCAST_ROWS, Scratch, partitions, staged
 from tidemark.llm.components import components
-from tidemark.llm.words import Words, deal, in_parts, mix64, pieces, runs_hash, text_bytes, unpack
+from tidemark.llm.words import Words, deal, in_parts, mix64, pieces, runs_hash, text_bytes, trimmed, unpack
 
 DIMENSIONS = 512  # token groups that are the coordinates of a point
 FAN = 8  # entries of a tree node
@@ -91,6 +91,7 @@ def _signature(owner: np.ndarray, tokens: np.ndarray, count: int) -> tuple[np.nd
 def _sets(size: int, fold: bool):
     """id, n_shingles and signature of every row."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
@@ -217,6 +218,7 @@ def _mark(one: np.ndarray) -> np.ndarray:
 def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
     """Keys of every part of a batch, a frequent one once; nodes that share one are told at once."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             rows, keys, needs, marks = _batch_keys(batch, size, fold, limit)
@@ -229,6 +231,7 @@ def _first_round(size: int, fold: bool, limit: Limit, buckets: int):
     return run
 
 
+@trimmed
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes of all batches that share a key."""
     waiting: dict[int, list[bytes]] = defaultdict(list)
@@ -306,6 +309,7 @@ def _point_bytes(counts: np.ndarray) -> bytes:
 def _search(limit: Limit):
     """Pairs of different components that share a key and may be similar by their group counts."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, columns, points = ("key", "id", "mark", "part_id", "part_mark"), [], []
         for batch in batches:
@@ -331,6 +335,7 @@ def _search(limit: Limit):
 def _possible(limit: Limit):
     """The pairs whose overlap, at most the sum of the smaller counts, can reach the limit."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = _point_rows(batch.column("point")), _point_rows(batch.column("other_point"))
@@ -344,6 +349,7 @@ def _possible(limit: Limit):
 def _points(size: int, fold: bool):
     """How many tokens of chosen rows fall into each of the groups."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
@@ -365,6 +371,7 @@ def _points(size: int, fold: bool):
 def _members(size: int, fold: bool):
     """The tokens of chosen rows."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
             data, bounds = text_bytes(batch.column("text"))
@@ -388,6 +395,7 @@ def _members(size: int, fold: bool):
 def _linked(limit: Limit):
     """The pairs whose sets are similar."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

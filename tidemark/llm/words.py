@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,16 @@ def give_back() -> None:
         _trim(0)
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run`, which also gives back what it held at its end; the worker lives on, and so would its last batch's memory."""
+
+    def ran(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return ran
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], limit: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
     """Batches whose column `text` has about `limit` bytes at most, whatever came as one."""
     for batch in batches:
