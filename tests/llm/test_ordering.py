@@ -1,9 +1,12 @@
 import base64
+import gc
 import hashlib
 import os
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm.ordering import PATTERN, Encoder, Permutation, load_ranks, read_slots, write_training_order
@@ -35,6 +38,30 @@ def test_encoder_agrees_with_the_library():
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == plain.encode_ordinary(text), repr(text)
 
 
+def test_an_encoder_keeps_nothing_of_its_texts():
+    encoder = Encoder(load_ranks(RANKS))
+    encoder.encode("warm up")
+    tracemalloc.start()
+    try:
+        for i in range(5000):
+            encoder.encode(f"word{i} other{i * 7}")
+        assert tracemalloc.get_traced_memory()[0] < 100_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_waiting_workers_hold_no_encoder(spark, prose, tmp_path):
+    docs = spark.createDataFrame([(i, " ".join(prose(i, 40))) for i in range(80)], "doc_id long, text string")
+    write_training_order(docs.repartition(8), str(tmp_path / "order"), RANKS, 32, 8).collect()
+
+    def held(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(type(x).__name__ == "Encoder" for x in gc.get_objects())], pa.int64())})
+
+    assert {r["n"] for r in spark.range(0, 80, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 @pytest.fixture
 def written(spark, prose, tmp_path):
     rows = [(i, " ".join(prose(i, 5 + (i * 37) % 140))) for i in range(200)]

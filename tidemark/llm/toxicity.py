@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import Scratch
-from tidemark.llm.words import give_back
+from tidemark.llm.words import give_back, trimmed
 
 #: At most so many labelled rows of each class are learnt from (those of the smallest id hashes).
 SAMPLE_ROWS = 16_384
@@ -235,6 +235,7 @@ def _trained(docs: DataFrame, labels: DataFrame, rows: int, scratch: Scratch) ->
     ways = [model, replace(model, mixed=True)]
     shared = docs.sparkSession.sparkContext.broadcast(ways)
 
+    @trimmed
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         readers = [Reader(way) for way in shared.value]
         for batch in batches:
@@ -276,5 +277,7 @@ def toxicity(docs: DataFrame, model: Model):
             yield pa.array([reader.score(t.as_py()) for t in texts], pa.float64())
             del texts
             give_back()
+        del reader
+        give_back()
 
     return score("text")
